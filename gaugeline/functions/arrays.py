@@ -1,80 +1,87 @@
-"""Array column helpers for joint readings."""
+"""SQL expressions on arrays of joint readings.
+
+They are texts for ``selectExpr`` / ``F.expr``: one parse per expression instead
+of one JVM round trip per operator. Where a formula only concerns the first
+twelve joints it is spelled out per joint, which Spark compiles; higher-order
+functions are left to the rare arrays with NaN or NULL readings or more joints.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 # Mechanical range per joint in radians, lower and upper.
 JOINT_MIN = [-3.14, -1.57, -3.14, -2.09, -3.14, -1.57, -3.14, -1.0, -1.0, 0.0, 0.0, 0.0]
 JOINT_MAX = [3.14, 1.57, 3.14, 0.17, 3.14, 1.57, 3.14, 1.0, 1.0, 1.5, 1.5, 1.5]
 
+JOINTS = 12
+NAN = "double('NaN')"
 NO_DOUBLES = "cast(array() AS array<double>)"
 
 
-def doubles(values: Sequence[float]) -> Column:
-    return F.array(*[F.lit(float(v)) for v in values])
+def number(value: float) -> str:
+    return f"{float(value)!r}D"
 
 
-def readings(values: Column) -> Column:
+def readings(values: str) -> str:
     """A missing array is empty, a NaN reading is NULL."""
-    return F.transform(
-        F.coalesce(values, F.expr(NO_DOUBLES)), lambda v: F.when(~F.isnan(v), v)
+    return (
+        f"CASE WHEN {values} IS NULL THEN {NO_DOUBLES}"
+        f" WHEN array_contains({values}, {NAN})"
+        f" THEN transform({values}, v -> CASE WHEN NOT isnan(v) THEN v END)"
+        f" ELSE {values} END"
     )
 
 
-def clean(values: Column, digits: int) -> Column:
-    """NaN to NULL, everything else rounded."""
-    return F.transform(
-        values, lambda v: F.when(~F.isnan(v), F.round(v.cast("double"), digits))
-    )
-
+def count_null(values: str) -> str:
+    """NULL readings of an array without NaN.
 
-def count_null(values: Column) -> Column:
-    return F.size(F.filter(values, lambda v: v.isNull()))
+    Searching for a value that is not there answers false only when every
+    element is known, so a full array is recognised in one native pass.
+    """
+    return (
+        f"CASE WHEN array_contains({values}, {NAN}) = false THEN 0"
+        f" ELSE size(filter({values}, v -> v IS NULL)) END"
+    )
 
 
-def present(values: Column) -> Column:
-    return F.filter(values, lambda v: v.isNotNull())
+def per_joint(term: str, joints: Sequence[int] = range(JOINTS)) -> str:
+    """``term`` summed over the joints; ``{j}`` stands for the joint number."""
+    return " + ".join(f"({term.format(j=j)})" for j in joints)
 
 
-def total(values: Column) -> Column:
-    return F.aggregate(values, F.lit(0.0), lambda acc, v: acc + v)
+def clean(values: str, digits: int) -> str:
+    """NaN to NULL, everything else rounded."""
+    return (
+        f"transform({values}, v -> CASE WHEN NOT isnan(v)"
+        f" THEN round(cast(v AS double), {digits}) END)"
+    )
 
 
 def clip_joints(
-    positions: Column,
+    positions: str,
     low: Sequence[float] = tuple(JOINT_MIN),
     high: Sequence[float] = tuple(JOINT_MAX),
-) -> Column:
+) -> str:
     """Positions limited to the mechanical range; NULL readings stay NULL."""
-    clipped = F.zip_with(
-        F.slice(positions, 1, len(low)),
-        doubles(low),
-        lambda p, lo: F.when(p.isNotNull(), F.greatest(p.cast("double"), lo)),
-    )
-    # zip_with pads a short array with NULLs, so cut back to the input's length.
-    return F.slice(
-        F.zip_with(
-            clipped, doubles(high), lambda p, hi: F.when(p.isNotNull(), F.least(p, hi))
-        ),
-        1,
-        F.least(F.size(positions), F.lit(len(low))),
+    limited = ", ".join(
+        f"CASE WHEN get({positions}, {j}) IS NOT NULL THEN"
+        f" least(greatest(cast(get({positions}, {j}) AS double), {number(lo)}), {number(hi)}) END"
+        for j, (lo, hi) in enumerate(zip(low, high))
     )
+    return f"slice(array({limited}), 1, least(size({positions}), {len(low)}))"
 
 
-def ee_pose(positions: Column) -> Column:
+def ee_pose(positions: str) -> str:
     """[x, y, z, qx, qy, qz, qw] approximated from the first five joints."""
-    p = [F.get(positions, F.lit(j)).cast("double") for j in range(5)]
-    q = [F.sin(p[j] / 2) * 0.1 for j in (2, 3, 4)]
-    rest = F.lit(1.0) - q[0] * q[0] - q[1] * q[1] - q[2] * q[2]
+    p = [f"cast(get({positions}, {j}) AS double)" for j in range(5)]
+    q = [f"sin({p[j]} / 2) * 0.1D" for j in (2, 3, 4)]
+    rest = "1D" + "".join(f" - ({v}) * ({v})" for v in q)
     pose = [
-        F.lit(0.3) + F.lit(0.2) * F.sin(p[0]) * F.cos(p[1]),
-        F.lit(0.1) + F.lit(0.2) * F.sin(p[1]),
-        F.lit(0.8) + F.lit(0.15) * F.cos(p[0]),
+        f"0.3D + 0.2D * sin({p[0]}) * cos({p[1]})",
+        f"0.1D + 0.2D * sin({p[1]})",
+        f"0.8D + 0.15D * cos({p[0]})",
         *q,
-        F.sqrt(F.when(rest < 0, F.lit(0.0)).otherwise(rest)),
+        f"sqrt(CASE WHEN {rest} < 0 THEN 0D ELSE {rest} END)",
     ]
-    return F.array(*[F.round(v, 6) for v in pose])
+    return f"array({', '.join(f'round({v}, 6)' for v in pose)})"

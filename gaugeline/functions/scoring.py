@@ -1,13 +1,15 @@
-"""The five dimension scores, overrides and routing, as column expressions.
+"""The five dimension scores, overrides and routing, as SQL expressions.
 
-Every function takes statistics columns, not frames, so the table form and the
-nested form of the scorer share them. Flags are NULL when they do not apply.
+They read the statistics columns (``n_values``, ``n_null``, ``max_null_run``,
+``n_stamps``, ``max_gap_ns``, ``n_bad_gaps``, ``mean_gap_ns``, ``n_pairs``,
+``velocity_rms``, ``n_checked``, ``n_hard``, ``n_jumps``, ``status``,
+``has_complete``, ``confidence``), never the frames, so the table form and the
+nested form of the scorer share them. A flag is NULL when it does not apply.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from gaugeline.functions.arrays import number
 
 # Thresholds, weights and limits of the scoring rules.
 CERTIFIED_AT = 85.0
@@ -37,178 +39,102 @@ TASK_SCALE = {
 DEFAULT_SCALE = 0.90
 MIN_DROPOUT_RUN = 3
 MAX_NULL_FRACTION = 0.005
+MAX_HARD_RATE = 0.005
+CLEAN_HARD_RATE = 0.001
 
 DIMENSIONS = list(WEIGHTS)
 
+NULL_FRACTION = "n_null / nullif(n_values, 0)"
+HARD_RATE = "n_hard / nullif(n_checked, 0)"
+DEVIATION = f"abs(mean_gap_ns - {FRAME_INTERVAL_NS}) / {number(FRAME_INTERVAL_NS)}"
+
+IS_DROPOUT = f"(n_values > 0 AND max_null_run >= {MIN_DROPOUT_RUN})"
+IS_SCATTERED = f"({NULL_FRACTION} > {number(MAX_NULL_FRACTION)})"
+IS_GAP = f"(n_stamps >= 2 AND max_gap_ns > {MAX_GAP_NS})"
+IS_ANOMALY = f"(n_checked > 0 AND ({HARD_RATE} > {number(MAX_HARD_RATE)} OR n_jumps > 0))"
+IS_DONE = "(status <=> 'completed' AND coalesce(has_complete, false))"
+
+TASK_SCALE_OF = (
+    "CASE task_type "
+    + " ".join(f"WHEN '{task}' THEN {number(scale)}" for task, scale in TASK_SCALE.items())
+    + f" ELSE {number(DEFAULT_SCALE)} END"
+)
+
+
+def _at_least(floor: float, value: str) -> str:
+    return f"round(greatest({number(floor)}, {value}), 2)"
+
+
+SCORES = {
+    "sensor_completeness": f"""CASE
+        WHEN n_values = 0 THEN 0D
+        WHEN {IS_DROPOUT}
+          THEN {_at_least(0, f"75D - (max_null_run - {MIN_DROPOUT_RUN}) * 1.5D")}
+        WHEN {IS_SCATTERED} THEN {_at_least(60, f"100D - {NULL_FRACTION} * 2000")}
+        ELSE 100D END""",
+    "temporal_coherence": f"""CASE
+        WHEN n_stamps < 2 THEN 0D
+        WHEN {IS_GAP} THEN {_at_least(0, f'''60D
+          - (least(max_gap_ns / {number(MAX_GAP_NS)}, 20D) - 1D) * 10''')}
+        WHEN {DEVIATION} < 0.05D THEN 100D
+        ELSE {_at_least(70, f"100D - {DEVIATION} * 200")} END""",
+    "motion_smoothness": f"""CASE
+        WHEN n_pairs = 0 THEN 50D
+        WHEN velocity_rms <= {CLEAN_RMS}D THEN 100D
+        WHEN velocity_rms <= {MAX_RMS}D
+          THEN round(100D - (velocity_rms - {CLEAN_RMS}D) / ({MAX_RMS}D - {CLEAN_RMS}D) * 20, 2)
+        ELSE {_at_least(0, f"80D - (velocity_rms - {MAX_RMS}D) * 40")} END""",
+    "task_completion": f"""CASE
+        WHEN {IS_DONE} THEN
+          CASE WHEN coalesce(confidence, 0D) >= 0.9D THEN 100D
+               WHEN coalesce(confidence, 0D) >= 0.7D THEN 85D ELSE 70D END
+        WHEN status <=> 'completed' THEN 60D
+        ELSE 0D END""",
+    "trajectory_validity": f"""CASE
+        WHEN n_checked = 0 THEN 50D
+        WHEN n_jumps > 0 THEN {_at_least(0, "85D - n_jumps * 5D")}
+        WHEN {HARD_RATE} <= {number(CLEAN_HARD_RATE)} THEN 100D
+        ELSE {_at_least(0, f"100D - {HARD_RATE} * 2000")} END""",
+}
 
-def _capped_low(floor: float, value: Column) -> Column:
-    return F.round(F.greatest(F.lit(floor), value), 2)
-
-
-def task_scale(task_type: Column) -> Column:
-    scale = None
-    for name, factor in TASK_SCALE.items():
-        hit = task_type == name
-        scale = F.when(hit, F.lit(factor)) if scale is None else scale.when(hit, F.lit(factor))
-    return scale.otherwise(F.lit(DEFAULT_SCALE))
-
-
-def is_dropout(max_null_run: Column) -> Column:
-    return max_null_run >= MIN_DROPOUT_RUN
-
-
-def sensor_completeness(n_values: Column, n_null: Column, max_null_run: Column):
-    """(score, flag) from reading counts and the longest run of null frames."""
-    fraction = n_null / F.nullif(n_values, F.lit(0))
-    score = (
-        F.when(n_values == 0, F.lit(0.0))
-        .when(
-            is_dropout(max_null_run),
-            _capped_low(0.0, F.lit(75.0) - (max_null_run - MIN_DROPOUT_RUN) * F.lit(1.5)),
-        )
-        .when(
-            fraction > MAX_NULL_FRACTION, _capped_low(60.0, F.lit(100.0) - fraction * F.lit(2000))
-        )
-        .otherwise(F.lit(100.0))
-    )
-    flag = (
-        F.when(n_values == 0, F.lit("SENSOR_COMPLETENESS:NO_READINGS"))
-        .when(
-            is_dropout(max_null_run),
-            F.format_string(
-                "SENSOR_COMPLETENESS:DROPOUT_WINDOW(%d consecutive null frames)", max_null_run
-            ),
-        )
-        .when(
-            fraction > MAX_NULL_FRACTION,
-            F.format_string("SENSOR_COMPLETENESS:SCATTERED_NULLS(%.2f%%)", fraction * F.lit(100)),
-        )
-    )
-    return score, flag
-
-
-def is_gap(max_gap_ns: Column) -> Column:
-    return max_gap_ns > MAX_GAP_NS
-
-
-def mean_gap_ns(n_stamps: Column, first_ns: Column, last_ns: Column) -> Column:
-    """The gaps telescope, so their mean needs only the two end stamps."""
-    return (last_ns - first_ns) / F.nullif(n_stamps - 1, F.lit(0))
-
-
-def temporal_coherence(
-    n_stamps: Column, max_gap_ns: Column, n_bad_gaps: Column, mean_gap: Column
-):
-    """(score, flag) from the gaps between non-null timestamps."""
-    deviation = F.abs(mean_gap - FRAME_INTERVAL_NS) / F.lit(FRAME_INTERVAL_NS)
-    ratio = F.least(max_gap_ns / F.lit(MAX_GAP_NS), F.lit(20.0))
-    score = (
-        F.when(n_stamps < 2, F.lit(0.0))
-        .when(is_gap(max_gap_ns), _capped_low(0.0, F.lit(60.0) - (ratio - 1.0) * F.lit(10)))
-        .when(deviation < 0.05, F.lit(100.0))
-        .otherwise(_capped_low(70.0, F.lit(100.0) - deviation * F.lit(200)))
-    )
-    flag = F.when(n_stamps < 2, F.lit("TEMPORAL_COHERENCE:TOO_FEW_TIMESTAMPS")).when(
-        is_gap(max_gap_ns),
-        F.format_string(
-            "TEMPORAL_COHERENCE:GAP(%.1fms max, %d violations)",
-            max_gap_ns / F.lit(1e6),
-            n_bad_gaps,
-        ),
-    )
-    return score, flag
-
-
-def motion_smoothness(n_pairs: Column, rms: Column):
-    """(score, flag) from the RMS of frame-to-frame velocity changes."""
-    score = (
-        F.when(n_pairs == 0, F.lit(50.0))
-        .when(rms <= CLEAN_RMS, F.lit(100.0))
-        .when(
-            rms <= MAX_RMS,
-            F.round(
-                F.lit(100.0)
-                - (rms - CLEAN_RMS) / (F.lit(MAX_RMS) - F.lit(CLEAN_RMS)) * F.lit(20),
-                2,
-            ),
-        )
-        .otherwise(_capped_low(0.0, F.lit(80.0) - (rms - MAX_RMS) * F.lit(40)))
-    )
-    flag = F.when(n_pairs == 0, F.lit("MOTION_SMOOTHNESS:NO_VALID_VELOCITIES")).when(
-        rms > MAX_RMS,
-        F.format_string("MOTION_SMOOTHNESS:JITTER(RMS=%.3f rad/s, threshold=2.2)", rms),
-    )
-    return score, flag
-
-
-def task_completion(status: Column, has_complete: Column, confidence: Column):
-    """(score, flag) from the status and the last ``complete`` phase event."""
-    completed = status.eqNullSafe(F.lit("completed"))
-    has_complete = F.coalesce(has_complete, F.lit(False))
-    confidence = F.coalesce(confidence, F.lit(0.0))
-    done = completed & has_complete
-    score = (
-        F.when(done & (confidence >= 0.9), F.lit(100.0))
-        .when(done & (confidence >= 0.7), F.lit(85.0))
-        .when(done, F.lit(70.0))
-        .when(completed, F.lit(60.0))
-        .otherwise(F.lit(0.0))
-    )
-    flag = (
-        F.when(done & (confidence >= 0.7), F.lit(None).cast("string"))
-        .when(done, F.format_string("TASK_COMPLETION:LOW_CONFIDENCE(%.2f)", confidence))
-        .when(completed, F.lit("TASK_COMPLETION:MISSING_COMPLETE_PHASE"))
-        .otherwise(F.format_string("TASK_COMPLETION:ABORTED(status=%s)", status))
-    )
-    return score, flag
-
-
-def is_anomaly(n_checked: Column, n_hard: Column, n_jumps: Column) -> Column:
-    rate = n_hard / F.nullif(n_checked, F.lit(0))
-    return (n_checked > 0) & ((rate > 0.005) | (n_jumps > 0))
-
-
-def trajectory_validity(n_checked: Column, n_hard: Column, n_jumps: Column):
-    """(score, flag) from joint-limit violations and position jumps."""
-    rate = n_hard / F.nullif(n_checked, F.lit(0))
-    score = (
-        F.when(n_checked == 0, F.lit(50.0))
-        .when(n_jumps > 0, _capped_low(0.0, F.lit(85.0) - n_jumps * F.lit(5.0)))
-        .when(rate <= 0.001, F.lit(100.0))
-        .otherwise(_capped_low(0.0, F.lit(100.0) - rate * F.lit(2000)))
-    )
-    flag = F.when(
-        is_anomaly(n_checked, n_hard, n_jumps),
-        F.format_string(
-            "TRAJECTORY_VALIDITY:ANOMALY(hard=%.2f%%, jumps=%d)", rate * F.lit(100), n_jumps
-        ),
-    )
-    return score, flag
-
-
-def weighted_sum() -> Column:
-    """The composite before overrides, added up in dimension order."""
-    total = None
-    for name, weight in WEIGHTS.items():
-        part = F.col(name) * F.lit(weight)
-        total = part if total is None else total + part
-    return total
+# The flag texts.
+FLAGS = {
+    "sensor_completeness": f"""CASE
+        WHEN n_values = 0 THEN 'SENSOR_COMPLETENESS:NO_READINGS'
+        WHEN {IS_DROPOUT} THEN format_string(
+          'SENSOR_COMPLETENESS:DROPOUT_WINDOW(%d consecutive null frames)', max_null_run)
+        WHEN {IS_SCATTERED} THEN format_string(
+          'SENSOR_COMPLETENESS:SCATTERED_NULLS(%.2f%%)', {NULL_FRACTION} * 100) END""",
+    "temporal_coherence": f"""CASE
+        WHEN n_stamps < 2 THEN 'TEMPORAL_COHERENCE:TOO_FEW_TIMESTAMPS'
+        WHEN {IS_GAP} THEN format_string(
+          'TEMPORAL_COHERENCE:GAP(%.1fms max, %d violations)', max_gap_ns / 1e6D, n_bad_gaps)
+        END""",
+    "motion_smoothness": f"""CASE
+        WHEN n_pairs = 0 THEN 'MOTION_SMOOTHNESS:NO_VALID_VELOCITIES'
+        WHEN velocity_rms > {MAX_RMS}D THEN format_string(
+          'MOTION_SMOOTHNESS:JITTER(RMS=%.3f rad/s, threshold=2.2)', velocity_rms) END""",
+    "task_completion": f"""CASE
+        WHEN {IS_DONE} THEN
+          CASE WHEN coalesce(confidence, 0D) < 0.7D THEN format_string(
+            'TASK_COMPLETION:LOW_CONFIDENCE(%.2f)', coalesce(confidence, 0D)) END
+        WHEN status <=> 'completed' THEN 'TASK_COMPLETION:MISSING_COMPLETE_PHASE'
+        ELSE format_string('TASK_COMPLETION:ABORTED(status=%s)', status) END""",
+    "trajectory_validity": f"""CASE WHEN {IS_ANOMALY} THEN format_string(
+          'TRAJECTORY_VALIDITY:ANOMALY(hard=%.2f%%, jumps=%d)', {HARD_RATE} * 100, n_jumps)
+        END""",
+}
 
+# The composite before overrides, added up in dimension order.
+WEIGHTED_SUM = " + ".join(f"{name} * {number(w)}" for name, w in WEIGHTS.items())
 
-def override_hit() -> Column:
-    """Any of the five conditions that good dimensions cannot make up for."""
-    return (
-        (F.col("task_completion") == 0.0)
-        | (F.col("motion_smoothness") < SEVERE_JITTER_SCORE)
-        | is_anomaly(F.col("n_checked"), F.col("n_hard"), F.col("n_jumps"))
-        | ((F.col("n_values") > 0) & is_dropout(F.col("max_null_run")))
-        | ((F.col("n_stamps") >= 2) & is_gap(F.col("max_gap_ns")))
-    )
+# Five conditions that good dimensions cannot make up for.
+OVERRIDE_HIT = f"""(task_completion = 0 OR motion_smoothness < {SEVERE_JITTER_SCORE}D
+    OR {IS_ANOMALY} OR {IS_DROPOUT} OR {IS_GAP})"""
 
 
-def routing(composite: Column) -> Column:
+def routing(composite: str) -> str:
     return (
-        F.when(composite >= CERTIFIED_AT, "CERTIFIED")
-        .when(composite >= BORDERLINE_AT, "BORDERLINE")
-        .otherwise("REJECTED")
+        f"CASE WHEN {composite} >= {CERTIFIED_AT}D THEN 'CERTIFIED'"
+        f" WHEN {composite} >= {BORDERLINE_AT}D THEN 'BORDERLINE' ELSE 'REJECTED' END"
     )

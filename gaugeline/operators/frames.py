@@ -9,230 +9,236 @@ and chunk summaries (about one row per 65,536 frames) are merged per episode.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gaugeline.functions import arrays, scoring
+from gaugeline.functions.arrays import JOINTS, number
 from gaugeline.operators.ordered import FRAMES_PER_CHUNK, neighbours
 
-CHUNK = ["episode_id", "chunk"]
-
 
 def with_chunk(frames: DataFrame, size: int = FRAMES_PER_CHUNK) -> DataFrame:
     """Use the given ``chunk`` column, or cut by position in the episode."""
     if "chunk" in frames.columns:
         return frames
-    return frames.withColumn("chunk", F.floor(F.col("frame_index") / F.lit(size)).cast("long"))
+    return frames.selectExpr("*", f"cast(frame_index AS bigint) DIV {size} AS chunk")
 
 
 def explode_frames(episodes: DataFrame) -> DataFrame:
     """Nested episodes to frame rows; an episode without frames gives no row."""
-    return episodes.select(
-        "episode_id", "task_type", F.posexplode("sensor_frames").alias("frame_index", "f")
-    ).select(
+    return episodes.selectExpr(
+        "episode_id", "task_type", "posexplode(sensor_frames) AS (frame_index, f)"
+    ).selectExpr(
         "episode_id",
         "task_type",
         "frame_index",
-        F.col("f.timestamp_ns").alias("timestamp_ns"),
-        F.col("f.joint_positions").alias("positions"),
-        F.col("f.joint_velocities").alias("velocities"),
+        "f.timestamp_ns AS timestamp_ns",
+        "f.joint_positions AS positions",
+        "f.joint_velocities AS velocities",
     )
 
 
 def explode_joints(frames: DataFrame) -> DataFrame:
     """Frame rows to one row per joint reading."""
-    return frames.select(
+    return frames.selectExpr(
         "episode_id",
         "frame_index",
-        F.posexplode(F.arrays_zip("positions", "velocities")).alias("joint", "r"),
-    ).select(
+        "posexplode(arrays_zip(positions, velocities)) AS (joint, r)",
+    ).selectExpr(
         "episode_id",
         "frame_index",
         "joint",
-        F.col("r.positions").alias("position"),
-        F.col("r.velocities").alias("velocity"),
+        "r.positions AS position",
+        "r.velocities AS velocity",
+    )
+
+
+def squared_changes(now: str, before: str) -> str:
+    """Sum of squared differences of readings present on both sides."""
+    change = f"get({now}, {{j}}) - get({before}, {{j}})"
+    more = (
+        f"CASE WHEN size({now}) > {JOINTS} THEN aggregate(zip_with("
+        f"slice({now}, {JOINTS + 1}, size({now})), slice({before}, {JOINTS + 1}, size({now})),"
+        " (a, b) -> coalesce((a - b) * (a - b), 0D)), 0D, (acc, d) -> acc + d) ELSE 0D END"
+    )
+    squares = arrays.per_joint(f"coalesce(({change}) * ({change}), 0D)")
+    return f"coalesce({squares} + {more}, 0D)"
+
+
+def compared(now: str, before: str) -> str:
+    """Number of readings present on both sides."""
+    more = (
+        f"CASE WHEN size({now}) > {JOINTS} THEN size(filter(zip_with("
+        f"slice({now}, {JOINTS + 1}, size({now})), slice({before}, {JOINTS + 1}, size({now})),"
+        " (a, b) -> a - b), d -> d IS NOT NULL)) ELSE 0 END"
     )
+    both = arrays.per_joint(f"int(get({now}, {{j}}) - get({before}, {{j}}) IS NOT NULL)")
+    return f"coalesce({both} + {more}, 0)"
 
 
-def squared_changes(values: Column, before: Column) -> Column:
-    """Squared differences of readings present on both sides."""
-    return arrays.present(F.zip_with(values, before, lambda v, b: (v - b) * (v - b)))
+def checked(positions: str) -> str:
+    return arrays.per_joint(f"int(get({positions}, {{j}}) IS NOT NULL)")
 
 
-def over_limit(positions: Column, scale: Column) -> Column:
-    limits = arrays.doubles(scoring.JOINT_LIMITS)
-    hits = F.zip_with(positions, limits, lambda p, lim: F.abs(p) > lim * scale)
-    return F.size(F.filter(hits, lambda h: h))
+def over_limit(positions: str, scale: str) -> str:
+    return " + ".join(
+        f"int(coalesce(abs(get({positions}, {j})) > {number(limit)} * {scale}, false))"
+        for j, limit in enumerate(scoring.JOINT_LIMITS)
+    )
 
 
-def jumps(positions: Column, before: Column) -> Column:
-    moved = F.zip_with(positions, before, lambda p, b: F.abs(p - b) > scoring.MAX_JUMP_RAD)
-    return F.size(F.filter(moved, lambda m: m))
+def jumps(now: str, before: str) -> str:
+    moved = f"abs(get({now}, {{j}}) - get({before}, {{j}})) > {number(scoring.MAX_JUMP_RAD)}"
+    return arrays.per_joint(f"int(coalesce({moved}, false))")
 
 
 def frame_measures(frames: DataFrame) -> DataFrame:
     """Per-frame counts, with the previous frame taken inside the chunk."""
-    joints = len(scoring.JOINT_LIMITS)
-    ready = with_chunk(frames).select(
-        *CHUNK,
-        "frame_index",
-        "task_type",
-        "timestamp_ns",
-        arrays.readings(F.col("positions")).alias("all_positions"),
-        arrays.readings(F.col("velocities")).alias("velocities"),
-    )
-    ready = ready.select(
-        *CHUNK,
-        "frame_index",
-        "task_type",
-        "timestamp_ns",
-        "velocities",
-        F.slice("all_positions", 1, joints).alias("positions"),
-        (F.size("all_positions") + F.size("velocities")).alias("n_values"),
-        (
-            arrays.count_null(F.col("all_positions")) + arrays.count_null(F.col("velocities"))
-        ).alias("n_null"),
-    )
-    order = Window.partitionBy(*CHUNK).orderBy("frame_index")
-    so_far = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    earlier = order.rowsBetween(Window.unboundedPreceding, -1)
-    placed = ready.select(
-        "*",
-        F.row_number().over(order).alias("nth"),
-        F.lag("velocities").over(order).alias("velocities_before"),
-        F.lag("positions").over(order).alias("positions_before"),
-        F.last("timestamp_ns", ignorenulls=True).over(earlier).alias("stamp_before"),
-    ).withColumn("whole_nth", F.when(F.col("n_null") == 0, F.col("nth")))
-    placed = placed.withColumn("last_whole", F.max("whole_nth").over(so_far))
-    changes = squared_changes(F.col("velocities"), F.col("velocities_before"))
-    return placed.select(
-        *CHUNK,
-        "nth",
-        "positions",
-        "velocities",
-        "timestamp_ns",
-        "task_type",
-        "n_values",
-        "n_null",
-        "whole_nth",
-        (F.col("nth") - F.coalesce(F.col("last_whole"), F.lit(0))).alias("null_run"),
-        (F.col("timestamp_ns") - F.col("stamp_before")).alias("gap_ns"),
-        changes.alias("changes"),
-        F.size(arrays.present(F.col("positions"))).alias("n_checked"),
-        over_limit(F.col("positions"), scoring.task_scale(F.col("task_type"))).alias("n_hard"),
-        F.coalesce(
-            jumps(F.col("positions"), F.col("positions_before")), F.lit(0)
-        ).alias("n_jumps"),
-    ).select(
-        "*",
-        F.coalesce(F.size("changes"), F.lit(0)).alias("n_pairs"),
-        F.coalesce(arrays.total(F.col("changes")), F.lit(0.0)).alias("sum_sq"),
+    order = "OVER (PARTITION BY episode_id, chunk ORDER BY frame_index"
+    so_far = f"{order} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    earlier = f"{order} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    return (
+        with_chunk(frames)
+        .selectExpr(
+            "episode_id",
+            "chunk",
+            "frame_index",
+            "timestamp_ns",
+            f"{scoring.TASK_SCALE_OF} AS task_scale",
+            f"{arrays.readings('positions')} AS positions",
+            f"{arrays.readings('velocities')} AS velocities",
+        )
+        .selectExpr(
+            "*",
+            "size(positions) + size(velocities) AS n_values",
+            f"{arrays.count_null('positions')} + {arrays.count_null('velocities')} AS n_null",
+        )
+        .selectExpr(
+            "*",
+            f"row_number() {order}) AS nth",
+            f"lag(velocities) {order}) AS velocities_before",
+            f"lag(positions) {order}) AS positions_before",
+            f"last(timestamp_ns, true) {earlier} AS stamp_before",
+        )
+        .selectExpr("*", "CASE WHEN n_null = 0 THEN nth END AS whole_nth")
+        .selectExpr("*", f"max(whole_nth) {so_far} AS last_whole_nth")
+        .selectExpr(
+            "episode_id",
+            "chunk",
+            "nth",
+            "positions",
+            "velocities",
+            "timestamp_ns",
+            "n_values",
+            "n_null",
+            "whole_nth",
+            "nth - coalesce(last_whole_nth, 0) AS null_run",
+            "timestamp_ns - stamp_before AS gap_ns",
+            f"{squared_changes('velocities', 'velocities_before')} AS sum_sq",
+            f"{compared('velocities', 'velocities_before')} AS n_pairs",
+            f"{checked('positions')} AS n_checked",
+            f"{over_limit('positions', 'task_scale')} AS n_hard",
+            f"{jumps('positions', 'positions_before')} AS n_jumps",
+        )
     )
 
 
 def chunk_summaries(measures: DataFrame) -> DataFrame:
-    nth, stamp = F.col("nth"), F.col("timestamp_ns")
-    stamped = F.when(stamp.isNotNull(), nth)
-    return measures.groupBy(*CHUNK).agg(
-        F.count("*").alias("n_frames"),
-        F.sum("n_values").alias("n_values"),
-        F.sum("n_null").alias("n_null"),
-        F.max("null_run").alias("max_run"),
-        F.min("whole_nth").alias("first_whole"),
-        F.max("whole_nth").alias("last_whole"),
-        F.count("timestamp_ns").alias("n_stamps"),
-        F.min_by(stamp, stamped).alias("first_ns"),
-        F.max_by(stamp, stamped).alias("last_ns"),
-        F.max("gap_ns").alias("max_gap_ns"),
-        F.count_if(scoring.is_gap(F.col("gap_ns"))).alias("n_bad_gaps"),
-        F.sum("sum_sq").alias("sum_sq"),
-        F.sum("n_pairs").alias("n_pairs"),
-        F.sum("n_checked").alias("n_checked"),
-        F.sum("n_hard").alias("n_hard"),
-        F.sum("n_jumps").alias("n_jumps"),
-        F.min_by("positions", "nth").alias("head_positions"),
-        F.max_by("positions", "nth").alias("tail_positions"),
-        F.min_by("velocities", "nth").alias("head_velocities"),
-        F.max_by("velocities", "nth").alias("tail_velocities"),
-    )
+    stamped = "CASE WHEN timestamp_ns IS NOT NULL THEN nth END"
+    aggregates = [
+        "count(*) AS n_frames",
+        "sum(n_values) AS n_values",
+        "sum(n_null) AS n_null",
+        "max(null_run) AS max_run",
+        "min(whole_nth) AS first_whole",
+        "max(whole_nth) AS last_whole",
+        "count(timestamp_ns) AS n_stamps",
+        f"min_by(timestamp_ns, {stamped}) AS first_ns",
+        f"max_by(timestamp_ns, {stamped}) AS last_ns",
+        "max(gap_ns) AS max_gap_ns",
+        f"count_if(gap_ns > {scoring.MAX_GAP_NS}) AS n_bad_gaps",
+        "sum(sum_sq) AS sum_sq",
+        "sum(n_pairs) AS n_pairs",
+        "sum(n_checked) AS n_checked",
+        "sum(n_hard) AS n_hard",
+        "sum(n_jumps) AS n_jumps",
+        "min_by(positions, nth) AS head_positions",
+        "max_by(positions, nth) AS tail_positions",
+        "min_by(velocities, nth) AS head_velocities",
+        "max_by(velocities, nth) AS tail_velocities",
+    ]
+    return measures.groupBy("episode_id", "chunk").agg(*[F.expr(a) for a in aggregates])
 
 
 def merge_chunks(summaries: DataFrame) -> DataFrame:
-    """One row per episode: sums plus what happens across chunk borders."""
-    order = Window.partitionBy("episode_id").orderBy("chunk")
-    so_far = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    earlier = order.rowsBetween(Window.unboundedPreceding, -1)
-    all_null = F.col("first_whole").isNull()
-    shaped = summaries.select(
-        "*",
-        F.when(all_null, F.col("n_frames")).otherwise(F.col("first_whole") - 1).alias("lead_run"),
-        F.sum(F.when(all_null, F.col("n_frames")).otherwise(F.lit(0))).over(so_far).alias("dead"),
-    )
-    # A run entering a chunk: the null tail of the last chunk with a whole frame
-    # plus the frames of the chunks without any whole frame since then.
-    tail = F.when(
-        ~all_null,
-        F.struct(
-            (F.col("n_frames") - F.col("last_whole")).alias("run"), F.col("dead").alias("dead")
-        ),
-    )
-    linked = shaped.select(
-        "*",
-        F.last(tail, ignorenulls=True).over(earlier).alias("tail"),
-        F.coalesce(F.lag("dead").over(order), F.lit(0)).alias("dead_before"),
-        F.last("last_ns", ignorenulls=True).over(earlier).alias("ns_before"),
-        F.lag("tail_positions").over(order).alias("positions_before"),
-        F.lag("tail_velocities").over(order).alias("velocities_before"),
-    )
-    entering = F.col("dead_before") + F.coalesce(
-        F.col("tail.run") - F.col("tail.dead"), F.lit(0)
-    )
-    border = linked.select(
-        "*",
-        (entering + F.col("lead_run")).alias("border_run"),
-        (F.col("first_ns") - F.col("ns_before")).alias("border_gap"),
-        squared_changes(F.col("head_velocities"), F.col("velocities_before")).alias("changes"),
-        F.coalesce(
-            jumps(F.col("head_positions"), F.col("positions_before")), F.lit(0)
-        ).alias("border_jumps"),
-    ).select(
-        "*",
-        F.coalesce(F.size("changes"), F.lit(0)).alias("border_pairs"),
-        F.coalesce(arrays.total(F.col("changes")), F.lit(0.0)).alias("border_sq"),
-    )
-    first = F.min_by("first_ns", F.when(F.col("first_ns").isNotNull(), F.col("nth_chunk")))
-    last = F.max_by("last_ns", F.when(F.col("last_ns").isNotNull(), F.col("nth_chunk")))
-    n_pairs = F.sum(F.col("n_pairs") + F.col("border_pairs"))
-    return (
-        border.withColumn("nth_chunk", F.row_number().over(order))
-        .groupBy("episode_id")
-        .agg(
-            F.sum("n_frames").alias("n_frames"),
-            F.sum("n_values").alias("n_values"),
-            F.sum("n_null").alias("n_null"),
-            F.max(F.greatest("max_run", "border_run")).cast("long").alias("max_null_run"),
-            F.sum("n_stamps").alias("n_stamps"),
-            F.max(F.greatest("max_gap_ns", "border_gap")).alias("max_gap_ns"),
-            F.sum(
-                F.col("n_bad_gaps")
-                + F.when(scoring.is_gap(F.col("border_gap")), 1).otherwise(0)
-            ).alias("n_bad_gaps"),
-            first.alias("first_ns"),
-            last.alias("last_ns"),
-            n_pairs.alias("n_pairs"),
-            F.sum(F.col("sum_sq") + F.col("border_sq")).alias("sum_sq"),
-            F.sum("n_checked").alias("n_checked"),
-            F.sum("n_hard").alias("n_hard"),
-            F.sum(F.col("n_jumps") + F.col("border_jumps")).alias("n_jumps"),
+    """One row per episode: sums plus what happens across chunk borders.
+
+    ``dead`` counts the frames of chunks without a single whole frame. The null
+    run that enters a chunk is the null tail of the last chunk that has a whole
+    frame, plus all dead frames since.
+    """
+    order = "OVER (PARTITION BY episode_id ORDER BY chunk"
+    so_far = f"{order} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    earlier = f"{order} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    border_gap = f"border_gap > {scoring.MAX_GAP_NS}"
+    linked = (
+        summaries.selectExpr(
+            "*",
+            "coalesce(first_whole - 1, n_frames) AS lead_run",
+            f"sum(CASE WHEN first_whole IS NULL THEN n_frames ELSE 0 END) {so_far} AS dead",
+        )
+        .selectExpr("*", "n_frames - last_whole - dead AS tail_over_dead")
+        .selectExpr(
+            "*",
+            f"row_number() {order}) AS nth",
+            f"""coalesce(lag(dead) {order}), 0)
+                + coalesce(last(tail_over_dead, true) {earlier}, 0) AS entering_run""",
+            f"last(last_ns, true) {earlier} AS ns_before",
+            f"lag(tail_positions) {order}) AS positions_before",
+            f"lag(tail_velocities) {order}) AS velocities_before",
         )
-        .select(
+        .selectExpr(
             "*",
-            scoring.mean_gap_ns(F.col("n_stamps"), F.col("first_ns"), F.col("last_ns")).alias(
-                "mean_gap_ns"
-            ),
-            F.sqrt(F.col("sum_sq") / F.nullif(F.col("n_pairs"), F.lit(0))).alias("velocity_rms"),
+            "entering_run + lead_run AS border_run",
+            "first_ns - ns_before AS border_gap",
+            f"{squared_changes('head_velocities', 'velocities_before')} AS border_sq",
+            f"{compared('head_velocities', 'velocities_before')} AS border_pairs",
+            f"{jumps('head_positions', 'positions_before')} AS border_jumps",
         )
-        .drop("first_ns", "last_ns", "sum_sq")
+    )
+    aggregates = [
+        "sum(n_frames) AS n_frames",
+        "sum(n_values) AS n_values",
+        "sum(n_null) AS n_null",
+        "cast(max(greatest(max_run, border_run)) AS bigint) AS max_null_run",
+        "sum(n_stamps) AS n_stamps",
+        "max(greatest(max_gap_ns, border_gap)) AS max_gap_ns",
+        f"sum(n_bad_gaps + CASE WHEN {border_gap} THEN 1 ELSE 0 END) AS n_bad_gaps",
+        "min_by(first_ns, CASE WHEN first_ns IS NOT NULL THEN nth END) AS first_ns",
+        "max_by(last_ns, CASE WHEN last_ns IS NOT NULL THEN nth END) AS last_ns",
+        "sum(n_pairs + border_pairs) AS n_pairs",
+        "sum(sum_sq + border_sq) AS sum_sq",
+        "sum(n_checked) AS n_checked",
+        "sum(n_hard) AS n_hard",
+        "sum(n_jumps + border_jumps) AS n_jumps",
+    ]
+    merged = linked.groupBy("episode_id").agg(*[F.expr(a) for a in aggregates])
+    # The gaps telescope, so their mean needs only the two end stamps.
+    return merged.selectExpr(
+        "episode_id",
+        "n_frames",
+        "n_values",
+        "n_null",
+        "max_null_run",
+        "n_stamps",
+        "max_gap_ns",
+        "n_bad_gaps",
+        "(last_ns - first_ns) / nullif(n_stamps - 1, 0) AS mean_gap_ns",
+        "n_pairs",
+        "sqrt(sum_sq / nullif(n_pairs, 0)) AS velocity_rms",
+        "n_checked",
+        "n_hard",
+        "n_jumps",
     )
 
 
@@ -245,33 +251,35 @@ def frame_gaps(frames: DataFrame) -> DataFrame:
     """Gap to the previous non-null timestamp, one row per gap."""
     stamped = (
         with_chunk(frames)
-        .where(F.col("timestamp_ns").isNotNull())
-        .select(*CHUNK, "frame_index", "timestamp_ns")
+        .where("timestamp_ns IS NOT NULL")
+        .select("episode_id", "chunk", "frame_index", "timestamp_ns")
     )
     return (
         neighbours(stamped, ["timestamp_ns"], "episode_id", "frame_index")
-        .withColumn("gap_ns", F.col("timestamp_ns") - F.col("prev_timestamp_ns"))
-        .where(F.col("gap_ns").isNotNull())
-        .select("episode_id", "frame_index", "gap_ns")
+        .selectExpr("episode_id", "frame_index", "timestamp_ns - prev_timestamp_ns AS gap_ns")
+        .where("gap_ns IS NOT NULL")
     )
 
 
 def finite_diff_velocity(frames: DataFrame, interval_s: float = 0.005) -> DataFrame:
     """Velocities from positions: central inside, one-sided at both ends."""
     placed = neighbours(
-        with_chunk(frames).select(*CHUNK, "frame_index", "positions"),
+        with_chunk(frames).select("episode_id", "chunk", "frame_index", "positions"),
         ["positions"],
         "episode_id",
         "frame_index",
     )
-    before, after = F.col("prev_positions"), F.col("next_positions")
-    low, high = F.coalesce(before, "positions"), F.coalesce(after, "positions")
-    steps = F.when(before.isNotNull(), 1).otherwise(0) + F.when(after.isNotNull(), 1).otherwise(0)
-    span = F.nullif(steps, F.lit(0)) * F.lit(interval_s)
-    return placed.select(
+    return placed.selectExpr(
         "episode_id",
         "frame_index",
-        F.zip_with(high, low, lambda b, a: (b - a) / span).alias("velocities"),
+        "coalesce(prev_positions, positions) AS low",
+        "coalesce(next_positions, positions) AS high",
+        f"""nullif(int(prev_positions IS NOT NULL) + int(next_positions IS NOT NULL), 0)
+            * {number(interval_s)} AS span_s""",
+    ).selectExpr(
+        "episode_id",
+        "frame_index",
+        "zip_with(high, low, (b, a) -> (b - a) / span_s) AS velocities",
     )
 
 
@@ -281,8 +289,9 @@ def last_complete_phase(phases: DataFrame) -> DataFrame:
     Plain aggregates: Spark combines them on the map side, so a hot episode
     sends one row per map task.
     """
-    is_complete = F.col("phase") == "complete"
     return phases.groupBy("episode_id").agg(
-        F.coalesce(F.bool_or(is_complete), F.lit(False)).alias("has_complete"),
-        F.max_by("confidence", F.when(is_complete, F.col("event_index"))).alias("confidence"),
+        F.expr("coalesce(bool_or(phase = 'complete'), false) AS has_complete"),
+        F.expr(
+            "max_by(confidence, CASE WHEN phase = 'complete' THEN event_index END) AS confidence"
+        ),
     )

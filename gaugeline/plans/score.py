@@ -3,12 +3,16 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from gaugeline.functions import scoring
 from gaugeline.operators import frames as rows
 
-FLAGS = [f"flag_{name}" for name in scoring.DIMENSIONS]
+SCORE_COLUMNS = [
+    *[f"round({name}, 2) AS score_{name}" for name in scoring.DIMENSIONS],
+    "round(composite, 2) AS composite_score",
+    "routing_decision",
+    "failure_flags",
+]
 
 
 def episode_stats(
@@ -17,76 +21,57 @@ def episode_stats(
     """Attach frame and phase statistics to episode headers.
 
     All three sides have one row per episode and are hashed on ``episode_id``,
-    so the joins need no further shuffle of the frame statistics.
+    so the joins need no further shuffle of the frame statistics. Headers keep
+    episodes without frames.
     """
     return (
         episodes.join(rows.frame_stats(frames), "episode_id", "left")
         .join(rows.last_complete_phase(phases), "episode_id", "left")
-        .withColumn("n_frames", F.coalesce(F.col("n_frames"), F.lit(0)))
+        .fillna({"n_frames": 0})
     )
 
 
 def dimension_scores(stats: DataFrame) -> DataFrame:
-    """Add the five unrounded-composite inputs and their flags."""
-    pairs = {
-        "sensor_completeness": scoring.sensor_completeness(
-            F.col("n_values"), F.col("n_null"), F.col("max_null_run")
-        ),
-        "temporal_coherence": scoring.temporal_coherence(
-            F.col("n_stamps"), F.col("max_gap_ns"), F.col("n_bad_gaps"), F.col("mean_gap_ns")
-        ),
-        "motion_smoothness": scoring.motion_smoothness(F.col("n_pairs"), F.col("velocity_rms")),
-        "task_completion": scoring.task_completion(
-            F.col("status"), F.col("has_complete"), F.col("confidence")
-        ),
-        "trajectory_validity": scoring.trajectory_validity(
-            F.col("n_checked"), F.col("n_hard"), F.col("n_jumps")
-        ),
-    }
-    has_frames = F.col("n_frames") > 0
-    return stats.select(
+    """Add the five dimension scores and their flags."""
+    return stats.selectExpr(
         "*",
-        *[F.when(has_frames, score).otherwise(F.lit(0.0)).alias(n) for n, (score, _) in pairs.items()],
-        *[F.when(has_frames, flag).alias(f"flag_{n}") for n, (_, flag) in pairs.items()],
+        *[
+            f"CASE WHEN n_frames > 0 THEN {score} ELSE 0D END AS {name}"
+            for name, score in scoring.SCORES.items()
+        ],
+        *[
+            f"CASE WHEN n_frames > 0 THEN {flag} END AS flag_{name}"
+            for name, flag in scoring.FLAGS.items()
+        ],
     )
 
 
 def composite(scored: DataFrame) -> DataFrame:
     """Weighted sum, overrides and routing on the unrounded composite."""
-    has_frames = F.col("n_frames") > 0
-    weighted = scored.select(
-        "*",
-        F.when(has_frames, scoring.weighted_sum()).otherwise(F.lit(0.0)).alias("weighted"),
-        F.coalesce(has_frames & scoring.override_hit(), F.lit(False)).alias("overridden"),
-    )
-    capped = weighted.withColumn(
-        "composite",
-        F.when(
-            F.col("overridden"), F.least(F.col("weighted"), F.lit(scoring.OVERRIDE_CAP))
-        ).otherwise(F.col("weighted")),
-    )
-    return capped.select(
-        "*",
-        scoring.routing(F.col("composite")).alias("routing_decision"),
-        F.when(has_frames, F.array_compact(F.array(*FLAGS)))
-        .otherwise(F.array(F.lit("NO_FRAMES")))
-        .alias("failure_flags"),
+    flags = ", ".join(f"flag_{name}" for name in scoring.DIMENSIONS)
+    return (
+        scored.selectExpr(
+            "*",
+            f"CASE WHEN n_frames > 0 THEN {scoring.WEIGHTED_SUM} ELSE 0D END AS weighted",
+            f"coalesce(n_frames > 0 AND {scoring.OVERRIDE_HIT}, false) AS overridden",
+        )
+        .selectExpr(
+            "*",
+            f"""CASE WHEN overridden THEN least(weighted, {scoring.OVERRIDE_CAP}D)
+                ELSE weighted END AS composite""",
+        )
+        .selectExpr(
+            "*",
+            f"{scoring.routing('composite')} AS routing_decision",
+            f"""CASE WHEN n_frames > 0 THEN array_compact(array({flags}))
+                ELSE array('NO_FRAMES') END AS failure_flags""",
+        )
     )
 
 
-def score_columns() -> list:
-    return [
-        F.round(F.col(name), 2).alias(f"score_{name}") for name in scoring.DIMENSIONS
-    ] + [
-        F.round(F.col("composite"), 2).alias("composite_score"),
-        F.col("routing_decision"),
-        F.col("failure_flags"),
-    ]
-
-
 def score_episodes(episodes: DataFrame, frames: DataFrame, phases: DataFrame) -> DataFrame:
     """Score frame, phase and episode tables; one row per episode."""
     scored = composite(dimension_scores(episode_stats(episodes, frames, phases)))
-    return scored.select(
-        *episodes.columns, F.col("n_frames").alias("frame_count"), *score_columns()
+    return scored.selectExpr(
+        *episodes.columns, "n_frames AS frame_count", *SCORE_COLUMNS
     )

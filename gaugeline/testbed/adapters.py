@@ -47,54 +47,34 @@ def routing_label(score: Column) -> Column:
 
 def scored_episodes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One scored episode per event, with the columns the reports read."""
-    k = F.col("k")
-    factor = (
-        F.when(F.dayofmonth("ts") % 3 == 0, F.lit("0.20"))
-        .when(F.dayofmonth("ts") % 3 == 1, F.lit("0.28"))
-        .otherwise(F.lit("0.40"))
-        .cast("decimal(4,2)")
-    )
-    score = F.greatest(
-        F.lit(0.0),
-        F.round(F.lit(100) - F.col("value").cast("decimal(12,2)") * factor, 2).cast("double"),
-    )
-    flags = F.array_compact(
-        F.array(
-            F.when(
-                k % 10 == 3,
-                F.concat(
-                    F.lit("SENSOR_COMPLETENESS:DROPOUT_WINDOW("),
-                    (k + 3).cast("string"),
-                    F.lit(" consecutive null frames)"),
-                ),
-            ),
-            F.when(
-                k % 7 == 2,
-                F.concat(
-                    F.lit("  TEMPORAL_COHERENCE:GAP("),
-                    (k + 51).cast("string"),
-                    F.lit(".5ms max, 2 violations) "),
-                ),
-            ),
-            F.when(F.col("value") > 80, F.lit("TASK_COMPLETION:MISSING_COMPLETE_PHASE")),
-        )
-    )
+    factor = "CASE day(ts) % 3 WHEN 0 THEN 0.20BD WHEN 1 THEN 0.28BD ELSE 0.40BD END"
     return (
         table(spark, sf_dir, "events")
         .withColumn("k", prop_k())
-        .select(
-            F.col("event_id").cast("string").alias("episode_id"),
-            fleet_id("robot_", 5).alias("robot_id"),
-            fleet_id("operator_", 10).alias("operator_id"),
-            F.col("event_type").alias("task_type"),
-            F.col("ts").alias("ingested_at"),
-            score.alias("composite_score"),
-            F.when((k % 10 != 9) | (F.size(flags) > 0), flags).alias("failure_flags"),
-            failure_label(k).alias("injected_failure"),
-            (F.col("value") / 10).alias("scoring_latency_ms"),
-            (F.lit(600) + k).alias("frame_count"),
+        .selectExpr(
+            "cast(event_id AS string) AS episode_id",
+            "concat('robot_', lpad(cast(user_id % 5 + 1 AS string), 3, '0')) AS robot_id",
+            "concat('operator_', lpad(cast(user_id % 10 + 1 AS string), 3, '0')) AS operator_id",
+            "event_type AS task_type",
+            "ts AS ingested_at",
+            f"""greatest(0D, cast(round(100 - cast(value AS decimal(12,2)) * {factor}, 2)
+                AS double)) AS composite_score""",
+            """array_compact(array(
+                 CASE WHEN k % 10 = 3 THEN concat('SENSOR_COMPLETENESS:DROPOUT_WINDOW(', k + 3,
+                   ' consecutive null frames)') END,
+                 CASE WHEN k % 7 = 2 THEN concat('  TEMPORAL_COHERENCE:GAP(', k + 51,
+                   '.5ms max, 2 violations) ') END,
+                 CASE WHEN value > 80 THEN 'TASK_COMPLETION:MISSING_COMPLETE_PHASE' END
+               )) AS flags""",
+            "k",
+            "value / 10 AS scoring_latency_ms",
+            "600 + k AS frame_count",
         )
+        .withColumn("injected_failure", failure_label(F.col("k")))
         .withColumn("routing_decision", routing_label(F.col("composite_score")))
+        # Some unflagged rows have no flags array at all.
+        .withColumn("failure_flags", F.expr("CASE WHEN k % 10 <> 9 OR size(flags) > 0 THEN flags END"))
+        .drop("k", "flags")
     )
 
 
@@ -126,36 +106,34 @@ def ranked_events(
 
 def frames(spark: SparkSession, sf_dir: str, hot_rows: int = ordered.HOT_ROWS) -> DataFrame:
     """One sensor frame per event, one episode per user, twelve joints."""
-    user, event, pos, k = F.col("user_id"), F.col("event_id"), F.col("frame_index"), F.col("k")
-    zero = F.lit(0.0)
-    whole_null = (user % 7 == 0) & pos.between(10, 10 + user % 6)
-
-    def position(j: int) -> Column:
-        p = (
-            F.lit(0.02) * ((pos + j) % 5)
-            + F.when((user % 11 == 0) & pos.between(20, 30), 1.0).otherwise(zero)
-            + F.when(user % 13 == 0, 0.78).otherwise(zero)
-        )
-        if j == 7:
-            p = p + F.when(
-                user % 17 == 0, F.lit(0.70) + F.when(pos % 50 == 2, 0.05).otherwise(zero)
-            ).otherwise(zero)
-        gone = whole_null | (event % 211 == 0) if j == 3 else whole_null
-        return F.when(~gone, p)
-
-    velocity = F.when(~whole_null, (k / F.lit(100.0) - F.lit(0.5)) * (1 + user % 8))
-    return (
-        ranked_events(spark, sf_dir, hot_rows)
-        .withColumn("frame_index", F.col("seen") - 1)
-        .select(
-            user.alias("episode_id"),
-            "chunk",
-            "frame_index",
-            task_of_user().alias("task_type"),
-            F.when(event % 53 != 0, pos * 5_000_000 + F.col("stall_ns")).alias("timestamp_ns"),
-            F.array(*[position(j) for j in range(12)]).alias("positions"),
-            F.array_repeat(velocity, 12).alias("velocities"),
-        )
+    bumps = ranked_events(spark, sf_dir, hot_rows).selectExpr(
+        "user_id AS episode_id",
+        "chunk",
+        "seen - 1 AS frame_index",
+        "CASE WHEN event_id % 53 <> 0 THEN (seen - 1) * 5000000 + stall_ns END AS timestamp_ns",
+        "user_id % 7 = 0 AND seen - 1 BETWEEN 10 AND 10 + user_id % 6 AS gone",
+        "event_id % 211 = 0 AS gone_3",
+        "CASE WHEN user_id % 11 = 0 AND seen - 1 BETWEEN 20 AND 30 THEN 1D ELSE 0D END AS swing",
+        "CASE WHEN user_id % 13 = 0 THEN 0.78D ELSE 0D END AS lift",
+        """CASE WHEN user_id % 17 = 0
+           THEN 0.70D + CASE WHEN (seen - 1) % 50 = 2 THEN 0.05D ELSE 0D END
+           ELSE 0D END AS reach""",
+        "(k / 100D - 0.5D) * (1 + user_id % 8) AS speed",
+    )
+    position = "0.02D * ((frame_index + {j}) % 5) + swing + lift"
+    joints = [position.format(j=j) for j in range(12)]
+    joints[3] = f"CASE WHEN NOT gone_3 THEN {joints[3]} END"
+    joints[7] += " + reach"
+    return bumps.selectExpr(
+        "episode_id",
+        "chunk",
+        "frame_index",
+        f"element_at(array({', '.join(repr(t) for t in TASK_TYPES)}),"
+        " cast(episode_id % 5 AS int) + 1) AS task_type",
+        "timestamp_ns",
+        f"CASE WHEN gone THEN array_repeat(cast(NULL AS double), 12)"
+        f" ELSE array({', '.join(joints)}) END AS positions",
+        "array_repeat(CASE WHEN NOT gone THEN speed END, 12) AS velocities",
     )
 
 
