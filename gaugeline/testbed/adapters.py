@@ -170,3 +170,115 @@ def episodes(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.when(F.col("user_id") % 10 == 0, "aborted").otherwise("completed").alias("status"),
         )
     )
+
+
+def records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as topic records with an arbitrary text value."""
+    return table(spark, sf_dir, "events").selectExpr(
+        "cast(NULL AS binary) AS key",
+        "cast(props AS binary) AS value",
+        "event_type AS topic",
+        "cast(user_id % 32 AS int) AS partition",
+        "event_id AS offset",
+        "ts AS timestamp",
+    )
+
+
+def wire_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One JSON text per event, some of them incomplete or broken."""
+    base = (
+        table(spark, sf_dir, "events")
+        .withColumn("k", prop_k())
+        .withColumn("label", failure_label(F.col("k")))
+        .selectExpr(
+            "event_id",
+            "user_id",
+            "event_type",
+            "value",
+            "k",
+            "CASE WHEN k >= 50 THEN label END AS label",
+            "CASE WHEN event_id % 19 <> 0 THEN 1 END AS filled",
+        )
+    )
+    text = base.selectExpr(
+        "event_id",
+        """to_json(named_struct(
+             'episode_id', CASE WHEN event_id % 41 <> 0 THEN cast(event_id AS string) END,
+             'robot_id', concat('robot_', user_id % 5 + 1),
+             'operator_id', concat('operator_', user_id % 10 + 1),
+             'task_type', event_type,
+             'status', CASE WHEN user_id % 10 = 0 THEN 'aborted' ELSE 'completed' END,
+             'duration_ms', CASE WHEN event_id % 47 <> 0 THEN value * 10 END,
+             'injected_failure', label,
+             'sensor_frames', CASE WHEN event_id % 53 <> 0 THEN array(named_struct(
+                'timestamp_ns', event_id * 5000000,
+                'joint_positions', array_repeat(k / 100D, 12),
+                'joint_velocities', array_repeat(value, 12))) END,
+             '_score', CASE WHEN event_id % 17 <> 0 THEN named_struct(
+                'frame_count', 600 * filled + k,
+                'score_sensor_completeness', 100D * filled,
+                'score_temporal_coherence', (100D - k) * filled,
+                'score_motion_smoothness', value * filled,
+                'score_task_completion', 60D * filled,
+                'score_trajectory_validity', 12.5D * filled,
+                'composite_score', CASE WHEN event_id % 43 = 0 THEN 120D
+                                        ELSE greatest(0D, 100D - value) END * filled,
+                'routing_decision', CASE
+                   WHEN event_id % 31 = 0 OR filled IS NULL THEN NULL
+                   WHEN event_id % 37 = 0 THEN 'PENDING'
+                   WHEN k < 40 THEN 'CERTIFIED' WHEN k < 70 THEN 'BORDERLINE'
+                   ELSE 'REJECTED' END,
+                'failure_flags', CASE WHEN k % 3 <> 0 AND filled = 1
+                   THEN array(concat('FLAG:', k), 'OTHER') END,
+                'scoring_latency_ms', value / 10 * filled) END))
+           AS text""",
+    )
+    return text.selectExpr(
+        "event_id",
+        """CASE WHEN event_id % 23 = 0 THEN left(text, length(text) - 5)
+                WHEN event_id % 29 = 0 THEN concat('[', text, ']')
+                ELSE text END AS text""",
+    )
+
+
+def nested_episodes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One five-frame episode per embedding: 12 joints from 12 components each."""
+    frames = """transform(sequence(0, 4), i -> named_struct(
+        'timestamp_ns', CASE WHEN (vec_id + i) % 9 <> 0 THEN i * 5000000L
+           + CASE WHEN vec_id % 5 = 0 AND i >= 3 THEN 60000000L ELSE 0L END END,
+        'joint_positions', CASE WHEN vec_id % 7 = 0 AND i BETWEEN 1 AND 1 + vec_id % 4
+           THEN array_repeat(double('NaN'), 12)
+           ELSE transform(slice(embedding, 12 * i + 1, 12), v -> v * scale) END,
+        'joint_velocities', transform(slice(embedding, 12 * i + 1, 12),
+           v -> cast(v AS double) * (1 + vec_id % 6)),
+        'gripper_force', array(0D, 0D),
+        'ee_pose', cast(array() AS array<double>),
+        'frame_index', i))"""
+    return (
+        table(spark, sf_dir, "embeddings")
+        .selectExpr(
+            "*", "CASE WHEN vec_id % 3 = 0 THEN 3.0D ELSE 0.1D END AS scale"
+        )
+        .selectExpr(
+            "cast(vec_id AS string) AS episode_id",
+            "concat('robot_', vec_id % 5 + 1) AS robot_id",
+            "concat('operator_', vec_id % 10 + 1) AS operator_id",
+            f"""element_at(array({', '.join(repr(t) for t in TASK_TYPES)}),
+                cast(vec_id % 5 AS int) + 1) AS task_type""",
+            "vec_id AS session_ts",
+            "CASE WHEN vec_id % 8 = 0 THEN 'aborted' ELSE 'completed' END AS status",
+            "25D AS duration_ms",
+            "vec_id % 8 <> 0 AS task_completed",
+            "'none' AS injected_failure",
+            "5 AS frame_count",
+            f"CASE WHEN vec_id % 50 = 7 THEN slice({frames}, 1, 0) ELSE {frames} END"
+            " AS sensor_frames",
+            """cast(array() AS array<struct<timestamp_ns: bigint, frame_id: int,
+               exposure_ms: double, sync_ok: boolean, camera_id: string>>) AS camera_frames""",
+            """array(
+               named_struct('timestamp_ns', 0L, 'phase', 'approach', 'confidence', 0.95D),
+               named_struct('timestamp_ns', 1L, 'phase',
+                 CASE WHEN vec_id % 6 = 0 THEN 'retract' ELSE 'complete' END,
+                 'confidence', (vec_id % 11) / 10D)) AS phase_events""",
+        )
+    )
