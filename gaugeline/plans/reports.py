@@ -155,10 +155,9 @@ def category_shares(
     )
     total_episodes = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).scalar()
     total_frames = counts.agg(F.coalesce(F.sum("frames"), F.lit(0)).alias("n")).scalar()
-    domain = spark.createDataFrame(
-        [("failure_mode", m) for m in FAILURE_MODES] + [("task_type", t) for t in TASK_TYPES],
-        "category string, label string",
-    )
+    labels = [("failure_mode", m) for m in FAILURE_MODES] + [("task_type", t) for t in TASK_TYPES]
+    values = ", ".join(f"('{category}', '{label}')" for category, label in labels)
+    domain = spark.sql(f"SELECT * FROM VALUES {values} AS domain(category, label)")
     n = F.coalesce(F.col("n"), F.lit(0))
     return (
         domain.join(by_label, ["category", "label"], "left")
