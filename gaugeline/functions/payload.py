@@ -7,14 +7,19 @@ bounded by size (an episode inflates about tenfold), and leave JSON to Spark.
 from __future__ import annotations
 
 import gzip
+import sys
 import zlib
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# Ship these functions with the job: executors then need no copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 SLICE_BYTES = 32 << 20
 
 

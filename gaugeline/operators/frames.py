@@ -18,10 +18,19 @@ from gaugeline.operators.ordered import FRAMES_PER_CHUNK, neighbours
 
 
 def with_chunk(frames: DataFrame, size: int = FRAMES_PER_CHUNK) -> DataFrame:
-    """Use the given ``chunk`` column, or cut by position in the episode."""
+    """Use the given ``chunk`` column, or cut by position in the episode.
+
+    A row without an episode or a position is no frame. The explicit shuffle is
+    the one the windows need anyway; naming it lets operators that look at the
+    frames twice share it.
+    """
     if "chunk" in frames.columns:
         return frames
-    return frames.selectExpr("*", f"cast(frame_index AS bigint) DIV {size} AS chunk")
+    return (
+        frames.where("episode_id IS NOT NULL AND frame_index IS NOT NULL")
+        .selectExpr("*", f"coalesce(cast(frame_index AS bigint) DIV {size}, 0L) AS chunk")
+        .repartition("episode_id", "chunk")
+    )
 
 
 def explode_frames(episodes: DataFrame) -> DataFrame:

@@ -126,7 +126,13 @@ def task_type_summary(silver: DataFrame) -> DataFrame:
     return score_stats(silver, [F.col("task_type")], ["task_type"]).orderBy("task_type")
 
 
-def _failures(silver: DataFrame, flag: Column) -> DataFrame:
+def failure_counts(silver: DataFrame, flag: Column | None = None) -> DataFrame:
+    """Episodes and scores per (day, task, routing, flag), not ranked yet.
+
+    The distinct count is split by episode first, so one hot flag is spread
+    over many tasks.
+    """
+    flag = F.trim("failure_flag") if flag is None else flag
     exploded = silver.where(F.size("failure_flags") > 0).select(
         report_date(),
         "task_type",
@@ -154,13 +160,16 @@ def _failures(silver: DataFrame, flag: Column) -> DataFrame:
     )
 
 
-def _ranked(failures: DataFrame) -> DataFrame:
+def rank_failures(failures: DataFrame) -> DataFrame:
     """Rank flags inside (report_date, task_type), most affected first.
 
     Flag texts carry measured numbers, so one date and task can have a great
     many of them. Counting per (affected, routing, head of the flag) first lets
     the rank be computed in many tasks. The sort direction is expressed by the
     negated count so that every chunk column sorts ascending.
+
+    ``failures`` is read twice; on large data store it first, as the gold
+    refresh does.
     """
     order = ["more_affected", "routing_decision", "flag_head", "failure_flag"]
     return (
@@ -181,13 +190,13 @@ def _ranked(failures: DataFrame) -> DataFrame:
 
 def gold_failure_summary(silver: DataFrame) -> DataFrame:
     """Flag frequency with the raw flag text, as stored."""
-    return _ranked(_failures(silver, F.trim("failure_flag")))
+    return rank_failures(failure_counts(silver))
 
 
 def failure_kind_summary(silver: DataFrame) -> DataFrame:
     """The same summary per flag kind: measured numbers are stripped."""
-    return _ranked(
-        _failures(silver, F.regexp_extract(F.trim("failure_flag"), FLAG_KIND, 0))
+    return rank_failures(
+        failure_counts(silver, F.regexp_extract(F.trim("failure_flag"), FLAG_KIND, 0))
     )
 
 

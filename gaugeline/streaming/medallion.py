@@ -23,7 +23,6 @@ from gaugeline.sources.tables import read_path, stream_path
 
 GOLD_TABLES: Mapping[str, Callable[[DataFrame], DataFrame]] = {
     "gold_daily_robot_stats": gold.gold_daily_robot_stats,
-    "gold_failure_summary": gold.gold_failure_summary,
     "gold_sla_compliance": gold.gold_sla_compliance,
     "operator_metrics": gold.operator_metrics,
     "task_type_summary": gold.task_type_summary,
@@ -113,9 +112,17 @@ def start_rescored(
 
 
 def refresh_gold(spark: SparkSession, root: str) -> None:
-    """Recompute every gold table from the current silver snapshot."""
+    """Recompute every gold table from the current silver snapshot.
+
+    The ranking of failures reads its counts twice, so they are stored once.
+    """
+    silver_rows = read_path(spark, f"{root}/silver_episodes")
     for name, build in GOLD_TABLES.items():
-        replace_path(build(read_path(spark, f"{root}/silver_episodes")), f"{root}/{name}")
+        replace_path(build(silver_rows), f"{root}/{name}")
+    staged = checkpoint_dir(spark, root, "failure_counts")
+    replace_path(gold.failure_counts(silver_rows), staged)
+    ranked = gold.rank_failures(read_path(spark, staged))
+    replace_path(ranked, f"{root}/gold_failure_summary")
 
 
 def run_once(records: DataFrame, root: str) -> dict[str, int]:

@@ -213,3 +213,26 @@ def test_size_slices_do_not_change_the_answer(spark, monkeypatch):
     out = list(payload._sliced(iter(batches), lambda b: b.decode(), pa.string()))
     assert [v for a in out for v in a.to_pylist()] == ["abc", None, None, "0123456789ab", "z"]
     assert len(out) > 2
+
+
+def test_executors_need_no_copy_of_the_package(tmp_path):
+    """Workers start in another folder, without the package on their path."""
+    import os
+    import subprocess
+    import sys
+
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    script = tmp_path / "job.py"
+    script.write_text(
+        f"import sys; sys.path.insert(0, {repo!r})\n"
+        "from pyspark.sql import SparkSession, functions as F\n"
+        "from gaugeline.functions.payload import gunzip, gzip_text\n"
+        "spark = SparkSession.builder.master('local[1]')"
+        ".config('spark.ui.enabled', 'false').getOrCreate()\n"
+        "df = spark.range(3).select(gzip_text(F.col('id').cast('string')).alias('z'))\n"
+        "print('back', sorted(r[0] for r in df.select(gunzip(F.col('z'))).collect()))\n"
+    )
+    done = subprocess.run(
+        [sys.executable, str(script)], cwd=tmp_path, capture_output=True, text=True, timeout=300
+    )
+    assert "back ['0', '1', '2']" in done.stdout, done.stderr[-2000:]

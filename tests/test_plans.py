@@ -54,6 +54,22 @@ def test_frames_are_shuffled_once(spark, tmp_path):
     assert re.match(r"episode_id#\d+L, chunk#\d+L, 4", exchanges[1])
 
 
+def test_neighbour_lookups_share_the_shuffle(spark, tmp_path):
+    path = str(tmp_path / "frames")
+    adapters.frames(spark, SF).drop("chunk").write.parquet(path)
+    frames = spark.read.parquet(path)
+    for build in (rows.finite_diff_velocity, rows.frame_gaps):
+        df = build(rows.with_chunk(frames, 10))
+        df.collect()
+        final = plan(df).split("== Initial Plan ==")[0]
+        assert "ReusedExchange" in final
+        assert len(re.findall(r"FileScan", final)) == 1
+        # Whole episodes need no look across chunks: the join disappears.
+        df = build(frames)
+        df.collect()
+        assert "Join" not in plan(df).split("== Initial Plan ==")[0]
+
+
 def test_columns_are_pruned(spark):
     text = plan(QUERIES["routing_counts"](spark, SF))
     assert "ReadSchema: struct<ts:timestamp_ntz,value:double>" in text
