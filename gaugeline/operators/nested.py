@@ -13,20 +13,39 @@ from gaugeline.functions.arrays import JOINTS, number
 from gaugeline.plans import score
 
 LIMITS = f"array({', '.join(number(v) for v in scoring.JOINT_LIMITS)})"
+JUMP = number(scoring.MAX_JUMP_RAD)
 
-# One entry per frame; ``get`` answers NULL for the frame before the first.
+# ``get`` answers NULL for the frame before the first.
+BEFORE_P = f"coalesce(get(frames, i - 1).p, {arrays.NO_DOUBLES})"
+BEFORE_V = f"coalesce(get(frames, i - 1).v, {arrays.NO_DOUBLES})"
+MOVES = f"zip_with(f.p12, slice({BEFORE_P}, 1, {JOINTS}), (x, y) -> abs(x - y))"
+EXCESS = f"zip_with(f.p12, {LIMITS}, (x, lim) -> abs(x) - lim * task_scale)"
+
+
+def over(values: str, limit: str) -> str:
+    """How many values exceed ``limit``; mostly settled by the largest one."""
+    return (
+        f"CASE WHEN array_max({values}) > {limit}"
+        f" THEN size(filter({values}, x -> x > {limit})) ELSE 0 END"
+    )
+
+
+# One entry per frame. Lambdas are the cost here, so whatever a native array
+# function can settle (no NULLs, nothing above a limit) is asked first.
 FRAME_MEASURES = f"""transform(frames, (f, i) -> named_struct(
     'n_values', size(f.p) + size(f.v),
     'n_null', {arrays.count_null("f.p")} + {arrays.count_null("f.v")},
-    'squares', filter(zip_with(f.v, coalesce(get(frames, i - 1).v, {arrays.NO_DOUBLES}),
-                               (x, y) -> (x - y) * (x - y)), d -> d IS NOT NULL),
-    'n_checked', size(filter(slice(f.p, 1, {JOINTS}), x -> x IS NOT NULL)),
-    'n_hard', size(filter(zip_with(slice(f.p, 1, {JOINTS}), {LIMITS},
-                                   (x, lim) -> abs(x) > lim * task_scale), h -> h)),
-    'n_jumps', size(filter(
-        zip_with(slice(f.p, 1, {JOINTS}),
-                 slice(coalesce(get(frames, i - 1).p, {arrays.NO_DOUBLES}), 1, {JOINTS}),
-                 (x, y) -> abs(x - y) > {number(scoring.MAX_JUMP_RAD)}), m -> m))
+    'sum_sq', aggregate(
+        zip_with(f.v, {BEFORE_V}, (x, y) -> (x - y) * (x - y)),
+        0D, (acc, d) -> acc + coalesce(d, 0D)),
+    'n_pairs', CASE
+        WHEN array_contains(f.v, {arrays.NAN}) = false
+             AND array_contains({BEFORE_V}, {arrays.NAN}) = false
+          THEN least(size(f.v), size({BEFORE_V}))
+        ELSE size(filter(zip_with(f.v, {BEFORE_V}, (x, y) -> x - y), d -> d IS NOT NULL)) END,
+    'n_checked', size(f.p12) - ({arrays.count_null("f.p12")}),
+    'n_hard', {over(EXCESS, "0D")},
+    'n_jumps', {over(MOVES, JUMP)}
   ))"""
 
 LONGEST_RUN = """aggregate(
@@ -53,6 +72,7 @@ def nested_stats(episodes: DataFrame) -> DataFrame:
             f"""transform(coalesce(sensor_frames, array()), f -> named_struct(
                   'ts', f.timestamp_ns,
                   'p', {arrays.readings("f.joint_positions")},
+                  'p12', slice({arrays.readings("f.joint_positions")}, 1, {JOINTS}),
                   'v', {arrays.readings("f.joint_velocities")})) AS frames""",
             """filter(coalesce(phase_events, array()), e -> e.phase = 'complete')
                AS completes""",
@@ -73,7 +93,8 @@ def nested_stats(episodes: DataFrame) -> DataFrame:
             """zip_with(slice(stamps, 2, size(stamps)),
                         slice(stamps, 1, greatest(size(stamps) - 1, 0)),
                         (b, a) -> b - a) AS gaps""",
-            "flatten(transform(measures, m -> m.squares)) AS squares",
+            "aggregate(measures, 0D, (acc, m) -> acc + m.sum_sq) AS sum_sq",
+            summed("n_pairs"),
         )
         .selectExpr(
             *header,
@@ -86,9 +107,8 @@ def nested_stats(episodes: DataFrame) -> DataFrame:
             f"cast(size(filter(gaps, g -> g > {scoring.MAX_GAP_NS})) AS bigint) AS n_bad_gaps",
             """(get(stamps, size(stamps) - 1) - get(stamps, 0)) / nullif(size(stamps) - 1, 0)
                AS mean_gap_ns""",
-            "cast(size(squares) AS bigint) AS n_pairs",
-            """sqrt(aggregate(squares, 0D, (acc, d) -> acc + d) / nullif(size(squares), 0))
-               AS velocity_rms""",
+            "n_pairs",
+            "sqrt(sum_sq / nullif(n_pairs, 0)) AS velocity_rms",
             summed("n_checked"),
             summed("n_hard"),
             summed("n_jumps"),

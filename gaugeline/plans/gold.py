@@ -171,19 +171,27 @@ def rank_failures(failures: DataFrame) -> DataFrame:
     ``failures`` is read twice; on large data store it first, as the gold
     refresh does.
     """
-    order = ["more_affected", "routing_decision", "flag_head", "failure_flag"]
+    # Structs compare field by field and are never NULL themselves, so a missing
+    # task or flag still finds its group.
+    packed = failures.withColumns(
+        {
+            "task_day": F.struct("report_date", "task_type"),
+            "chunk": F.struct(
+                (-F.col("affected_episodes")).alias("more_affected"),
+                F.col("routing_decision"),
+                F.substring("failure_flag", 1, 40).alias("flag_head"),
+            ),
+        }
+    )
     return (
         running_totals(
-            failures.withColumn("more_affected", -F.col("affected_episodes")).withColumn(
-                "flag_head", F.substring("failure_flag", 1, 40)
-            ),
+            packed,
             {"failure_rank": F.lit(1).cast("long")},
-            order_by=order,
-            chunk=order[:3],
-            partition_by=["report_date", "task_type"],
+            order_by=["chunk", "failure_flag"],
+            partition_by=["task_day"],
         )
         .withColumn("failure_rank", F.col("failure_rank").cast("int"))
-        .drop("more_affected", "flag_head")
+        .drop("task_day", "chunk")
         .orderBy("report_date", "task_type", "failure_rank")
     )
 

@@ -282,3 +282,27 @@ def nested_episodes(spark: SparkSession, sf_dir: str) -> DataFrame:
                  'confidence', (vec_id % 11) / 10D)) AS phase_events""",
         )
     )
+
+
+def document_episodes(documents: DataFrame) -> DataFrame:
+    """One episode per document and one frame per word: realistic lengths."""
+    words = documents.selectExpr(
+        "doc_id", "transform(split(text, ' ', -1), w -> length(w)) AS lengths"
+    )
+    return words.selectExpr(
+        "cast(doc_id AS string) AS episode_id",
+        "concat('robot_', doc_id % 5 + 1) AS robot_id",
+        "concat('operator_', doc_id % 10 + 1) AS operator_id",
+        f"""element_at(array({', '.join(repr(t) for t in TASK_TYPES)}),
+            cast(doc_id % 5 AS int) + 1) AS task_type""",
+        "'completed' AS status",
+        "cast(size(lengths) * 5 AS double) AS duration_ms",
+        "'none' AS injected_failure",
+        """transform(lengths, (n, i) -> named_struct(
+             'timestamp_ns', CASE WHEN n <> 13 THEN i * 5000000L END,
+             'joint_positions', array_repeat(CASE WHEN n > 0 THEN n * 0.01D END, 12),
+             'joint_velocities', array_repeat(CASE WHEN n > 0 THEN (n % 10) * 0.3D END, 12)
+           )) AS sensor_frames""",
+        """array(named_struct('timestamp_ns', 0L, 'phase', 'complete',
+                              'confidence', (doc_id % 10) / 10D)) AS phase_events""",
+    )

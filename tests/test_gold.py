@@ -132,6 +132,25 @@ def test_failure_summary(silver, rows):
     assert order == sorted(order)
 
 
+def test_missing_tasks_and_flags_are_ranked_too(spark):
+    rows = []
+    for i, flags in enumerate([["A"], ["A", "B"], [None, "B"], ["C", "A" * 60, "A" * 59 + "B"]]):
+        for task in (None, "pick_place"):
+            rows.append((f"e{i}", task, flags))
+    df = spark.createDataFrame(
+        rows, "episode_id string, task_type string, failure_flags array<string>"
+    ).selectExpr(
+        "*", "timestamp'2024-01-01' AS ingested_at", "cast(50 AS float) AS composite_score",
+        "'REJECTED' AS routing_decision",
+    )
+    found = gold.gold_failure_summary(df).collect()
+    for task in (None, "pick_place"):
+        ranked = [(r["failure_rank"], r["failure_flag"]) for r in found if r["task_type"] == task]
+        assert sorted(ranked) == [
+            (1, "A"), (2, "B"), (3, None), (4, "A" * 60), (5, "A" * 59 + "B"), (6, "C"),
+        ]
+
+
 def test_failure_kinds(silver):
     kinds = {r["failure_flag"] for r in gold.failure_kind_summary(silver).collect()}
     assert kinds == {"A_B:GAP", "C_D:X", "NO_FRAMES"}
