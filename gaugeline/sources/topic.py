@@ -17,17 +17,24 @@ def kafka_options(
     topic: str,
     starting_offsets: str = "latest",
     login_module_prefix: str = "",
+    max_offsets_per_trigger: int | None = None,
 ) -> dict[str, str]:
     """Kafka options for an event hub given by its connection string.
 
-    ``login_module_prefix`` is for runtimes that ship a relocated Kafka client.
+    ``login_module_prefix`` is for runtimes that ship a relocated Kafka client;
+    ``max_offsets_per_trigger`` bounds how much one micro-batch reads.
     """
     # Endpoint format, port and time limits of the broker.
     namespace = namespace_of(connection_string)
     if not namespace:
         raise ValueError("the connection string names no Endpoint=sb://<namespace> host")
     module = f"{login_module_prefix}org.apache.kafka.common.security.plain.PlainLoginModule"
+    bound = (
+        {} if max_offsets_per_trigger is None
+        else {"maxOffsetsPerTrigger": str(max_offsets_per_trigger)}
+    )
     return {
+        **bound,
         "kafka.bootstrap.servers": f"{namespace}.servicebus.windows.net:9093",
         "kafka.security.protocol": "SASL_SSL",
         "kafka.sasl.mechanism": "PLAIN",

@@ -18,7 +18,7 @@ from gaugeline.operators import decode, quality
 from gaugeline.operators.nested import score_nested
 from gaugeline.plans import gold
 from gaugeline.schemas import BRONZE
-from gaugeline.sinks.tables import append_stream, replace_path
+from gaugeline.sinks.tables import append_stream, create_schema, replace_path, replace_table
 from gaugeline.sources.tables import read_path, stream_path
 
 GOLD_TABLES: Mapping[str, Callable[[DataFrame], DataFrame]] = {
@@ -28,6 +28,14 @@ GOLD_TABLES: Mapping[str, Callable[[DataFrame], DataFrame]] = {
     "task_type_summary": gold.task_type_summary,
 }
 
+GOLD_COMMENTS = {
+    "gold_daily_robot_stats": "Episode volume, scores and certified rate per robot, task and day",
+    "gold_failure_summary": "Failure flags by day, task and routing decision, ranked",
+    "gold_sla_compliance": "Daily certified rate with rolling means and SLA status",
+    "operator_metrics": "Episode volume, scores and certified rate per operator",
+    "task_type_summary": "Episode volume, scores and certified rate per task type",
+}
+
 
 def checkpoint_dir(spark: SparkSession, root: str, step: str) -> str:
     """A step's progress folder, in the shared folder the cluster names.
@@ -125,6 +133,18 @@ def refresh_gold(spark: SparkSession, root: str) -> None:
     replace_path(ranked, f"{root}/gold_failure_summary")
 
 
+def refresh_gold_tables(silver_rows: DataFrame, schema: str, scratch: str) -> None:
+    """The same refresh into catalog tables with comments and properties."""
+    spark = silver_rows.sparkSession
+    create_schema(spark, schema)
+    staged = checkpoint_dir(spark, scratch, "failure_counts")
+    replace_path(gold.failure_counts(silver_rows), staged)
+    tables = {name: build(silver_rows) for name, build in GOLD_TABLES.items()}
+    tables["gold_failure_summary"] = gold.rank_failures(read_path(spark, staged))
+    for name, df in tables.items():
+        replace_table(df, f"{schema}.{name}", GOLD_COMMENTS[name], {"quality": "gold"})
+
+
 def run_once(records: DataFrame, root: str) -> dict[str, int]:
     """Process all waiting records through the three layers, then stop.
 

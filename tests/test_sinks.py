@@ -32,7 +32,9 @@ def test_kafka_options():
 def test_kafka_options_for_a_relocated_client_and_replay():
     options = kafka_options(CONNECTION, "t", "earliest", login_module_prefix="shaded.")
     assert options["kafka.sasl.jaas.config"].startswith("shaded.org.apache.kafka.")
-    assert options["startingOffsets"] == "earliest"
+    assert options["startingOffsets"] == "earliest" and "maxOffsetsPerTrigger" not in options
+    options = kafka_options(CONNECTION, "t", max_offsets_per_trigger=50)
+    assert options["maxOffsetsPerTrigger"] == "50"
 
 
 def test_bad_connection_string():
@@ -69,3 +71,20 @@ def test_episode_files_take_defaults(spark, tmp_path):
     assert (row["frame_count"], row["duration_ms"], row["injected_failure"]) == (0, 0.0, "none")
     assert (row["status"], row["task_type"]) == ("aborted", "pick_place")
     assert row["sensor_frames"] == [] and row["phase_events"] == []
+
+
+def test_gold_tables_in_the_catalog(spark, tmp_path):
+    from gaugeline.plans import gold
+    from gaugeline.streaming import medallion
+    from gaugeline.testbed.adapters import scored_episodes
+
+    silver = scored_episodes(spark, "/root/testdata/sf0.001")
+    for _ in range(2):
+        medallion.refresh_gold_tables(silver, "reports", str(tmp_path))
+    for name, comment in medallion.GOLD_COMMENTS.items():
+        rows = spark.sql(f"DESCRIBE TABLE EXTENDED reports.{name}").collect()
+        described = {r["col_name"]: r["data_type"] for r in rows}
+        assert described["Comment"] == comment and "quality=gold" in described["Table Properties"]
+    stored = spark.read.table("reports.gold_failure_summary")
+    wanted = gold.gold_failure_summary(silver)
+    assert sorted(map(str, stored.collect())) == sorted(map(str, wanted.collect()))
