@@ -69,7 +69,10 @@ def clip_joints(
         f" least(greatest(cast(get({positions}, {j}) AS double), {number(lo)}), {number(hi)}) END"
         for j, (lo, hi) in enumerate(zip(low, high))
     )
-    return f"slice(array({limited}), 1, least(size({positions}), {len(low)}))"
+    return (
+        f"CASE WHEN {positions} IS NOT NULL"
+        f" THEN slice(array({limited}), 1, least(size({positions}), {len(low)})) END"
+    )
 
 
 def ee_pose(positions: str) -> str:

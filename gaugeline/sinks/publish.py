@@ -79,3 +79,20 @@ def publish_frame(episodes: DataFrame, topic: str) -> DataFrame:
         gzip_text(text).alias("value"),
         F.lit(topic).alias("topic"),
     )
+
+
+def to_topic(frame: DataFrame, options: dict[str, str]) -> None:
+    """Send a batch of records; batching by size is the connector's job."""
+    frame.write.format("kafka").options(**options).save()
+
+
+def to_files(frame: DataFrame, path: str) -> None:
+    """The same records as files, for a reader of ``file_topic``."""
+    frame.selectExpr(
+        "key",
+        "value",
+        "topic",
+        "0 AS partition",
+        "monotonically_increasing_id() AS offset",
+        "current_timestamp() AS timestamp",
+    ).write.mode("append").parquet(path)

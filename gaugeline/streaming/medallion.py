@@ -119,6 +119,15 @@ def start_rescored(
     return writer.trigger(**trigger).start(f"{root}/rescored_episodes")
 
 
+def batch_times(query: StreamingQuery) -> list[dict[str, int]]:
+    """Milliseconds per step of each recent micro-batch; the columnar form of a
+    scoring latency, which has no meaning for a single row."""
+    return [
+        {"batchId": p["batchId"], "numInputRows": p["numInputRows"], **p["durationMs"]}
+        for p in query.recentProgress
+    ]
+
+
 def refresh_gold(spark: SparkSession, root: str) -> None:
     """Recompute every gold table from the current silver snapshot.
 

@@ -11,8 +11,9 @@ from episodes import build
 from pyspark.sql import functions as F
 
 from gaugeline.operators.nested import score_nested
+from gaugeline.plans.reports import validate_records
 from gaugeline.schemas import EPISODE, RECORD
-from gaugeline.sinks.publish import publish_frame, size_kb
+from gaugeline.sinks.publish import publish_frame, size_kb, to_files
 from gaugeline.sources.topic import file_topic
 from gaugeline.streaming import medallion
 
@@ -80,13 +81,27 @@ def test_scoring_inside_the_stream(spark, episodes, tmp_path):
     as_records(spark, values).write.parquet(topic)
     now = {"availableNow": True}
     medallion.start_bronze(file_topic(spark, topic), root, now).awaitTermination()
-    medallion.start_rescored(spark, root, now).awaitTermination()
+    query = medallion.start_rescored(spark, root, now)
+    query.awaitTermination()
+    times = [t for t in medallion.batch_times(query) if t["numInputRows"]]
+    assert len(times) == 1 and times[0]["triggerExecution"] > 0
     found = spark.read.parquet(f"{root}/rescored_episodes")
     wanted = score_nested(episodes)
     columns = wanted.columns
     assert sorted(map(str, found.select(columns).collect())) == sorted(map(str, wanted.collect()))
 
 
+def test_published_files_are_a_topic(spark, episodes, tmp_path):
+    topic, root = str(tmp_path / "topic"), str(tmp_path / "tables")
+    to_files(publish_frame(episodes, "episodes"), topic)
+    records = spark.read.schema(RECORD).parquet(topic)
+    row = validate_records(records).first()
+    assert row["received"] == len(CASES) and row["errors"] == 0 and row["schema_valid"] is True
+    assert row["certified"] == sum(c[3] == "CERTIFIED" for c in CASES.values())
+    assert validate_records(records, max_events=5).first()["received"] == 5
+    assert medallion.run_once(file_topic(spark, topic), root)["rows"] == len(CASES)
+
+
 def test_published_payload_is_the_wire_format(spark, episodes):
     sent = publish_frame(episodes.where("episode_id IN ('E3', 'E6c')"), "episodes").collect()
     docs = [json.loads(gzip.decompress(bytes(r["value"]))) for r in sent]
