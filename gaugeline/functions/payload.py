@@ -48,6 +48,12 @@ def _inflate(data: bytes) -> str | None:
         return None
 
 
+def _deflate(text: str) -> bytes:
+    # Level 6 halves the time of the default for about one percent more bytes; a
+    # fixed header time keeps equal documents equal on the wire.
+    return gzip.compress(text.encode("utf-8"), compresslevel=6, mtime=0)
+
+
 def gunzip(payload: Column) -> Column:
     """UTF-8 text of a gzip payload; NULL when empty or not decodable.
 
@@ -64,8 +70,7 @@ def gunzip(payload: Column) -> Column:
 
 def gzip_text(text: Column) -> Column:
     def deflate(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        # A fixed header time keeps equal documents equal on the wire.
-        return _sliced(batches, lambda t: gzip.compress(t.encode("utf-8"), mtime=0), pa.binary())
+        return _sliced(batches, _deflate, pa.binary())
 
     deflate.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
     return F.arrow_udf(deflate, T.BinaryType())(text)
