@@ -16,9 +16,9 @@ LIMITS = f"array({', '.join(number(v) for v in scoring.JOINT_LIMITS)})"
 JUMP = number(scoring.MAX_JUMP_RAD)
 
 # ``get`` answers NULL for the frame before the first.
-BEFORE_P = f"coalesce(get(frames, i - 1).p, {arrays.NO_DOUBLES})"
+BEFORE_P12 = f"coalesce(get(frames, i - 1).p12, {arrays.NO_DOUBLES})"
 BEFORE_V = f"coalesce(get(frames, i - 1).v, {arrays.NO_DOUBLES})"
-MOVES = f"zip_with(f.p12, slice({BEFORE_P}, 1, {JOINTS}), (x, y) -> abs(x - y))"
+MOVES = f"zip_with(f.p12, {BEFORE_P12}, (x, y) -> abs(x - y))"
 EXCESS = f"zip_with(f.p12, {LIMITS}, (x, lim) -> abs(x) - lim * task_scale)"
 
 

@@ -73,7 +73,9 @@ def scored_episodes(spark: SparkSession, sf_dir: str) -> DataFrame:
         .withColumn("injected_failure", failure_label(F.col("k")))
         .withColumn("routing_decision", routing_label(F.col("composite_score")))
         # Some unflagged rows have no flags array at all.
-        .withColumn("failure_flags", F.expr("CASE WHEN k % 10 <> 9 OR size(flags) > 0 THEN flags END"))
+        .withColumn(
+            "failure_flags", F.expr("CASE WHEN k % 10 <> 9 OR size(flags) > 0 THEN flags END")
+        )
         .drop("k", "flags")
     )
 

@@ -161,7 +161,9 @@ def test_expectations_are_counted(spark, bronze):
 
 
 def test_null_answers_violate(spark):
-    df = spark.createDataFrame([(None, "a"), ("CERTIFIED", "b")], "routing_decision string, episode_id string")
+    df = spark.createDataFrame(
+        [(None, "a"), ("CERTIFIED", "b")], "routing_decision string, episode_id string"
+    )
     kept = quality.apply(df, [e for e in quality.SILVER_EXPECTATIONS if e.drop]).collect()
     assert [r["episode_id"] for r in kept] == ["b"]
 

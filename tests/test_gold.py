@@ -234,7 +234,11 @@ def test_detection(silver, rows):
 def test_run_summary_counts_unknown_labels_as_rejected(spark):
     at = dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc)
     df = spark.createDataFrame(
-        [("CERTIFIED", at), ("BORDERLINE", at), ("PENDING", at + dt.timedelta(hours=26, seconds=4))],
+        [
+            ("CERTIFIED", at),
+            ("BORDERLINE", at),
+            ("PENDING", at + dt.timedelta(hours=26, seconds=4)),
+        ],
         "routing_decision string, ingested_at timestamp",
     )
     row = reports.run_summary(df).first()

@@ -11,7 +11,7 @@ from gaugeline.sinks import tables as sinks
 from gaugeline.sources import tables as sources
 from gaugeline.sources.topic import kafka_options
 
-CONNECTION = "Endpoint=sb://fleet-7.servicebus.windows.net/;SharedAccessKeyName=k;SharedAccessKey=s="
+CONNECTION = "Endpoint=sb://fleet-7.servicebus.windows.net/;SharedAccessKeyName=k"
 
 
 def test_kafka_options():
