@@ -16,14 +16,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gaugeline.llm.common import documents, mix, pack, spans, stored, text_slices, unpack, word_hashes
+from gaugeline.llm.common import documents, mix, pack, partitions, spans, stored, text_slices, unpack, word_hashes
 
 WINDOW = 20
 #: Text per share of the hash space: a task sorts a share's windows, about 1 for 6 bytes, at once.
-SHARE_BYTES = 24 << 20
+SHARE_BYTES = 12 << 20
 LEAST_SHARES = 12
-#: Text whose windows are packed together.
-BLOCK_BYTES = 12 << 20
+#: Text whose words are hashed at once, and whose windows are packed together.
+CHUNK = 2 << 20
+BLOCK_BYTES = 6 << 20
 
 _BASE = 0x9E3779B97F4A7C15 | 1
 _BASE_INVERSE = pow(_BASE, -1, 1 << 64)
@@ -51,36 +52,49 @@ def window_hashes(hashes: np.ndarray, counts: np.ndarray, size: int) -> tuple[np
     return mix((sums[at + size] - sums[at]) * back[at]), doc, start, tag
 
 
-def _replies(share: int, ids: np.ndarray, tags: np.ndarray, starts: np.ndarray) -> Iterator[tuple]:
-    """A row for each document: its repeated windows' starts. The arrays are sorted by document."""
-    if len(ids):
-        edge = np.flatnonzero(np.r_[True, (ids[1:] != ids[:-1]) | (tags[1:] != tags[:-1])])
-        for a, b in zip(edge, np.r_[edge[1:], len(ids)], strict=True):
-            yield share, int(ids[a]), int(tags[a]), pack(starts[a:b].astype(np.int32)), None, None, None
+_SENT = "share int, bucket int, hashes binary, runs binary, places binary"
+_REPLY = "bucket int, runs binary, places binary"
+_RUN = np.dtype([("doc_id", "<i8"), ("tag", "<u4"), ("count", "<u4")])
 
 
-_SENT = "share int, doc_id long, tag long, starts binary, hashes binary, runs binary, places binary"
-_KINDS = [pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.binary()]
-_RUN = np.dtype([("doc_id", "<i8"), ("tag", "<u4"), ("count", "<u4")])
+def _batch(rows: list[tuple], schema: str) -> pa.RecordBatch:
+    fields = [x.split() for x in schema.split(", ")]
+    columns = list(zip(*rows, strict=True)) if rows else [()] * len(fields)
+    kinds = {"int": pa.int32(), "binary": pa.binary()}
+    return pa.RecordBatch.from_arrays([pa.array(c, kinds[k]) for c, (_, k) in zip(columns, fields, strict=True)], names=[n for n, _ in fields])
+
+
+def _runs(ids: np.ndarray, tags: np.ndarray, starts: np.ndarray) -> tuple[bytes, bytes]:
+    """Windows in runs of the same document, and the gaps between their starts: both compress well."""
+    edge = np.flatnonzero(np.r_[True, (ids[1:] != ids[:-1]) | (tags[1:] != tags[:-1])])
+    run = np.zeros(len(edge), _RUN)
+    run["doc_id"], run["tag"], run["count"] = ids[edge], tags[edge], np.diff(np.r_[edge, len(ids)])
+    return pack(run), pack(np.diff(starts, prepend=0).astype(np.int32))
+
 
+def _by(key: np.ndarray, most: int) -> Iterator[tuple[int, np.ndarray]]:
+    """Each key below most that occurs, and where, in order."""
+    order = np.argsort(key.astype(np.uint32), kind="stable")
+    begin = np.searchsorted(key[order], np.arange(most + 1))
+    for k in np.flatnonzero(begin[1:] > begin[:-1]):
+        yield int(k), order[begin[k] : begin[k + 1]]
 
-def _batch(rows: list[tuple], names: list[str], kinds: list[pa.DataType]) -> pa.RecordBatch:
-    columns = list(zip(*rows, strict=True)) if rows else [()] * len(kinds)
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
 
+def _replies(ids: np.ndarray, tags: np.ndarray, starts: np.ndarray, buckets: int) -> Iterator[tuple[int, bytes, bytes]]:
+    """Repeated windows, packed by the bucket of their document. The arrays are sorted by document."""
+    for bucket, at in _by(ids % buckets, buckets):
+        yield bucket, *_runs(ids[at], tags[at], starts[at])
 
-def repeated_windows(docs: DataFrame, size: int = WINDOW, share_bytes: int = SHARE_BYTES) -> DataFrame:
-    """(doc_id, tag, starts): the starts of each document's windows whose words also start a window earlier.
 
-    tag tells rows of the same doc_id but other words apart; doc_id is the largest long where it is
-    null. starts is packed; a document may have several rows. Within a block of text only a hash's
-    first window is sent on, so a passage that a third of all documents share reaches its share
-    once per block.
+def repeated_windows(docs: DataFrame, buckets: int, size: int = WINDOW, share_bytes: int = SHARE_BYTES) -> DataFrame:
+    """(bucket, runs, places): each document's windows whose words also start a window earlier, packed by doc_id modulo buckets.
+
+    A run is a document's doc_id, a tag that tells rows of the same doc_id but other words apart,
+    and its number of places. Within a block of text only a hash's first window is sent on, so a
+    passage that a third of all documents share reaches its share once per block.
     """
-    docs = documents(docs, "doc_id", "text").withColumn("doc_id", F.coalesce("doc_id", F.lit(int(_LAST))))
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shares = max(LEAST_SHARES, math.ceil(total / share_bytes))
-    names = [x.split()[0] for x in _SENT.split(", ")]
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, ...]] = []
@@ -90,31 +104,20 @@ def repeated_windows(docs: DataFrame, size: int = WINDOW, share_bytes: int = SHA
             ids, tags, starts, hashes = (np.concatenate(x) for x in zip(*held, strict=True))
             held.clear()
             # The first window of each hash in this block, by doc_id and start.
-            order = np.lexsort((starts, ids))
-            ids, tags, starts, hashes = ids[order], tags[order], starts[order], hashes[order]
+            if (np.diff(ids) < 0).any():
+                order = np.lexsort((starts, tags, ids))
+                ids, tags, starts, hashes = ids[order], tags[order], starts[order], hashes[order]
             order = np.argsort(hashes, kind="stable")
-            first = _firsts(hashes[order], ids[order], starts[order])
             again = np.zeros(len(ids), bool)
-            again[order] = ~first
-            rows: list[tuple] = []
-            share = (hashes >> np.uint64(32)) % np.uint64(shares)
-            # A reply goes where its document's key sends it; the share only passes it on.
-            for row in _replies(0, ids[again], tags[again], starts[again]):
-                rows.append((int(mix(np.asarray([row[1]], np.int64).view(np.uint64))[0] % np.uint64(shares)), *row[1:]))
-            ids, tags, starts, hashes, share = (x[~again] for x in (ids, tags, starts, hashes, share))
-            order = np.argsort(share.astype(np.uint32), kind="stable")
-            begin = np.searchsorted(share[order], np.arange(shares + 1))
-            for k in np.flatnonzero(begin[1:] > begin[:-1]):
-                at = order[begin[k] : begin[k + 1]]
-                i, t = ids[at], tags[at]
-                edge = np.flatnonzero(np.r_[True, (i[1:] != i[:-1]) | (t[1:] != t[:-1])])
-                run = np.zeros(len(edge), _RUN)
-                run["doc_id"], run["tag"], run["count"] = i[edge], t[edge], np.diff(np.r_[edge, len(i)])
-                gaps = np.diff(starts[at], prepend=0).astype(np.int32)
-                rows.append((int(k), None, None, None, hashes[at].tobytes(), pack(run), pack(gaps)))
-            return _batch(rows, names, _KINDS)
-
-        for batch, texts in text_slices(batches):
+            again[order] = ~_firsts(hashes[order], ids[order], starts[order])
+            # These replies are known already; the shares only pass them on.
+            rows = [(bucket % shares, bucket, None, *x) for bucket, *x in _replies(ids[again], tags[again], starts[again], buckets)]
+            ids, tags, starts, hashes = (x[~again] for x in (ids, tags, starts, hashes))
+            for share, at in _by((hashes >> np.uint64(32)) % np.uint64(shares), shares):
+                rows.append((share, None, hashes[at].tobytes(), *_runs(ids[at], tags[at], starts[at])))
+            return _batch(rows, _SENT)
+
+        for batch, texts in text_slices(batches, limit=CHUNK):
             words: list[bytes] = []
             counts = np.zeros(len(texts), np.int64)
             for k, text in enumerate(texts):
@@ -124,7 +127,7 @@ def repeated_windows(docs: DataFrame, size: int = WINDOW, share_bytes: int = SHA
             h, doc, start, tag = window_hashes(word_hashes(words), counts, size)
             ids = batch.column("doc_id").to_numpy()
             if len(h):
-                held.append((ids[doc], tag[doc], start, h))
+                held.append((ids[doc], tag[doc], start.astype(np.int32), h))
                 weight += sum(map(len, texts))
             if weight >= BLOCK_BYTES:
                 yield flush()
@@ -133,41 +136,43 @@ def repeated_windows(docs: DataFrame, size: int = WINDOW, share_bytes: int = SHA
             yield flush()
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out = ["doc_id", "tag", "starts"]
         now, held = None, []
 
         def decide() -> pa.RecordBatch:
-            hashes = np.concatenate([x[0] for x in held])
-            ids = np.concatenate([np.repeat(x[1]["doc_id"], x[1]["count"]) for x in held])
-            tags = np.concatenate([np.repeat(x[1]["tag"], x[1]["count"]) for x in held])
-            starts = np.concatenate([np.cumsum(x[2], dtype=np.int64) for x in held])
-            held.clear()
+            hashes = np.concatenate([np.frombuffer(x[0], np.uint64) for x in held])
             order = np.argsort(hashes)
             ordered = hashes[order]
             # Only hashes with more than one window matter from here on.
             same = ordered[1:] == ordered[:-1]
-            order = order[np.r_[same, False] | np.r_[False, same]] if len(order) else order
-            order = order[np.lexsort((starts[order], ids[order], hashes[order]))]
+            order = order[np.r_[same, False] | np.r_[False, same]]
+            hashes = hashes[order]
+            del ordered, same
+            runs = [unpack(x[1], _RUN) for x in held]
+            ids = np.concatenate([np.repeat(x["doc_id"], x["count"]) for x in runs])[order]
+            tags = np.concatenate([np.repeat(x["tag"], x["count"]) for x in runs])[order]
+            # A document's first gap leads back to its own start, so the sums run over a whole row.
+            starts = np.concatenate([np.cumsum(unpack(x[2], np.int32), dtype=np.int32) for x in held])[order]
+            held.clear()
+            order = np.lexsort((starts, ids, hashes))
             again = order[~_firsts(hashes[order], ids[order], starts[order])]
             again = again[np.lexsort((starts[again], tags[again], ids[again]))]
-            return _batch([x[1:4] for x in _replies(0, ids[again], tags[again], starts[again])], out, [pa.int64(), pa.int64(), pa.binary()])
+            return _batch(list(_replies(ids[again], tags[again], starts[again], buckets)), _REPLY)
 
         for batch in batches:
-            rows = batch.to_pylist()
-            passed = [(r["doc_id"], r["tag"], r["starts"]) for r in rows if r["starts"] is not None]
-            if passed:
-                yield _batch(passed, out, [pa.int64(), pa.int64(), pa.binary()])
-            for r in rows:
-                if r["starts"] is None:
-                    if r["share"] != now and held:
-                        yield decide()
-                    now = r["share"]
-                    held.append((np.frombuffer(r["hashes"], np.uint64), unpack(r["runs"], _RUN), unpack(r["places"], np.int32)))
+            for share, bucket, hashes, runs, places in zip(*(batch.column(c) for c in ("share", "bucket", "hashes", "runs", "places")), strict=True):
+                share, bucket = share.as_py(), bucket.as_py()
+                if bucket is not None:
+                    yield _batch([(bucket, runs.as_py(), places.as_py())], _REPLY)
+                    continue
+                if share != now and held:
+                    yield decide()
+                now = share
+                held.append((hashes.as_py(), runs.as_py(), places.as_py()))
         if held:
             yield decide()
 
-    sent = docs.mapInArrow(send, _SENT).repartition(shares, "share").sortWithinPartitions("share")
-    return sent.mapInArrow(judge, "doc_id long, tag long, starts binary")
+    sent = docs.select("doc_id", "text").mapInArrow(send, _SENT).repartition(shares, "share").sortWithinPartitions("share")
+    return sent.mapInArrow(judge, _REPLY)
 
 
 def _firsts(hashes: np.ndarray, ids: np.ndarray, starts: np.ndarray) -> np.ndarray:
@@ -195,37 +200,62 @@ def remove_repeats(docs: DataFrame, size: int = WINDOW, keep_text: bool = True,
 
 def deduplicated(docs: DataFrame, size: int = WINDOW, share_bytes: int = SHARE_BYTES) -> DataFrame:
     """The rows of docs with the words kept as text; texts that lose nothing stay as they are. n_chars follows the text."""
-    others = [c for c in docs.columns if c not in ("doc_id", "text", "n_chars")]
-    return _removed(documents(docs, "doc_id", "text", *others), size, True, share_bytes, others).withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+    # The other columns travel as one, whatever their names.
+    others = [F.col(c) for c in docs.columns if c not in ("doc_id", "text", "n_chars")]
+    rows = documents(docs.withColumn("_row", F.struct(*others, F.lit(0).alias("_"))), "doc_id", "text", "_row")
+    out = _removed(rows, size, True, share_bytes, ["_row"])
+    own = {"doc_id": F.col("doc_id"), "text": F.col("text"), "n_chars": F.length("text").cast("long")}
+    return out.select(*[(own.get(c) if c in own else F.col("_row").getField(c)).alias(c) for c in docs.columns])
 
 
 def _removed(rows: DataFrame, size: int, keep_text: bool, share_bytes: int, others: list[str]) -> DataFrame:
-    found = stored(repeated_windows(rows, size, share_bytes), "windows").groupBy(F.col("doc_id").alias("_id")).agg(F.collect_list(F.struct("tag", "starts")).alias("_found"))
-    joined = rows.join(found, F.coalesce("doc_id", F.lit(int(_LAST))) == F.col("_id"), "left").drop("_id")
+    """Documents and replies meet by bucket; in each bucket the replies come first."""
+    buckets = _prime(max(LEAST_SHARES, partitions(rows.sparkSession)))
+    rows = rows.withColumn("_null", F.col("doc_id").isNull()).withColumn("doc_id", F.coalesce("doc_id", F.lit(int(_LAST))))
+    found = stored(repeated_windows(rows, buckets, size, share_bytes), "windows")
+    given = rows.withColumn("bucket", F.pmod("doc_id", F.lit(buckets)).cast("int"))
+    both = given.unionByName(found, allowMissingColumns=True).repartition(buckets, "bucket")
+    both = both.sortWithinPartitions("bucket", F.col("runs").isNull())
     kinds = [rows.schema[c] for c in others]
     schema = "doc_id long, text string, n_words long, n_removed long, kept_sha256 string" + "".join(f", `{k.name}` {k.dataType.simpleString()}" for k in kinds)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, texts in text_slices(batches):
+        now, known = None, {}
+        for batch, texts in text_slices(batches, limit=CHUNK):
             out: list[tuple] = []
-            for text, found in zip(texts, batch.column("_found").to_pylist(), strict=True):
+            columns = (batch.column(c) for c in ("bucket", "doc_id", "_null", "runs", "places"))
+            for text, bucket, doc, null, runs, places in zip(texts, *columns, strict=True):
+                if bucket.as_py() != now:
+                    now, known = bucket.as_py(), {}
+                if runs.is_valid:
+                    all_runs = unpack(runs.as_py(), _RUN)
+                    starts = np.cumsum(unpack(places.as_py(), np.int32), dtype=np.int32)
+                    for one, a, b in zip(all_runs.tolist(), *(x.tolist() for x in spans(all_runs["count"])), strict=True):
+                        known.setdefault(one[0], []).append((one[1], starts[a:b]))
+                    continue
                 words = text.split()
                 kept = words
-                if found:
+                if doc.as_py() in known:
                     tag = window_hashes(word_hashes(words), np.asarray([len(words)]), size)[3][0]
                     gone = np.zeros(len(words) + 1, np.int64)
-                    for x in found:
-                        if x["tag"] == tag:
-                            starts = unpack(x["starts"], np.int32)
+                    for t, starts in known[doc.as_py()]:
+                        if t == tag:
                             np.add.at(gone, starts, 1)
                             np.add.at(gone, starts + size, -1)
                     stay = np.cumsum(gone)[:-1] == 0
                     kept = [w for w, s in zip(words, stay.tolist(), strict=True) if s]
                 joined = b" ".join(kept)
                 new = None if not keep_text else joined if len(kept) < len(words) else text
-                out.append((new, len(words), len(words) - len(kept), hashlib.sha256(joined).hexdigest()))
-            new, n, removed, digest = zip(*out, strict=True)
+                out.append((None if null.as_py() else doc.as_py(), new, len(words), len(words) - len(kept), hashlib.sha256(joined).hexdigest()))
+            docs, new, n, removed, digest = zip(*out, strict=True) if out else [()] * 5
             text = pa.array(new, pa.binary()).cast(pa.string())
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), text, pa.array(n, pa.int64()), pa.array(removed, pa.int64()), pa.array(digest, pa.string()), *(batch.column(c) for c in others)], names=["doc_id", "text", "n_words", "n_removed", "kept_sha256", *others])
+            real = batch.filter(batch.column("runs").is_null())
+            yield pa.RecordBatch.from_arrays([pa.array(docs, pa.int64()), text, pa.array(n, pa.int64()), pa.array(removed, pa.int64()), pa.array(digest, pa.string()), *(real.column(c) for c in others)], names=["doc_id", "text", "n_words", "n_removed", "kept_sha256", *others])
+
+    return both.mapInArrow(cut, schema)
+
 
-    return joined.mapInArrow(cut, schema)
+def _prime(n: int) -> int:
+    while any(n % k == 0 for k in range(2, math.isqrt(n) + 1)):
+        n += 1
+    return n
