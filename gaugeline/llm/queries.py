@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeline.llm import chat, mixing, packing, substring_dedup, url_filters
+from gaugeline.llm import chat, jaccard_join, mixing, packing, substring_dedup, url_filters
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -35,6 +35,10 @@ def op3_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.join_near(table(spark, sf_dir, "documents"))
+
+
 #: The rules of the contract.
 URL_RULES = (
     url_filters.Rule("allow", "com", "/"),
@@ -64,6 +68,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_chat_formatting": op3_chat_formatting,
+    "op4_jaccard_join": op4_jaccard_join,
     "op7_url_filters": op7_url_filters,
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_substring_dedup": op9_substring_dedup,
