@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeline.llm import chat, jaccard_join, mixing, packing, quality, substring_dedup, toxicity, url_filters
+from gaugeline.llm import chat, embedding_dedup, fingerprints, jaccard_join, mixing, packing, quality, substring_dedup, toxicity, url_filters
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -49,6 +49,14 @@ def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.join_near(table(spark, sf_dir, "documents"))
 
 
+def op5_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.compare_edited(table(spark, sf_dir, "documents"))
+
+
 #: The rules of the contract.
 URL_RULES = (
     url_filters.Rule("allow", "com", "/"),
@@ -81,6 +89,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality_classifier": op2_quality_classifier,
     "op3_chat_formatting": op3_chat_formatting,
     "op4_jaccard_join": op4_jaccard_join,
+    "op5_embedding_dedup": op5_embedding_dedup,
+    "op6_fingerprints": op6_fingerprints,
     "op7_url_filters": op7_url_filters,
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_substring_dedup": op9_substring_dedup,
