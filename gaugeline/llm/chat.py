@@ -75,13 +75,13 @@ def paths(messages: DataFrame, branches: int | None = 1) -> DataFrame:
     if branches is not None:
         chosen = chosen.where(F.col("branch") <= branches)
     # Going back: each pass adds to the messages known the ones 2**k above them.
-    known = chosen.select("tree", "branch", F.col("message").alias("leaf"), F.col("length").alias("depth"), "message")
+    known = stored(chosen.select("tree", "branch", F.col("message").alias("leaf"), F.col("length").alias("depth"), "message"), "paths")
     for k in reversed(range(len(jumps) - 1)):
         j = jumps[k].where("up IS NOT NULL").select(F.col("tree").alias("t"), F.col("message").alias("below"), "up").alias("j")
         more = known.alias("n").join(j, F.col("n.tree").eqNullSafe(F.col("j.t")) & (F.col("n.message") == F.col("j.below"))).select(
             "n.tree", "n.branch", "n.leaf", (F.col("n.depth") - F.lit(1 << k)).alias("depth"), F.col("j.up").alias("message")
         )
-        known = known.unionByName(more)
+        known = stored(known.unionByName(more), "paths")
     return known
 
 
