@@ -9,6 +9,7 @@ are exact. Their votes, weighted by distance, are calibrated with each example's
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter
 from collections.abc import Iterator, Sequence
@@ -19,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gaugeline.llm.common import documents, text_slices
+from gaugeline.llm.common import documents, stored, text_slices
 from gaugeline.llm.labelled import Logistic, held_out, learnt
 
 #: Labelled rows that are learnt from, at most.
@@ -57,6 +58,7 @@ class Index:
     rows: list[np.ndarray] = field(default_factory=list)
     weights: list[np.ndarray] = field(default_factory=list)
     largest: np.ndarray = field(default_factory=lambda: np.zeros((0, 0)))
+    begins: np.ndarray = field(default_factory=lambda: np.zeros((0, 1), np.int64))
 
     @classmethod
     def build(cls, names: Sequence[str], idf: np.ndarray, examples: Sequence[tuple[int, int, dict[int, int]]]) -> Index:
@@ -67,42 +69,48 @@ class Index:
         for row, i in enumerate(order):
             for t, w in one.unit(examples[i][2]).items():
                 lists[t].append((row, w))
-        one.largest = np.zeros((len(names), -(-len(order) // BLOCK)))
+        blocks = -(-len(order) // BLOCK)
+        one.largest = np.zeros((len(names), blocks))
+        one.begins = np.zeros((len(names), blocks + 1), np.int64)
         for t, found in enumerate(lists):
             rows, weights = (np.asarray(x) for x in zip(*found, strict=True)) if found else (np.zeros(0, np.int64), np.zeros(0))
-            one.rows.append(rows)
+            one.rows.append(rows % BLOCK)
             one.weights.append(weights)
             np.maximum.at(one.largest[t], rows // BLOCK, weights)
+            one.begins[t] = np.searchsorted(rows, np.arange(blocks + 1) * BLOCK)
         return one
 
     def unit(self, counts: dict[int, int]) -> dict[int, float]:
-        w = {t: (1 + np.log(n)) * self.idf[t] for t, n in counts.items()}
-        norm = np.sqrt(sum(x * x for x in w.values()))
+        w = {t: (1 + math.log(n)) * float(self.idf[t]) for t, n in counts.items()}
+        norm = math.sqrt(sum(x * x for x in w.values()))
         return {t: x / norm for t, x in sorted(w.items())}
 
     def nearest(self, counts: dict[int, int], k: int = NEIGHBOURS, without: int | None = None) -> tuple[np.ndarray, np.ndarray]:
-        """Rows and cosines of the k nearest examples, the nearest first, the earlier of equals; none at cosine 0."""
+        """Rows and cosines of the k nearest examples, none at cosine 0.
+
+        Of examples as far away as the k-th, those in blocks of larger bounds come first, then earlier rows.
+        """
         if not counts or not len(self.ids):
             return np.zeros(0, np.int64), np.zeros(0)
         query = self.unit(counts)
         bounds = sum(q * self.largest[t] for t, q in query.items())
         best_rows, best = np.zeros(0, np.int64), np.zeros(0)
-        for block in np.lexsort((np.arange(len(bounds)), -bounds)):
-            # A block whose bound is no more than the k-th best may still hold an equal, earlier row.
-            if bounds[block] <= 0 or len(best) == k and bounds[block] < best[-1] - 1e-12:
+        scores = np.zeros(BLOCK)
+        for block in np.argsort(-bounds, kind="stable").tolist():
+            if bounds[block] <= 0 or len(best) == k and bounds[block] <= best[-1] + 1e-12:
                 break
-            scores = np.zeros(BLOCK)
+            scores[:] = 0
             for t, q in query.items():
-                lo, hi = np.searchsorted(self.rows[t], (block * BLOCK, (block + 1) * BLOCK))
-                scores[self.rows[t][lo:hi] - block * BLOCK] += q * self.weights[t][lo:hi]
-            hit = np.flatnonzero(scores > 0)
-            rows = hit + block * BLOCK
+                lo, hi = self.begins[t, block], self.begins[t, block + 1]
+                if lo < hi:
+                    scores[self.rows[t][lo:hi]] += q * self.weights[t][lo:hi]
+            hit = np.flatnonzero(scores > (best[-1] if len(best) == k else 0))
             if without is not None:
-                hit, rows = hit[self.ids[rows] != without], rows[self.ids[rows] != without]
-            # Cosines are compared at 12 digits, so that the order of addition decides nothing.
-            best_rows, best = np.r_[best_rows, rows], np.r_[best, np.round(scores[hit], 12)]
-            order = np.lexsort((best_rows, -best))[:k]
-            best_rows, best = best_rows[order], best[order]
+                hit = hit[self.ids[hit + block * BLOCK] != without]
+            if len(hit):
+                best_rows, best = np.r_[best_rows, hit + block * BLOCK], np.r_[best, scores[hit]]
+                order = np.argsort(-best, kind="stable")[:k]
+                best_rows, best = best_rows[order], best[order]
         return best_rows, best
 
     def vote(self, rows: np.ndarray, cosines: np.ndarray) -> tuple[float, float]:
@@ -157,27 +165,31 @@ def fit(docs: DataFrame, labels: DataFrame, column: str = "toxic", sample: int =
             found = [Counter(known[t] for w in text.decode("utf-8", "replace").split() for t in terms_of(w) if t in known) for text in raw]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("y"), pa.array([list(c) for c in found], pa.list_(pa.int32())), pa.array([list(c.values()) for c in found], pa.list_(pa.int32()))], names=["doc_id", "y", "terms", "counts"])
 
-    rows = texts.select("doc_id", "y", "text").mapInArrow(vectors, "doc_id long, y int, terms array<int>, counts array<int>").collect()
-    examples, bare = [], [1.0, 20.0]  # a few texts without terms are assumed, a twentieth of them labelled
-    for r in sorted(rows, key=lambda r: (r["doc_id"], r["terms"])):
-        if r["terms"]:
-            examples.append((r["doc_id"], min(1, r["y"]), dict(zip(r["terms"], r["counts"], strict=True))))
-        else:
-            bare[0] += r["y"] > 0
-            bare[1] += 1
+    found = texts.select("doc_id", "y", "text").mapInArrow(vectors, "doc_id long, y int, terms array<int>, counts array<int>")
+    found = stored(found, "examples")
+    bare = dict(found.where(F.size("terms") == 0).groupBy(F.least("y", F.lit(1))).count().collect())
+    found = found.where(F.size("terms") > 0)
+    examples = [(r["doc_id"], min(1, r["y"]), dict(zip(r["terms"], r["counts"], strict=True))) for r in found.orderBy("doc_id", "terms", "counts").collect()]
     index = Index.build(names, idf, examples)
-    votes, ys = [], []
-    for doc, y, counts_ in examples:
-        near, cosines = index.nearest(counts_, without=doc)
-        if len(near):
-            votes.append(index.vote(near, cosines))
-            ys.append(y)
+    shared = docs.sparkSession.sparkContext.broadcast(index)
+
+    def left_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            votes, ys = [], []
+            for doc, y, terms, counts in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "y", "terms", "counts")), strict=True):
+                near, cosines = shared.value.nearest(dict(zip(terms, counts, strict=True)), without=doc)
+                if len(near):
+                    votes.append(shared.value.vote(near, cosines))
+                    ys.append(min(1, y))
+            yield pa.RecordBatch.from_arrays([pa.array([v for v, _ in votes], pa.float64()), pa.array([c for _, c in votes], pa.float64()), pa.array(ys, pa.float64())], names=["vote", "cosine", "y"])
+
+    votes = found.mapInArrow(left_out, "vote double, cosine double, y double").orderBy("vote", "cosine", "y").toPandas()
+    y = votes["y"].to_numpy()
     # Platt's targets keep the scores of a clean split off 0 and 1.
-    ys_ = np.asarray(ys, float)
-    pos, neg = ys_.sum(), len(ys_) - ys_.sum()
-    target = np.where(ys_ > 0, (pos + 1) / (pos + 2), 1 / (neg + 2))
-    calibration = Logistic.fit(np.asarray(votes, float).reshape(-1, 2), target)
-    return Model(index, calibration, bare[0] / bare[1])
+    target = np.where(y > 0, (y.sum() + 1) / (y.sum() + 2), 1 / ((1 - y).sum() + 2))
+    calibration = Logistic.fit(votes[["vote", "cosine"]].to_numpy(), target)
+    # Twenty texts without terms are assumed, one of them labelled.
+    return Model(index, calibration, (1 + bare.get(1, 0)) / (20 + sum(bare.values())))
 
 
 def score_documents(docs: DataFrame, model: Model, evidence: int = 3) -> DataFrame:
