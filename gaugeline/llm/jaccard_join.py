@@ -18,7 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gaugeline.llm.common import components, documents, mix, pack, partitions, spans, stored, text_slices, unpack, word_hashes
@@ -237,9 +237,10 @@ def similar_enough(shared: int, a: int, b: int, similar: tuple[int, int] = SIMIL
 def _stars(pairs: DataFrame, sets: DataFrame, similar: tuple[int, int]) -> DataFrame:
     """The links (a, b) among pairs (a, b) of few a with many b: each b's set is sent to its a."""
     many = pairs.groupBy("a").agg(F.count("*").alias("members")).withColumn("parts", F.ceil(F.col("members") / STAR).cast("int"))
-    heads = many.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).join(sets.withColumnRenamed("id", "a"), "a").select("a", "part", F.lit(False).alias("member"), F.col("a").alias("b"), "elements")
-    members = pairs.join(many.select("a", "parts"), "a").withColumn("part", F.pmod(F.hash("b"), F.col("parts"))).join(sets.withColumnRenamed("id", "b"), "b").select("a", "part", F.lit(True).alias("member"), "b", "elements")
-    rows = heads.unionByName(members).repartition("a", "part").sortWithinPartitions("a", "part", "member")
+    heads = many.select("a", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(False).alias("member"), F.col("a").alias("b"))
+    members = pairs.join(many.select("a", "parts"), "a").select("a", F.pmod(F.hash("b"), F.col("parts")).alias("part"), F.lit(True).alias("member"), "b")
+    rows = heads.unionByName(members).join(sets.withColumnRenamed("id", "b"), "b")
+    rows = rows.repartition("a", "part").sortWithinPartitions("a", "part", "member")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         head = np.zeros(0, np.uint64)
@@ -269,6 +270,8 @@ _CELL = "cell int, pairs binary, counts binary"
 
 def _cells(a: np.ndarray, b: np.ndarray, counts: np.ndarray, blocks: int) -> Iterator[pa.RecordBatch]:
     """Sorted distinct pairs of each cell, a cell being a pair of blocks: gaps of ids compress well."""
+    if not len(a):
+        return
     x, y = _blocks(a, blocks), _blocks(b, blocks)
     swap = x > y
     a, b = np.where(swap, b, a), np.where(swap, a, b)
@@ -300,46 +303,52 @@ def _crossing(lists: DataFrame, blocks: int, small: int, similar: tuple[int, int
 
     lists: list, id, n, component. Pairs of sizes that can't be similar are left out; a pair of two
     small sets counts as found, since its list is a subset."""
-    lists = lists.repartition("list").sortWithinPartitions("list")
+    lists = lists.repartition("list").sortWithinPartitions("list", "n")
 
     def cross(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        many = 0
         rest: tuple[np.ndarray, ...] | None = None
 
         def flush() -> Iterator[pa.RecordBatch]:
+            nonlocal many
+            many = 0
             if held:
                 a, b, c = (np.concatenate(x) for x in zip(*held, strict=True))
                 held.clear()
                 yield from _cells(*_summed(a, b, c), blocks)
 
-        def pairs(ids: np.ndarray, n: np.ndarray, comp: np.ndarray) -> Iterator[pa.RecordBatch]:
-            order = np.argsort(n, kind="stable")
-            ids, n, comp = ids[order], n[order], comp[order]
-            # Sorted by size, each set's partners are the ones after it up to n / similar.
-            last = np.searchsorted(n, n * similar[1] // similar[0], side="right")
-            width = last - np.arange(len(n)) - 1
+        def pairs(ids: np.ndarray, n: np.ndarray, comp: np.ndarray, ends: np.ndarray) -> Iterator[pa.RecordBatch]:
+            """Pairs of each row with the later ones of its list, which ends at ends."""
+            nonlocal many
+            width = ends - np.arange(len(ids)) - 1
             at = 0
-            while at < len(n):
+            while at < len(ids):
                 to = at + max(1, int(np.searchsorted(np.cumsum(width[at:]), PAIRS_HELD)))
                 i = np.repeat(np.arange(at, to), width[at:to])
                 j = i + 1 + np.arange(len(i)) - np.repeat(spans(width[at:to])[0], width[at:to])
-                keep = comp[i] != comp[j]
+                keep = (comp[i] != comp[j]) & (n[i] * similar[1] >= n[j] * similar[0])
                 i, j = i[keep], j[keep]
                 held.append((np.minimum(ids[i], ids[j]), np.maximum(ids[i], ids[j]), np.where(n[j] <= small, SUBSET, 1)))
-                if sum(len(x[0]) for x in held) >= PAIRS_HELD:
+                many += len(i)
+                if many >= PAIRS_HELD:
                     yield from flush()
                 at = to
 
+        def ends_of(key: np.ndarray) -> np.ndarray:
+            return np.searchsorted(key, key, side="right")
+
         for batch in batches:
             now = tuple(batch.column(c).to_numpy() for c in ("list", "id", "n", "component"))
+            if not len(now[0]):
+                continue
             key, ids, n, comp = now if rest is None else (np.concatenate([x, y]) for x, y in zip(rest, now, strict=True))
-            edge = np.flatnonzero(np.r_[True, key[1:] != key[:-1]]) if len(key) else np.zeros(0, np.int64)
-            for s, e in zip(edge[:-1], edge[1:], strict=True):
-                if (comp[s:e] != comp[s]).any():
-                    yield from pairs(ids[s:e], n[s:e], comp[s:e])
-            rest = tuple(x[edge[-1] :] for x in (key, ids, n, comp)) if len(edge) else None
-        if rest is not None and (rest[3] != rest[3][0]).any():
-            yield from pairs(*rest[1:])
+            # The batch's last list may go on in the next one.
+            whole = int(np.searchsorted(key, key[-1]))
+            yield from pairs(ids[:whole], n[:whole], comp[:whole], ends_of(key[:whole]))
+            rest = tuple(x[whole:] for x in (key, ids, n, comp))
+        if rest is not None:
+            yield from pairs(*rest[1:], ends_of(rest[0]))
         yield from flush()
 
     return lists.mapInArrow(cross, _CELL)
@@ -465,7 +474,6 @@ def join_near(docs: DataFrame, similar: tuple[int, int] = SIMILAR) -> DataFrame:
     those are similar. A null doc_id counts as larger than any: its component_id is null unless it
     reaches a document that has one. Other columns are left out; an empty table gives no rows.
     """
-    spark = docs.sparkSession
     docs = documents(docs, "doc_id", "text").withColumn("doc_id", F.coalesce("doc_id", F.lit(int(_NO_ID))))
     scanned = stored(_scan(docs), "sets")
     heads = scanned.where("block IS NULL").select("doc_id", "n", "node")
@@ -473,8 +481,8 @@ def join_near(docs: DataFrame, similar: tuple[int, int] = SIMILAR) -> DataFrame:
     sizes = heads.where("n > 0").groupBy(F.least("n", F.lit(LARGEST_SMALL + 1)).alias("n")).agg(F.count("*").alias("many")).collect()
     small = boundary({r["n"]: r["many"] for r in sizes}, list_length, similar)
     elements = heads.agg(F.sum("n")).first()[0] or 0
-    shares = max(partitions(spark), math.ceil(elements / SHARE_ELEMENTS))
-    links = _links(spark, docs, heads, levels, small, shares, similar)
+    shares = max(partitions(docs.sparkSession), math.ceil(elements / SHARE_ELEMENTS))
+    links = _links(docs, heads, levels, small, shares, similar)
     # Components over ids, then the smallest doc_id of each.
     nodes = _nodes(heads)
     found = nodes.join(components(links).withColumnRenamed("node", "id"), "id", "left").select("node", "doc_id", F.coalesce("component", "id").alias("component"))
@@ -493,11 +501,14 @@ def _nodes(heads: DataFrame) -> DataFrame:
     return nodes.join(firsts, "doc_id").select("node", "n", "doc_id", F.when(own, F.col("doc_id")).otherwise(-F.shiftrightunsigned("node", 1) - 1).alias("id"))
 
 
-def _links(spark: SparkSession, docs: DataFrame, heads: DataFrame, levels: np.ndarray, small: int, shares: int, similar: tuple[int, int]) -> DataFrame:
+def _links(docs: DataFrame, heads: DataFrame, levels: np.ndarray, small: int, shares: int, similar: tuple[int, int]) -> DataFrame:
     nodes = _nodes(heads)
-    lists = stored(_lists(docs, levels, small, shares, similar), "lists")
-    listed = stored(nodes.join(lists.select("node").distinct(), "node", "left_semi"), "nodes")
-    lists = stored(lists.join(listed, "node").select("list", "id", "n"), "lists")
+    lists = _lists(docs, levels, small, shares, similar).join(nodes.select("node", "id", "n"), "node")
+    # A member stays if the next smaller or larger one of its list may be similar by size.
+    by = Window.partitionBy("list").orderBy("n", "id")
+    near = (F.lag("n").over(by) * similar[1] >= F.col("n") * similar[0]) | (F.col("n") * similar[1] >= F.lead("n").over(by) * similar[0])
+    lists = stored(lists.withColumn("near", near).where("near").select("list", "id", "n"), "lists")
+    listed = stored(nodes.join(lists.select("id").distinct(), "id", "left_semi"), "nodes")
     sets = stored(_sets(docs, listed), "sets")
     first = lists.groupBy("list").agg(F.min(F.struct("id", "n")).alias("least"))
     fits = F.least("n", "least.n") * similar[1] >= F.greatest("n", "least.n") * similar[0]
