@@ -14,8 +14,6 @@ from gaugeline.llm.common import stored
 
 # The template's control strings.
 TURN, TEXT, END = "<|turn|>", "<|text|>", "<|end|>"
-#: Jumps of 2**MAX_DOUBLINGS messages are the last that are tried; deeper links are a cycle.
-MAX_DOUBLINGS = 40
 
 
 def escaped(text: Column) -> Column:
@@ -55,19 +53,21 @@ def paths(messages: DataFrame, branches: int | None = 1) -> DataFrame:
     start = a.join(b, F.col("a.tree").eqNullSafe(F.col("b.tree")) & (F.col("a.parent") == F.col("b.parent")), "left").select(
         "a.tree", "a.message", F.when(F.col("b.found"), F.col("a.parent")).alias("up"), F.col("a.score").alias("total"), F.lit(1).cast("long").alias("length")
     )
-    jumps = [stored(start, "jumps")]
-    # jumps[k]: up is the message 2**k above, null if there is none; total and length are of the messages passed.
-    while jumps[-1].where("up IS NOT NULL").limit(1).count():
-        if len(jumps) > MAX_DOUBLINGS:
-            raise ValueError("replies form a cycle")
-        x, y = jumps[-1].alias("x"), jumps[-1].alias("y")
-        nxt = x.join(y, F.col("x.tree").eqNullSafe(F.col("y.tree")) & (F.col("x.up") == F.col("y.message")), "left").select(
-            "x.tree", "x.message", F.col("y.up").alias("up"),
-            (F.col("x.total") + F.coalesce("y.total", F.lit(0.0))).alias("total"),
-            (F.col("x.length") + F.coalesce("y.length", F.lit(0))).alias("length"),
+    start = stored(start, "jumps")
+    done, active = start.where("up IS NULL"), start.where("up IS NOT NULL")
+    # jumps[k]: of messages with one 2**k above, that one (up); total and length are of the messages passed.
+    jumps: list[DataFrame] = []
+    whole = start.count()
+    while (1 << len(jumps)) < whole and active.limit(1).count():
+        jumps.append(active)
+        x, y = active.alias("x"), done.unionByName(active).alias("y")
+        nxt = x.join(y, F.col("x.tree").eqNullSafe(F.col("y.tree")) & (F.col("x.up") == F.col("y.message"))).select(
+            "x.tree", "x.message", "y.up", (F.col("x.total") + F.col("y.total")).alias("total"), (F.col("x.length") + F.col("y.length")).alias("length")
         )
-        jumps.append(stored(nxt, "jumps"))
-    whole, first = jumps[-1], jumps[0]
+        nxt = stored(nxt, "jumps")
+        done, active = done.unionByName(nxt.where("up IS NULL")), nxt.where("up IS NOT NULL")
+    # What is still active hangs on a cycle.
+    whole, first = done, start
     m, p = whole.alias("m"), first.where("up IS NOT NULL").select(F.col("tree").alias("t"), F.col("up").alias("answered")).distinct().alias("p")
     leaves = m.join(p, F.col("m.tree").eqNullSafe(F.col("p.t")) & (F.col("m.message") == F.col("p.answered")), "left_anti")
     rank = Window.partitionBy("tree").orderBy((F.col("total") / F.col("length")).desc(), F.col("length").desc(), "message")
@@ -76,8 +76,8 @@ def paths(messages: DataFrame, branches: int | None = 1) -> DataFrame:
         chosen = chosen.where(F.col("branch") <= branches)
     # Going back: each pass adds to the messages known the ones 2**k above them.
     known = stored(chosen.select("tree", "branch", F.col("message").alias("leaf"), F.col("length").alias("depth"), "message"), "paths")
-    for k in reversed(range(len(jumps) - 1)):
-        j = jumps[k].where("up IS NOT NULL").select(F.col("tree").alias("t"), F.col("message").alias("below"), "up").alias("j")
+    for k in reversed(range(len(jumps))):
+        j = jumps[k].select(F.col("tree").alias("t"), F.col("message").alias("below"), "up").alias("j")
         more = known.alias("n").join(j, F.col("n.tree").eqNullSafe(F.col("j.t")) & (F.col("n.message") == F.col("j.below"))).select(
             "n.tree", "n.branch", "n.leaf", (F.col("n.depth") - F.lit(1 << k)).alias("depth"), F.col("j.up").alias("message")
         )

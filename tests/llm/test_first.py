@@ -289,6 +289,8 @@ def test_reply_trees(spark):
     for t in [None, *range(12)]:
         n = rng.choice([1, 2, 5, 40])
         tree = {m: (rng.randrange(m) if m and rng.random() < 0.95 else rng.choice([None, 999]), rng.choice([None, rng.randrange(64) / 64])) for m in range(n)}
+        if n == 40:
+            tree.update({50: (51, 1.0), 51: (52, 1.0), 52: (50, 1.0), 53: (50, 1.0)})  # a cycle, and a reply to it
         trees[t] = tree
         data += [(t, m, p, "user", f"m{m}", s) for m, (p, s) in tree.items()]
     df = spark.createDataFrame(data, "tree long, message long, parent long, role string, text string, score double")
