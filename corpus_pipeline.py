@@ -6,11 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gaugeline.llm import mixing, packing, substring_dedup
+from gaugeline.llm import jaccard_join, mixing, packing, quality, substring_dedup
 from gaugeline.llm.common import stored
 from gaugeline.llm.queries import table, tokenizer_path
 
 
+def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the co-trained classifier rejects go."""
+    return quality.scored(docs, quality.fit(docs, table(spark, sf_dir, "labels")), whole=True)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near copies the document with the smallest doc_id stays."""
+    return jaccard_join.one_of_each(docs)
+
+
 def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The words that windows of 20 words repeat are cut out of the texts."""
     return substring_dedup.deduplicated(docs)
@@ -28,6 +38,8 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 STAGES: list[tuple[str, Stage]] = [
+    ("quality", keep_good),
+    ("jaccard_join", drop_near_copies),
     ("substring_dedup", drop_repeated_passages),
     ("mixing", mix),
     ("packing", pack),

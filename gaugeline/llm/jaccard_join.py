@@ -521,3 +521,17 @@ def _links(docs: DataFrame, heads: DataFrame, levels: np.ndarray, small: int, sh
     candidates = stored(_candidates(_crossing(parts, blocks, small, similar)), "candidates")
     more = _verified(candidates, sets, similar)
     return links.unionByName(stored(more, "links")).unionByName(joined.select(F.col("component").alias("a"), F.col("id").alias("b")))
+
+
+def one_of_each(docs: DataFrame, similar: tuple[int, int] = SIMILAR) -> DataFrame:
+    """The rows of docs of which one stays of each component: that of its smallest doc_id.
+
+    Of rows equal in doc_id and text one stays. A row without doc_id stays, since nothing tells
+    which it is. Rows are found again by doc_id.
+    """
+    found = join_near(docs, similar)
+    gone = stored(found.where("doc_id <> component_id").select("doc_id").distinct(), "copies")
+    once = Window.partitionBy("doc_id", "_text").orderBy(F.lit(0))
+    rows = docs.join(gone, "doc_id", "left_anti").withColumn("_text", F.xxhash64("text"))
+    rows = rows.withColumn("_n", F.when(F.col("doc_id").isNull(), 1).otherwise(F.row_number().over(once)))
+    return rows.where("_n = 1").select(*docs.columns)
