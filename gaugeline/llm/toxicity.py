@@ -27,8 +27,9 @@ from gaugeline.llm.labelled import Logistic, held_out, learnt
 SAMPLE = 20_000
 #: Terms of the vector space, at most.
 TERMS = 3000
-#: A term needs as many texts of the sample, and this chi-square against the label.
-LEAST_TEXTS, LEAST_CHI = 4, 25.0
+#: A term needs as many texts of the sample (or one for each SAMPLE_PER_TEXT of them), this chi-square against the
+#: label, and to be so many times as frequent in labelled texts as in others.
+LEAST_TEXTS, SAMPLE_PER_TEXT, LEAST_CHI, LEAST_RATIO = 4, 2000, 25.0, 20.0
 BEGINNINGS = (4, 5)
 NEIGHBOURS = 15
 BLOCK = 64
@@ -154,7 +155,8 @@ def fit(docs: DataFrame, labels: DataFrame, column: str = "toxic", sample: int =
     counts = parts.mapInArrow(counted, "term string, n0 long, n1 long").groupBy("term").agg(F.sum("n0").alias("a"), F.sum("n1").alias("b"))
     a, b = F.col("a").cast("double"), F.col("b").cast("double")
     chi = F.pow(b * F.lit(n0) - a * F.lit(n1), 2) * F.lit(n) / (F.greatest((a + b) * (F.lit(n) - a - b), F.lit(1.0)) * F.lit(max(n0 * n1, 1.0)))
-    good = counts.where(a + b >= LEAST_TEXTS).withColumn("chi", chi).where((F.col("chi") >= LEAST_CHI) & (b * F.lit(n0) > a * F.lit(n1)))
+    often = (b / F.lit(max(n1, 1.0))) >= LEAST_RATIO * (a / F.lit(max(n0, 1.0)))
+    good = counts.where(a + b >= max(LEAST_TEXTS, n / SAMPLE_PER_TEXT)).withColumn("chi", chi).where((F.col("chi") >= LEAST_CHI) & often)
     picked = good.orderBy(F.desc("chi"), "term").limit(TERMS).select("term", (F.col("a") + F.col("b")).alias("df")).collect() if n1 and n0 else []
     names = [r["term"] for r in picked]
     idf = np.log((1 + n) / (1 + np.asarray([r["df"] for r in picked], float))) + 1
