@@ -75,7 +75,7 @@ def fingerprinted(texts: DataFrame, names: tuple[str, ...], lexicon_: DataFrame,
     texts: doc_id and key, which together tell rows apart (equal rows become one), the keep columns
     and the text columns. The texts stay where they are; only their terms of the lexicon move.
     """
-    sets = F.array(*[F.struct(F.lit(v).alias("v"), F.xxhash64(n).alias("hash"), terms(F.col(n)).alias("terms")) for v, n in enumerate(names)])
+    sets = F.array(*[F.struct(F.lit(v).alias("v"), F.md5(n).alias("hash"), terms(F.col(n)).alias("terms")) for v, n in enumerate(names)])
     rows = texts.select("doc_id", "key", *keep, F.explode(sets).alias("s")).select("doc_id", "key", *keep, "s.v", "s.hash", F.explode("s.terms").alias("term"))
     # What belongs to a row travels with its empty word only.
     with_it = lambda c: F.when(F.col("term") == "", F.col(c)).alias(c)
@@ -85,7 +85,7 @@ def fingerprinted(texts: DataFrame, names: tuple[str, ...], lexicon_: DataFrame,
     lists = [F.collect_list(F.when((F.col("v") == v) & (F.col("term") != ""), one)).alias(f"_{v}") for v in range(len(names))]
     keys = [F.max(F.when(F.col("v") == v, F.col("hash"))).alias(f"_h{v}") for v in range(len(names))]
     grouped = rows.groupBy("doc_id", "key").agg(*[F.max(c).alias(c) for c in keep], *lists, *keys)
-    prints = [_fingerprint(F.array_sort(F.array_distinct(f"_{v}")), F.hex(f"_h{v}")).alias(n) for v, n in enumerate(names)]
+    prints = [_fingerprint(F.array_sort(F.array_distinct(f"_{v}")), F.col(f"_h{v}")).alias(n) for v, n in enumerate(names)]
     return grouped.select("doc_id", "key", *keep, *prints)
 
 

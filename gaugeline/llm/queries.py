@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gaugeline.llm.oracles import ORACLES  # noqa: F401
 from gaugeline.llm import chat, embedding_dedup, fingerprints, jaccard_join, mixing, packing, quality, substring_dedup, toxicity, url_filters
 
 
@@ -96,5 +97,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_substring_dedup": op9_substring_dedup,
     "op10_mixing": op10_mixing,
 }
-
-ORACLES: dict[str, str] = {}
