@@ -239,7 +239,8 @@ def _stars(pairs: DataFrame, sets: DataFrame, similar: tuple[int, int]) -> DataF
     many = pairs.groupBy("a").agg(F.count("*").alias("members")).withColumn("parts", F.ceil(F.col("members") / STAR).cast("int"))
     heads = many.select("a", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(False).alias("member"), F.col("a").alias("b"))
     members = pairs.join(many.select("a", "parts"), "a").select("a", F.pmod(F.hash("b"), F.col("parts")).alias("part"), F.lit(True).alias("member"), "b")
-    rows = heads.unionByName(members).join(sets.withColumnRenamed("id", "b"), "b")
+    # Sets are joined alike at every size, by sorting: their requests grow with them.
+    rows = heads.unionByName(members).join(sets.withColumnRenamed("id", "b").hint("merge"), "b")
     rows = rows.repartition("a", "part").sortWithinPartitions("a", "part", "member")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -391,7 +392,7 @@ def _candidates(crossing: DataFrame) -> DataFrame:
 
 def _verified(candidates: DataFrame, sets: DataFrame, similar: tuple[int, int]) -> DataFrame:
     """Links (a, b) that span what the candidates' similar pairs connect, cell by cell."""
-    need = candidates.where("id IS NOT NULL").select("cell", "id").join(sets, "id").select("cell", "id", "elements", F.lit(None).cast("binary").alias("pairs"))
+    need = candidates.where("id IS NOT NULL").select("cell", "id").join(sets.hint("merge"), "id").select("cell", "id", "elements", F.lit(None).cast("binary").alias("pairs"))
     pairs = candidates.where("id IS NULL").select("cell", "id", F.lit(None).cast("binary").alias("elements"), "pairs")
     rows = need.unionByName(pairs).repartition("cell").sortWithinPartitions("cell", F.col("id").asc_nulls_last())
 
@@ -453,7 +454,7 @@ def _verified(candidates: DataFrame, sets: DataFrame, similar: tuple[int, int])
 
 def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """(id, elements) of the wanted nodes (node, id, doc_id), from one document of each."""
-    found = docs.join(wanted.select(F.col("doc_id").alias("_d"), "node", "id"), F.col("doc_id") == F.col("_d")).select("text", "node", "id")
+    found = docs.hint("merge").join(wanted.select(F.col("doc_id").alias("_d"), "node", "id"), F.col("doc_id") == F.col("_d")).select("text", "node", "id")
 
     def elements(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in text_slices(batches):
@@ -508,11 +509,17 @@ def _links(docs: DataFrame, heads: DataFrame, levels: np.ndarray, small: int, sh
     by = Window.partitionBy("list").orderBy("n", "id")
     near = (F.lag("n").over(by) * similar[1] >= F.col("n") * similar[0]) | (F.col("n") * similar[1] >= F.lead("n").over(by) * similar[0])
     lists = stored(lists.withColumn("near", near).where("near").select("list", "id", "n"), "lists")
-    listed = stored(nodes.join(lists.select("id").distinct(), "id", "left_semi"), "nodes")
+    # Similar sets share a subset's list, or SUBSET lists of elements.
+    several = lists.groupBy("id").agg(F.count("*").alias("lists"), F.min("n").alias("n")).where((F.col("lists") >= SUBSET) | (F.col("n") <= small)).select("id")
+    lists = stored(lists.join(several, "id", "left_semi"), "lists")
+    listed = stored(nodes.join(several, "id", "left_semi"), "nodes")
     sets = stored(_sets(docs, listed), "sets")
     first = lists.groupBy("list").agg(F.min(F.struct("id", "n")).alias("least"))
     fits = F.least("n", "least.n") * similar[1] >= F.greatest("n", "least.n") * similar[0]
-    stars = lists.join(first, "list").where(F.col("id") != F.col("least.id")).where(fits).select(F.col("least.id").alias("a"), F.col("id").alias("b")).distinct()
+    stars = lists.join(first, "list").where(F.col("id") != F.col("least.id")).where(fits)
+    # What shares too few lists with its smallest member is left to the second pass.
+    enough = F.when(F.least("n", "least.n") <= small, SUBSET).otherwise(1)
+    stars = stars.groupBy(F.col("least.id").alias("a"), F.col("id").alias("b")).agg(F.sum(enough).alias("shared")).where(F.col("shared") >= SUBSET).select("a", "b")
     links = stored(_stars(stored(stars, "stars"), sets, similar), "links")
     joined = components(links).withColumnRenamed("node", "id")
     parts = lists.join(joined, "id", "left").select("list", "id", "n", F.coalesce("component", "id").alias("component"))
