@@ -55,15 +55,23 @@ def parsed_object(df: DataFrame, text: str, schema, keep: tuple[str, ...] = ())
     return df.select(*keep, F.inline_outer(F.array(parsed)))
 
 
+def keyed(column: str, text: str, default: str) -> str:
+    """A field, NULL where its key holds null; the default only where the key is missing."""
+    there = f"coalesce(array_contains(json_object_keys({text}), '{column}'), false)"
+    return f"CASE WHEN {column} IS NOT NULL OR {there} THEN {column} ELSE {default} END AS {column}"
+
+
 def silver_fields(df: DataFrame, text: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
     """Extract the silver columns from JSON text and drop unparsable rows.
 
     A row is dropped when the text is not a JSON object or its ``_score`` is
     missing, empty or not an object. Only the fields named above are parsed;
-    the frames are skipped inside the JSON parser.
+    the frames are skipped inside the JSON parser. A key that holds null is not a
+    missing key: it stays NULL, and the expectation on routing drops such a row.
     """
+    whole = "__text"
     return (
-        parsed_object(df, text, HEADER_SCHEMA, keep)
+        parsed_object(df.withColumn(whole, F.col(text)), whole, HEADER_SCHEMA, (*keep, whole))
         .where("size(json_object_keys(_score)) > 0")
         .select("*", F.inline_outer(F.array(F.from_json("_score", SCORE_SCHEMA, STRICT_JSON))))
         .selectExpr(
@@ -75,15 +83,15 @@ def silver_fields(df: DataFrame, text: str = "text", keep: tuple[str, ...] = ())
             float32("duration_ms", "duration_ms"),
             """coalesce(try_cast(try_cast(frame_count AS double) AS int), 0)
                AS frame_count""",
-            "coalesce(injected_failure, 'none') AS injected_failure",
+            keyed("injected_failure", whole, "'none'"),
             float32("score_sensor_completeness", "sensor_completeness"),
             float32("score_temporal_coherence", "temporal_coherence"),
             float32("score_motion_smoothness", "motion_smoothness"),
             float32("score_task_completion", "task_completion"),
             float32("score_trajectory_validity", "trajectory_validity"),
             float32("composite_score", "composite_score"),
-            "coalesce(routing_decision, 'REJECTED') AS routing_decision",
-            "coalesce(failure_flags, cast(array() AS array<string>)) AS failure_flags",
+            keyed("routing_decision", "_score", "'REJECTED'"),
+            keyed("failure_flags", "_score", "cast(array() AS array<string>)"),
             float32("scoring_latency_ms", "scoring_latency_ms"),
             *keep,
         )

@@ -7,7 +7,7 @@ needs no sampling and gives the same answer when a lost executor makes Spark
 recompute a task. Windows then run per (key, chunk), and one small summary row
 per chunk carries the state from a chunk to the next.
 
-A NULL chunk means "this group is whole": its key has no other chunk.
+NULL is a chunk of its own, the lowest: ascending order puts it first.
 """
 
 from __future__ import annotations
@@ -18,11 +18,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Groups up to this many rows stay whole; a sort of this size is cheap for one
-# task. At most rows / HOT_ROWS keys can be above it, which is what bounds the
-# broadcast in ``chunk_hot_groups``: 10^12 rows give at most 240,000 keys.
-HOT_ROWS = 1 << 22
-
 # Frames per chunk when the position inside the episode is already known.
 FRAMES_PER_CHUNK = 1 << 16
 
@@ -37,25 +32,9 @@ def minute_of(df: DataFrame, column: str) -> Column:
     return F.floor(F.unix_micros(c) / F.lit(60_000_000)).cast("long")
 
 
-def chunk_hot_groups(
-    df: DataFrame, key: str, bucket: Column, hot_rows: int = HOT_ROWS
-) -> DataFrame:
-    """Add ``chunk``: ``bucket`` for keys above ``hot_rows`` rows, else NULL.
-
-    The broadcast side holds only keys with more than ``hot_rows`` rows, so it
-    has at most count(df) / hot_rows rows of one column.
-    """
-    hot = (
-        df.groupBy(key)
-        .agg(F.count("*").alias("__n"))
-        .where(F.col("__n") > hot_rows)
-        .select(F.col(key).alias("__hot_key"))
-    )
-    return (
-        df.join(F.broadcast(hot), F.col(key) == F.col("__hot_key"), "left")
-        .withColumn("chunk", F.when(F.col("__hot_key").isNotNull(), bucket))
-        .drop("__hot_key")
-    )
+def hour_of(df: DataFrame, column: str) -> Column:
+    """Hours since the epoch, never decreasing with the timestamp."""
+    return F.floor(minute_of(df, column) / 60).cast("long")
 
 
 def running_totals(
@@ -76,10 +55,7 @@ def running_totals(
     for name, measure in measures.items():
         df = df.withColumn(name, measure)
 
-    per_chunk = df
-    for c in chunks:
-        per_chunk = per_chunk.where(F.col(c).isNotNull())
-    per_chunk = per_chunk.groupBy(*parts, *chunks).agg(
+    per_chunk = df.groupBy(*parts, *chunks).agg(
         *[F.sum(name).alias(f"__sum_{name}") for name in measures]
     )
     before = Window.partitionBy(*parts).orderBy(*chunks).rowsBetween(
@@ -97,7 +73,7 @@ def running_totals(
     )
     kept = [c for c in df.columns if c not in measures]
     summed = df.select(*kept, *[F.sum(name).over(inside).alias(name) for name in measures])
-    on = [F.col(p) == F.col(f"__key_{p}") for p in parts + chunks]
+    on = [F.col(p).eqNullSafe(F.col(f"__key_{p}")) for p in parts + chunks]
     return summed.join(offsets, on, "left").select(
         *kept,
         *[
@@ -132,8 +108,7 @@ def neighbours(
     packed = F.struct(*[F.col(c) for c in columns])
     across = Window.partitionBy("__ep").orderBy("__chunk")
     edges = (
-        df.where(F.col(chunk).isNotNull())
-        .groupBy(F.col(partition_by).alias("__ep"), F.col(chunk).alias("__chunk"))
+        df.groupBy(F.col(partition_by).alias("__ep"), F.col(chunk).alias("__chunk"))
         .agg(
             F.min_by(packed, order_by).alias("head"),
             F.max_by(packed, order_by).alias("tail"),
@@ -148,7 +123,7 @@ def neighbours(
     )
     joined = wide.join(
         edges,
-        (F.col(partition_by) == F.col("__ep")) & (F.col(chunk) == F.col("__chunk")),
+        F.col(partition_by).eqNullSafe(F.col("__ep")) & F.col(chunk).eqNullSafe(F.col("__chunk")),
         "left",
     )
     added = []

@@ -179,7 +179,8 @@ def rank_failures(failures: DataFrame) -> DataFrame:
             "chunk": F.struct(
                 (-F.col("affected_episodes")).alias("more_affected"),
                 F.col("routing_decision"),
-                F.substring("failure_flag", 1, 40).alias("flag_head"),
+                # Up to the first digit: a prefix that keeps the order, with few values.
+                F.regexp_extract("failure_flag", "^[^0-9]*[0-9]?", 0).alias("flag_head"),
             ),
         }
     )
@@ -203,8 +204,13 @@ def gold_failure_summary(silver: DataFrame) -> DataFrame:
 
 def failure_kind_summary(silver: DataFrame) -> DataFrame:
     """The same summary per flag kind: measured numbers are stripped."""
-    return rank_failures(
-        failure_counts(silver, F.regexp_extract(F.trim("failure_flag"), FLAG_KIND, 0))
+    kinds = failure_counts(silver, F.regexp_extract(F.trim("failure_flag"), FLAG_KIND, 0))
+    # A date and task have about a dozen kinds.
+    by = Window.partitionBy("report_date", "task_type").orderBy(
+        F.desc("affected_episodes"), "routing_decision", "failure_flag"
+    )
+    return kinds.withColumn("failure_rank", F.row_number().over(by)).orderBy(
+        "report_date", "task_type", "failure_rank"
     )
 
 

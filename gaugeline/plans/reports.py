@@ -107,7 +107,11 @@ def index_percentiles(
     # shift exceeds the exponent range of a double, so the sign decides first.
     magnitude = F.floor(F.log2(F.abs(value)) * 4096) + 5_000_000
     bucket = (
-        F.when(value > 0, magnitude).when(value < 0, -magnitude).otherwise(F.lit(0)).cast("long")
+        F.when(F.isnan(value), F.lit(10_000_000))  # sorts above every number
+        .when(value > 0, magnitude)
+        .when(value < 0, -magnitude)
+        .otherwise(F.lit(0))
+        .cast("long")
     )
     values = (
         df.select(F.col(column).cast("double").alias("value"))

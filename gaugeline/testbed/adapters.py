@@ -85,16 +85,11 @@ def task_of_user() -> Column:
     return F.get(names, (F.col("user_id") % 5).cast("int"))
 
 
-def ranked_events(
-    spark: SparkSession, sf_dir: str, hot_rows: int = ordered.HOT_ROWS
-) -> DataFrame:
+def ranked_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events with their position inside their user and the stall time so far."""
     events = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", prop_k().alias("k"))
-    chunked = ordered.chunk_hot_groups(
-        events, "user_id", ordered.minute_of(events, "ts"), hot_rows
-    )
     return ordered.running_totals(
-        chunked,
+        events.withColumn("chunk", ordered.hour_of(events, "ts")),
         {
             "seen": F.lit(1).cast("long"),
             "stall_ns": F.when(F.col("event_id") % 401 == 0, 100_000_000)
@@ -106,11 +101,10 @@ def ranked_events(
     )
 
 
-def frames(spark: SparkSession, sf_dir: str, hot_rows: int = ordered.HOT_ROWS) -> DataFrame:
+def frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One sensor frame per event, one episode per user, twelve joints."""
-    bumps = ranked_events(spark, sf_dir, hot_rows).selectExpr(
+    bumps = ranked_events(spark, sf_dir).selectExpr(
         "user_id AS episode_id",
-        "chunk",
         "seen - 1 AS frame_index",
         "CASE WHEN event_id % 53 <> 0 THEN (seen - 1) * 5000000 + stall_ns END AS timestamp_ns",
         "user_id % 7 = 0 AND seen - 1 BETWEEN 10 AND 10 + user_id % 6 AS gone",
@@ -128,7 +122,6 @@ def frames(spark: SparkSession, sf_dir: str, hot_rows: int = ordered.HOT_ROWS) -
     joints[7] += " + reach"
     return bumps.selectExpr(
         "episode_id",
-        "chunk",
         "frame_index",
         f"element_at(array({', '.join(repr(t) for t in TASK_TYPES)}),"
         " cast(episode_id % 5 AS int) + 1) AS task_type",
@@ -140,16 +133,13 @@ def frames(spark: SparkSession, sf_dir: str, hot_rows: int = ordered.HOT_ROWS) -
 
 
 def phases(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The last five events of each user as phase events."""
-    recent = Window.partitionBy("user_id").orderBy(F.desc("ts"), F.desc("event_id"))
+    """Every event as a phase event of its user, by time and then event."""
     return (
         table(spark, sf_dir, "events")
         .select("event_id", "ts", "user_id", "event_type", "props")
-        .withColumn("back", F.row_number().over(recent))
-        .where(F.col("back") <= 5)
         .select(
             F.col("user_id").alias("episode_id"),
-            (F.lit(5) - F.col("back")).alias("event_index"),
+            F.struct("ts", "event_id").alias("event_index"),
             F.when(F.col("event_type") == "purchase", "complete")
             .otherwise(F.col("event_type"))
             .alias("phase"),

@@ -114,7 +114,7 @@ recent AS (
 phase_stats AS (
   SELECT episode_id, bool_or(phase = 'complete') AS has_complete,
          arg_min(confidence, back) FILTER (phase = 'complete') AS confidence
-  FROM recent WHERE back <= 5 GROUP BY episode_id
+  FROM recent GROUP BY episode_id
 )"""
 
 HEADERS = """

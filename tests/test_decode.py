@@ -133,7 +133,21 @@ def test_silver_schema(bronze):
     types = lambda schema: [(f.name, f.dataType.simpleString()) for f in schema.fields]
     found = medallion.silver(bronze).schema
     assert sorted(types(found)) == sorted(types(SILVER))
-    assert not found["routing_decision"].nullable
+    assert found["routing_decision"].nullable  # a null is left for the expectation
+
+
+def test_null_is_not_a_missing_key(spark):
+    from gaugeline.operators import quality
+
+    texts = [
+        '{"episode_id": "a", "injected_failure": null, "_score": {"routing_decision": null, "failure_flags": null}}',
+        '{"episode_id": "b", "_score": {"x": {"routing_decision": null}}}',
+        '{"episode_id": "c", "injected_failure": "x", "_score": {"routing_decision": "CERTIFIED"}}',
+    ]
+    df = decode.silver_fields(spark.createDataFrame([(t,) for t in texts], "text string"))
+    got = {r["episode_id"]: (r["injected_failure"], r["routing_decision"], r["failure_flags"]) for r in df.collect()}
+    assert got == {"a": (None, None, None), "b": ("none", "REJECTED", []), "c": ("x", "CERTIFIED", [])}
+    assert {r["episode_id"] for r in quality.apply(df).collect()} == {"b", "c"}
 
 
 def test_missing_fields_take_their_defaults(spark):

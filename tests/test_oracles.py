@@ -9,7 +9,7 @@ import __spark_entry__ as entries
 from tools.compare import TABLES, compare
 
 SF = "/root/testdata/sf0.001"
-QUERIES, ORACLES = entries.queries(), entries.oracle_sql()
+QUERIES, ORACLES = entries.QUERIES, entries.ORACLES
 
 
 @pytest.fixture(scope="module")

@@ -9,9 +9,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from gaugeline.operators import ordered
-from gaugeline.testbed import adapters
-
-SF = "/root/testdata/sf0.001"
+from gaugeline.plans import reports
 
 
 @pytest.fixture(scope="module")
@@ -28,22 +26,38 @@ def skewed(spark):
     )
 
 
-@pytest.mark.parametrize("hot_rows", [10_000, 100, 0])
-def test_running_totals_equal_a_plain_window(skewed, hot_rows):
-    chunked = ordered.chunk_hot_groups(skewed, "g", ordered.minute_of(skewed, "ts"), hot_rows)
-    hot = {r["g"] for r in chunked.where("chunk IS NOT NULL").select("g").distinct().collect()}
-    assert hot == {10_000: set(), 100: {0}, 0: {0, 1, 2, 3, 4, 5, 6, 7, 9}}[hot_rows]
+@pytest.mark.parametrize("bucket", ["minute", "hour"])
+def test_running_totals_equal_a_plain_window(skewed, bucket):
+    """A tenth of the rows has no time, and all rows of a group may share one second."""
+    ts = F.when(F.col("id") % 10 != 3, F.when(F.col("g") == 2, F.lit("2024-01-01")).otherwise(F.col("ts")))
+    timed = skewed.withColumn("ts", ts.cast("timestamp"))
+    of = {"minute": ordered.minute_of, "hour": ordered.hour_of}[bucket]
     found = ordered.running_totals(
-        chunked,
+        timed.withColumn("chunk", of(timed, "ts")),
         {"nth": F.lit(1).cast("long"), "total": F.col("v").cast("long")},
         order_by=["ts", "id"],
         partition_by=["g"],
     )
     w = Window.partitionBy("g").orderBy("ts", "id").rowsBetween(Window.unboundedPreceding, 0)
-    wanted = skewed.select("id", F.count("*").over(w), F.sum("v").over(w))
+    wanted = timed.select("id", F.count("*").over(w), F.sum("v").over(w))
     assert sorted(found.select("id", "nth", "total").collect()) == sorted(wanted.collect())
 
 
+def test_tally_counts_rows_without_a_time(spark):
+    df = spark.range(300).selectExpr(
+        "cast(id AS string) AS episode_id",
+        "CASE WHEN id % 2 = 0 THEN timestamp_seconds(id * 20) END AS ingested_at",
+        "'CERTIFIED' AS routing_decision",
+    )
+    got = reports.running_tally(df, every=50)
+    assert sorted(r["n"] for r in got.collect()) == [50, 100, 150, 200, 250, 300]
+
+
+def test_percentiles_put_nan_last(spark):
+    df = spark.range(100).selectExpr("CASE WHEN id < 66 THEN cast(id AS double) ELSE double('NaN') END AS x")
+    assert reports.index_percentiles(df, "x", (0.5, 0.65)).first() == (50.0, 65.0)
+
+
 def test_running_totals_without_groups(skewed):
     found = ordered.running_totals(
         skewed.withColumn("chunk", ordered.minute_of(skewed, "ts")),
@@ -84,23 +98,3 @@ def test_minute_bucket_never_decreases(spark):
     for c in ("a", "b"):
         got = [r[0] for r in df.orderBy(c).select(ordered.minute_of(df, c)).collect()]
         assert got == sorted(got) and got[0] == -1 and got[1] == 0
-
-
-def test_frames_do_not_depend_on_the_hot_limit(spark):
-    plain = adapters.frames(spark, SF).drop("chunk")
-    split = adapters.frames(spark, SF, hot_rows=20)
-    assert split.where("chunk IS NOT NULL").count() > 0
-    assert sorted(map(str, plain.collect())) == sorted(map(str, split.drop("chunk").collect()))
-
-
-def test_scores_do_not_depend_on_the_hot_limit(spark):
-    from gaugeline.plans import score
-
-    def scored(hot_rows):
-        return score.score_episodes(
-            adapters.episodes(spark, SF),
-            adapters.frames(spark, SF, hot_rows),
-            adapters.phases(spark, SF),
-        )
-
-    assert sorted(map(str, scored(1 << 20).collect())) == sorted(map(str, scored(0).collect()))
