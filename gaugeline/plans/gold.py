@@ -160,6 +160,25 @@ def failure_counts(silver: DataFrame, flag: Column | None = None) -> DataFrame:
     )
 
 
+def routing_counts(scored: DataFrame) -> DataFrame:
+    """Episodes per day and decision."""
+    return scored.groupBy(report_date().cast("string").alias("report_date")).agg(
+        F.count_if(decision("CERTIFIED")).alias("certified_count"),
+        F.count_if(decision("BORDERLINE")).alias("borderline_count"),
+        F.count_if(decision("REJECTED")).alias("rejected_count"),
+    )
+
+
+def distinct_affected(scored: DataFrame) -> DataFrame:
+    """Episodes that carry each flag, over all days."""
+    return (
+        scored.where(F.size("failure_flags") > 0)
+        .select("episode_id", F.explode("failure_flags").alias("flag"))
+        .groupBy(F.trim("flag").alias("failure_flag"))
+        .agg(F.count_distinct("episode_id").alias("affected_episodes"))
+    )
+
+
 def rank_failures(failures: DataFrame) -> DataFrame:
     """Rank flags inside (report_date, task_type), most affected first.
 

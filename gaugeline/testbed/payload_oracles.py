@@ -145,14 +145,15 @@ results AS (
 SELECT {select} FROM results"""
 
 
-P = [f"cast(embedding[{j + 1}] AS double)" for j in range(5)]
+P = [f"cast(embedding[5 * g + {j + 1}] AS double)" for j in range(5)]
 Q = [f"(sin({P[j]} / 2) * 0.1::double)" for j in (2, 3, 4)]
 POSE = [
     f"0.3::double + 0.2::double * sin({P[0]}) * cos({P[1]})",
     f"0.1::double + 0.2::double * sin({P[1]})",
     f"0.8::double + 0.15::double * cos({P[0]})",
     *Q,
-    f"sqrt(greatest(0, 1 - {Q[0]} * {Q[0]} - {Q[1]} * {Q[1]} - {Q[2]} * {Q[2]}))",
+    f"CASE WHEN {P[4]} IS NOT NULL THEN"
+    f" sqrt(greatest(0, 1 - {Q[0]} * {Q[0]} - {Q[1]} * {Q[1]} - {Q[2]} * {Q[2]})) END",
 ]
 
 PAYLOADS = {
@@ -209,13 +210,14 @@ FROM embeddings, (SELECT unnest(range(64)) AS i)""",
     "clip_joints": f"""SELECT vec_id, j AS pos,
        {rnd('''least(greatest(cast(embedding[j + 1] AS double) * 20, lo), hi)''', 6)} AS value
 FROM embeddings, (
-  SELECT unnest(range(12)) AS j,
-         unnest([-3.14, -1.57, -3.14, -2.09, -3.14, -1.57, -3.14, -1, -1, 0, 0, 0])::double AS lo,
-         unnest([3.14, 1.57, 3.14, 0.17, 3.14, 1.57, 3.14, 1, 1, 1.5, 1.5, 1.5])::double AS hi
+  SELECT j,
+         [-3.14, -1.57, -3.14, -2.09, -3.14, -1.57, -3.14, -1, -1, 0, 0, 0][j % 12 + 1]::double AS lo,
+         [3.14, 1.57, 3.14, 0.17, 3.14, 1.57, 3.14, 1, 1, 1.5, 1.5, 1.5][j % 12 + 1]::double AS hi
+  FROM range(64) r(j)
 )""",
-    "ee_pose": f"""SELECT vec_id, unnest(range(7)) AS pos,
+    "ee_pose": f"""SELECT vec_id, 7 * g + unnest(range(7)) AS pos,
        unnest([{", ".join(rnd(f"({v})", 6) for v in POSE)}]) AS value
-FROM embeddings""",
+FROM embeddings, range(13) r(g)""",
     "payload_size": f"""SELECT doc_id, {rnd("(length(text) / 1024.0::double)", 6)} AS size_kb
 FROM documents""",
 }

@@ -85,20 +85,25 @@ def clean_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joint_rows(holed, arrays.clean("readings", 6))
 
 
+def grouped(formula: str, size: int) -> str:
+    """A formula on a group of joints ``p``, for all groups of the vector, one after the other."""
+    groups = f"sequence(0, cast((size(p) - 1) DIV {size} AS int))"
+    return f"flatten(transform({groups}, g -> {formula}))"
+
+
 def clip_joints(spark: SparkSession, sf_dir: str) -> DataFrame:
     scaled = adapters.table(spark, sf_dir, "embeddings").selectExpr(
-        "vec_id", "transform(slice(embedding, 1, 12), v -> cast(v AS double) * 20D) AS p"
+        "vec_id", "transform(embedding, v -> cast(v AS double) * 20D) AS p"
     )
+    clipped = grouped(arrays.clip_joints("slice(p, g * 12 + 1, 12)"), 12)
     return joint_rows(
-        scaled.selectExpr("vec_id", f"{arrays.clip_joints('p')} AS p"),
-        "transform(p, v -> round(v, 6))",
+        scaled.selectExpr("vec_id", f"{clipped} AS p"), "transform(p, v -> round(v, 6))"
     )
 
 
 def ee_pose(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return joint_rows(
-        adapters.table(spark, sf_dir, "embeddings"), arrays.ee_pose("embedding")
-    )
+    vectors = adapters.table(spark, sf_dir, "embeddings").selectExpr("vec_id", "embedding AS p")
+    return joint_rows(vectors, grouped(arrays.ee_pose("slice(p, g * 5 + 1, 5)"), 5))
 
 
 def payload_size(spark: SparkSession, sf_dir: str) -> DataFrame:

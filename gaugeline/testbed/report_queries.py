@@ -21,22 +21,6 @@ def over_scored(build: Callable[[DataFrame], DataFrame]) -> Query:
     return lambda spark, sf_dir: build(adapters.scored_episodes(spark, sf_dir))
 
 
-def routing_counts(scored: DataFrame) -> DataFrame:
-    return scored.groupBy(gold.report_date().cast("string").alias("report_date")).agg(
-        F.count_if(gold.decision("CERTIFIED")).alias("certified_count"),
-        F.count_if(gold.decision("BORDERLINE")).alias("borderline_count"),
-        F.count_if(gold.decision("REJECTED")).alias("rejected_count"),
-    )
-
-
-def distinct_affected(scored: DataFrame) -> DataFrame:
-    return (
-        scored.where(F.size("failure_flags") > 0)
-        .select("episode_id", F.explode("failure_flags").alias("flag"))
-        .groupBy(F.trim("flag").alias("failure_flag"))
-        .agg(F.count_distinct("episode_id").alias("affected_episodes"))
-    )
-
 
 GOLD: dict[str, Query] = {
     "gold_daily_robot_stats": over_scored(lambda s: text_date(gold.gold_daily_robot_stats(s))),
@@ -58,8 +42,8 @@ GOLD: dict[str, Query] = {
             s, [F.col("robot_id"), F.col("operator_id")], ["robot_id", "operator_id"]
         ).select("robot_id", "operator_id", "p50_score", "p95_score")
     ),
-    "routing_counts": over_scored(routing_counts),
-    "distinct_affected": over_scored(distinct_affected),
+    "routing_counts": over_scored(gold.routing_counts),
+    "distinct_affected": over_scored(gold.distinct_affected),
     "run_summary": over_scored(reports.run_summary),
     "index_percentiles": over_scored(
         lambda s: reports.index_percentiles(s, "scoring_latency_ms")
