@@ -50,13 +50,10 @@ def lexicon(docs: DataFrame, band: tuple[float, float] = BAND) -> DataFrame:
 
 def _fingerprint(found: Column, text_key: Column) -> Column:
     """A hash for each subset, dashes where it is empty; a text with none has a hash of itself instead."""
-    def one(k: int) -> Column:
-        held = F.filter(found, lambda t: F.getbit(t["mask"], F.lit(k)) == 1)
-        return F.when(F.size(held) > 0, F.substring(F.md5(F.array_join(F.transform(held, lambda t: t["term"]), " ")), 1, DIGITS)).otherwise("-" * DIGITS)
-
-    none = "-" * (DIGITS * len(SUBSETS))
-    whole = F.concat(*[one(k) for k in range(len(SUBSETS))])
-    return F.when(whole == none, F.concat(F.lit("="), text_key)).otherwise(whole)
+    held = lambda k: F.filter(found, lambda t: F.getbit(t["mask"], k) == 1)
+    texts = F.transform(F.sequence(F.lit(0), F.lit(len(SUBSETS) - 1)), lambda k: F.array_join(F.transform(held(k), lambda t: t["term"]), " "))
+    parts = F.transform(texts, lambda s: F.when(s == "", F.lit("-" * DIGITS)).otherwise(F.substring(F.md5(s), 1, DIGITS)))
+    return F.coalesce(F.nullif(F.array_join(parts, ""), F.lit("-" * (DIGITS * len(SUBSETS)))), F.concat(F.lit("="), text_key))
 
 
 def alike(a: Column, b: Column) -> Column:
@@ -85,7 +82,9 @@ def fingerprinted(texts: DataFrame, names: tuple[str, ...], lexicon_: DataFrame,
     lists = [F.collect_list(F.when((F.col("v") == v) & (F.col("term") != ""), one)).alias(f"_{v}") for v in range(len(names))]
     keys = [F.max(F.when(F.col("v") == v, F.col("hash"))).alias(f"_h{v}") for v in range(len(names))]
     grouped = rows.groupBy("doc_id", "key").agg(*[F.max(c).alias(c) for c in keep], *lists, *keys)
-    prints = [_fingerprint(F.array_sort(F.array_distinct(f"_{v}")), F.col(f"_h{v}")).alias(n) for v, n in enumerate(names)]
+    sorted_ = {f"_{v}": F.array_sort(F.array_distinct(f"_{v}")) for v in range(len(names))}
+    grouped = grouped.withColumns(sorted_)
+    prints = [_fingerprint(F.col(f"_{v}"), F.col(f"_h{v}")).alias(n) for v, n in enumerate(names)]
     return grouped.select("doc_id", "key", *keep, *prints)
 
 
