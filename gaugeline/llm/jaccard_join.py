@@ -36,7 +36,7 @@ LARGEST_SMALL = 64
 #: Set elements per share of the lists, on average.
 SHARE_ELEMENTS = 3_000_000
 #: Members of one star that one task compares.
-STAR = 4096
+STAR = 512
 #: Pairs that a task holds before it passes them on.
 PAIRS_HELD = 2_000_000
 #: Blocks of nodes, at least; pairs of blocks are compared in one place.
