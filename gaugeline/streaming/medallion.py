@@ -8,8 +8,10 @@ one micro-batch, and the file sink's commit log keeps the output exactly once.
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Callable, Mapping
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -119,9 +121,18 @@ def start_rescored(
     return writer.trigger(**trigger).start(f"{root}/rescored_episodes")
 
 
+def start_quarantine(
+    spark: SparkSession, root: str, trigger: Mapping[str, object], max_files: int | None = None
+) -> StreamingQuery:
+    rows = stream_path(spark, f"{root}/bronze_episodes", BRONZE, max_files)
+    writer = append_stream(quarantine(rows), checkpoint_dir(spark, root, "quarantine"))
+    return writer.trigger(**trigger).start(f"{root}/quarantined_episodes")
+
+
 def batch_times(query: StreamingQuery) -> list[dict[str, int]]:
     """Milliseconds per step of each recent micro-batch; the columnar form of a
-    scoring latency, which has no meaning for a single row."""
+    scoring latency, which has no meaning for a single row. The session keeps
+    only the latest batches (spark.sql.streaming.numRecentProgressUpdates)."""
     return [
         {"batchId": p["batchId"], "numInputRows": p["numInputRows"], **p["durationMs"]}
         for p in query.recentProgress
@@ -136,7 +147,7 @@ def refresh_gold(spark: SparkSession, root: str) -> None:
     silver_rows = read_path(spark, f"{root}/silver_episodes")
     for name, build in GOLD_TABLES.items():
         replace_path(build(silver_rows), f"{root}/{name}")
-    staged = checkpoint_dir(spark, root, "failure_counts")
+    staged = checkpoint_dir(spark, root, f"failure_counts-{uuid.uuid4().hex}")
     replace_path(gold.failure_counts(silver_rows), staged)
     ranked = gold.rank_failures(read_path(spark, staged))
     replace_path(ranked, f"{root}/gold_failure_summary")
@@ -146,7 +157,7 @@ def refresh_gold_tables(silver_rows: DataFrame, schema: str, scratch: str) -> No
     """The same refresh into catalog tables with comments and properties."""
     spark = silver_rows.sparkSession
     create_schema(spark, schema)
-    staged = checkpoint_dir(spark, scratch, "failure_counts")
+    staged = checkpoint_dir(spark, scratch, f"failure_counts-{uuid.uuid4().hex}")
     replace_path(gold.failure_counts(silver_rows), staged)
     tables = {name: build(silver_rows) for name, build in GOLD_TABLES.items()}
     tables["gold_failure_summary"] = gold.rank_failures(read_path(spark, staged))
@@ -154,20 +165,51 @@ def refresh_gold_tables(silver_rows: DataFrame, schema: str, scratch: str) -> No
         replace_table(df, f"{schema}.{name}", GOLD_COMMENTS[name], {"quality": "gold"})
 
 
-def run_once(records: DataFrame, root: str) -> dict[str, int]:
+def run_once(
+    records: DataFrame, root: str, max_files: int | None = None, seconds: float | None = None
+) -> dict[str, int]:
     """Process all waiting records through the three layers, then stop.
 
-    Returns the violation counts the silver step observed.
+    ``max_files`` bounds a micro-batch of the later layers; ``seconds`` is how
+    long each stream may take before it is stopped (the next run goes on there).
+    Returns the violation counts the silver step observed over all its batches,
+    and ``quarantined``: the payloads that this run set aside.
     """
     spark = records.sparkSession
     now = {"availableNow": True}
-    start_bronze(records, root, now).awaitTermination()
-    query = start_silver(spark, root, now)
-    query.awaitTermination()
+
+    def finish(query: StreamingQuery) -> StreamingQuery:
+        if seconds is None:
+            query.awaitTermination()
+        elif not query.awaitTermination(seconds):
+            query.stop()
+        return query
+
+    finish(start_bronze(records, root, now))
+    # A query lists its latest batches only; while this one runs it keeps them all.
+    kept = "spark.sql.streaming.numRecentProgressUpdates"
+    before = spark.conf.get(kept)
+    spark.conf.set(kept, str(2**31 - 1))
+    try:
+        query = finish(start_silver(spark, root, now, max_files))
+        progress = query.recentProgress
+    finally:
+        spark.conf.set(kept, before)
     counts: dict[str, int] = {}
-    for progress in query.recentProgress:
-        observed = progress["observedMetrics"].get("silver_expectations")
+    for p in progress:
+        observed = p["observedMetrics"].get("silver_expectations")
         for name, value in (observed.asDict() if observed else {}).items():
             counts[name] = counts.get(name, 0) + value
+    aside = f"{root}/quarantined_episodes"
+    had = _rows(spark, aside)
+    finish(start_quarantine(spark, root, now, max_files))
+    counts["quarantined"] = _rows(spark, aside) - had
     refresh_gold(spark, root)
     return counts
+
+
+def _rows(spark: SparkSession, path: str) -> int:
+    try:
+        return spark.read.schema("payload binary").parquet(path).count()
+    except AnalysisException:  # nothing was written yet
+        return 0

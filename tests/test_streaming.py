@@ -103,6 +103,24 @@ def test_published_files_are_a_topic(spark, episodes, tmp_path):
     assert medallion.run_once(file_topic(spark, topic), root)["rows"] == len(CASES)
 
 
+def test_counts_survive_many_batches(spark, episodes, tmp_path):
+    """More batches than a query lists; broken payloads are set aside and counted."""
+    topic, root = str(tmp_path / "topic"), str(tmp_path / "tables")
+    good = json.loads(episodes.select(F.to_json(F.struct("*"))).first()[0])
+    good["_score"] = {"routing_decision": "CERTIFIED", "composite_score": 1.0}
+    null = good | {"_score": {"routing_decision": None, "composite_score": 1.0}}
+    for _ in range(4):
+        as_records(spark, [gzip.compress(json.dumps(v).encode()) for v in (good, null)] + [b"junk"]).write.mode("append").parquet(topic)
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "2")
+    try:
+        counts = medallion.run_once(file_topic(spark, topic, max_files=1), root, max_files=1)
+    finally:
+        spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
+    assert counts["rows"] == 8 and counts["quarantined"] == 4
+    assert spark.read.parquet(f"{root}/silver_episodes").count() == 4
+    assert spark.read.parquet(f"{root}/quarantined_episodes").count() == 4
+
+
 def test_published_payload_is_the_wire_format(spark, episodes):
     sent = publish_frame(episodes.where("episode_id IN ('E3', 'E6c')"), "episodes").collect()
     docs = [json.loads(gzip.decompress(bytes(r["value"]))) for r in sent]
