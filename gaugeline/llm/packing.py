@@ -7,6 +7,7 @@ finds the fullest bin that a piece fits; if none does and no more may be open, t
 from __future__ import annotations
 
 import base64
+import json
 import re
 import zlib
 from collections.abc import Iterator
@@ -45,6 +46,13 @@ class Encoder:
         self.encode = tiktoken.Encoding("words", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
         self.memory = memory
         self.known: dict[str, bytes] = {}
+        with open(path, "rb") as file:
+            added = json.load(file).get("added_tokens") or []
+        if odd := [t["content"] for t in added if t["single_word"] or t["lstrip"] or t["rstrip"]]:
+            raise ValueError(f"added tokens that look at their neighbours: {odd}")
+        self.added = {t["content"]: np.asarray([t["id"]], "<u4").tobytes() for t in added}
+        # The first in the text, and of those the longest.
+        self._added = re.compile("(" + "|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + ")") if added else None
 
     def _whole(self, text: str) -> bytes:
         return np.asarray(self.encode(text), "<u4").tobytes()
@@ -57,7 +65,7 @@ class Encoder:
         return ids
 
     def ids(self, text: str) -> bytes:
-        """Little-endian unsigned 32-bit ids."""
+        """Little-endian unsigned 32-bit ids of a text without added tokens; one that stands in it is read as plain text."""
         if not text:
             return b""
         if _ODD.search(text) or text[0] in " \n" or text[-1] == " ":
@@ -70,13 +78,20 @@ class Encoder:
             found = [ids if ids is not None else self._word(word) for ids, word in zip(found, words, strict=True)]
         return b"".join(found)
 
+    def whole_ids(self, text: str) -> bytes:
+        """The ids that the tokenizer as loaded gives: an added token in the text is its id, and what stands between is encoded by itself."""
+        if not self._added or not self._added.search(text):
+            return self.ids(text)
+        return b"".join(self.added[part] if k % 2 else self.ids(part) for k, part in enumerate(self._added.split(text)))
+
 
 def tokenized(docs: DataFrame, path: str, length: int = LENGTH, end: int = 0, with_ids: bool = False) -> DataFrame:
     """Pieces (doc_id, piece, start, length, ids_crc32[, ids]) of every document, each of at most length tokens.
 
     A document is its ids and then the id end; a null text is empty and so has that id alone. Only
     longer ones are cut, the first piece takes what is over a multiple of length. Rows with the same
-    or no doc_id are documents of their own. A text is held whole, with its ids.
+    or no doc_id are documents of their own. A text is held whole, with its ids. An added token of
+    the vocabulary that stands in a text is one id, as the tokenizer itself reads it.
     """
     ids_field = [("ids", pa.list_(pa.int64()))] if with_ids else []
     tail = np.asarray([end], "<u4").tobytes()
@@ -87,7 +102,7 @@ def tokenized(docs: DataFrame, path: str, length: int = LENGTH, end: int = 0, wi
             encoder = encoder or Encoder(path)
             out: list[tuple] = []
             for doc, raw in zip(batch.column("doc_id").to_pylist(), texts, strict=True):
-                ids = encoder.ids(raw.decode("utf-8", "replace")) + tail
+                ids = encoder.whole_ids(raw.decode("utf-8", "replace")) + tail
                 n = len(ids) // 4
                 at, piece = 0, 0
                 while at < n:
