@@ -1,39 +1,34 @@
-"""Toxicity: votes of the nearest labelled examples by exact TF-IDF cosine, over a block-max inverted index.
+"""Toxicity: votes of the nearest labelled examples by exact TF-IDF cosine, over an inverted index.
 
-The vector space has the words and word beginnings that go with the label; they are counted over a
-bounded sample of labelled texts, whose vectors are the examples. Examples stand in blocks; each
-term keeps its largest weight of every block. A query adds these up to bounds, visits the blocks
-from the largest bound down, and stops when no bound can reach its k-th best example: the k nearest
-are exact. Their votes, weighted by distance, are calibrated with each example's own left-out vote.
+The examples are a bounded sample of labelled texts. The vector space has all their words and word
+beginnings, whatever their labels. A query adds up the postings of all its terms, so the k nearest
+examples are exact. Their votes, weighted by distance, are calibrated with each example's own
+left-out vote.
 """
 
 from __future__ import annotations
 
+import hashlib
 import math
 import re
 from collections import Counter
 from collections.abc import Iterator, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gaugeline.llm.common import documents, stored, text_slices
+from gaugeline.llm.common import documents, pack, stored, text_slices, unpack
 from gaugeline.llm.labelled import Logistic, held_out, learnt
 
 #: Labelled rows that are learnt from, at most.
 SAMPLE = 20_000
-#: Terms of the vector space, at most.
-TERMS = 3000
-#: A term needs as many texts of the sample (or one for each SAMPLE_PER_TEXT of them), this chi-square against the
-#: label, and to be so many times as frequent in labelled texts as in others.
-LEAST_TEXTS, SAMPLE_PER_TEXT, LEAST_CHI, LEAST_RATIO = 4, 2000, 25.0, 20.0
 BEGINNINGS = (4, 5)
 NEIGHBOURS = 15
-BLOCK = 64
-#: Words, and queries, that a task remembers.
+#: Words that a task remembers; of texts a tenth as many.
 MEMORY = 200_000
 
 _LETTERS = re.compile(r"[^\W\d_]+")
@@ -50,36 +45,39 @@ def terms_of(word: str) -> list[str]:
 
 @dataclass
 class Index:
-    """Examples by term: weights of unit vectors, and their largest in each block."""
+    """Examples by term: rows and weights of unit vectors, those of term t from begins[t] to begins[t + 1]."""
 
     names: dict[str, int]
     idf: np.ndarray
     ids: np.ndarray
     labels: np.ndarray
-    rows: list[np.ndarray] = field(default_factory=list)
-    weights: list[np.ndarray] = field(default_factory=list)
-    largest: np.ndarray = field(default_factory=lambda: np.zeros((0, 0)))
-    begins: np.ndarray = field(default_factory=lambda: np.zeros((0, 1), np.int64))
+    begins: np.ndarray
+    rows: np.ndarray
+    counts: np.ndarray
+    norms: np.ndarray
+
+    def __post_init__(self) -> None:
+        self.weights = (1 + np.log(self.counts)) * np.repeat(self.idf, np.diff(self.begins)) / self.norms[self.rows]
+
+    def __reduce__(self) -> tuple:
+        """Travels compressed, rows as steps and without the weights."""
+        return _read, (pack(np.frombuffer("\n".join(self.names).encode(), np.uint8)), *map(pack, (self.idf, self.ids, self.labels, self.begins, np.diff(self.rows, prepend=np.int32(0)), self.counts, self.norms)))
 
     @classmethod
     def build(cls, names: Sequence[str], idf: np.ndarray, examples: Sequence[tuple[int, int, dict[int, int]]]) -> Index:
-        """examples: doc_id, label, term counts. Alike examples stand side by side, so that blocks differ."""
-        order = sorted(range(len(examples)), key=lambda i: (sorted(examples[i][2], key=lambda t: (-idf[t], t)), examples[i][0]))
-        one = cls({n: i for i, n in enumerate(names)}, idf, np.asarray([examples[i][0] for i in order], np.int64), np.asarray([examples[i][1] for i in order], np.int64))
-        lists: list[list[tuple[int, float]]] = [[] for _ in names]
-        for row, i in enumerate(order):
-            for t, w in one.unit(examples[i][2]).items():
-                lists[t].append((row, w))
-        blocks = -(-len(order) // BLOCK)
-        one.largest = np.zeros((len(names), blocks))
-        one.begins = np.zeros((len(names), blocks + 1), np.int64)
-        for t, found in enumerate(lists):
-            rows, weights = (np.asarray(x) for x in zip(*found, strict=True)) if found else (np.zeros(0, np.int64), np.zeros(0))
-            one.rows.append(rows % BLOCK)
-            one.weights.append(weights)
-            np.maximum.at(one.largest[t], rows // BLOCK, weights)
-            one.begins[t] = np.searchsorted(rows, np.arange(blocks + 1) * BLOCK)
-        return one
+        """examples: doc_id, label, term counts."""
+        sizes = np.asarray([len(c) for _, _, c in examples], np.int64)
+        terms, counts = (np.fromiter((x for _, _, c in examples for x in part(c)), np.int32, sizes.sum()) for part in (dict.keys, dict.values))
+        return cls.of(names, idf, np.asarray([i for i, _, _ in examples], np.int64), np.asarray([y for _, y, _ in examples], np.int64), sizes, terms, counts)
+
+    @classmethod
+    def of(cls, names: Sequence[str], idf: np.ndarray, ids: np.ndarray, labels: np.ndarray, sizes: np.ndarray, terms: np.ndarray, counts: np.ndarray) -> Index:
+        """The same from flat arrays: example i has the next sizes[i] of terms and counts."""
+        rows = np.repeat(np.arange(len(ids), dtype=np.int32), sizes)
+        norms = np.sqrt(np.bincount(rows, ((1 + np.log(counts)) * idf[terms]) ** 2, minlength=len(ids)))
+        order = np.argsort(terms, kind="stable")
+        begins = np.r_[0, np.cumsum(np.bincount(terms, minlength=len(names)))]
+        return cls({n: i for i, n in enumerate(names)}, idf, ids, labels, begins, rows[order], counts[order], norms)
 
     def unit(self, counts: dict[int, int]) -> dict[int, float]:
         w = {t: (1 + math.log(n)) * float(self.idf[t]) for t, n in counts.items()}
@@ -87,32 +85,23 @@ class Index:
         return {t: x / norm for t, x in sorted(w.items())}
 
     def nearest(self, counts: dict[int, int], k: int = NEIGHBOURS, without: int | None = None) -> tuple[np.ndarray, np.ndarray]:
-        """Rows and cosines of the k nearest examples, none at cosine 0.
-
-        Of examples as far away as the k-th, those in blocks of larger bounds come first, then earlier rows.
-        """
+        """Rows and cosines of the k nearest examples, none at cosine 0; of examples as far away, earlier rows."""
         if not counts or not len(self.ids):
             return np.zeros(0, np.int64), np.zeros(0)
-        query = self.unit(counts)
-        bounds = sum(q * self.largest[t] for t, q in query.items())
-        best_rows, best = np.zeros(0, np.int64), np.zeros(0)
-        scores = np.zeros(BLOCK)
-        for block in np.argsort(-bounds, kind="stable").tolist():
-            if bounds[block] <= 0 or len(best) == k and bounds[block] <= best[-1] + 1e-12:
-                break
-            scores[:] = 0
-            for t, q in query.items():
-                lo, hi = self.begins[t, block], self.begins[t, block + 1]
-                if lo < hi:
-                    scores[self.rows[t][lo:hi]] += q * self.weights[t][lo:hi]
-            hit = np.flatnonzero(scores > (best[-1] if len(best) == k else 0))
-            if without is not None:
-                hit = hit[self.ids[hit + block * BLOCK] != without]
-            if len(hit):
-                best_rows, best = np.r_[best_rows, hit + block * BLOCK], np.r_[best, scores[hit]]
-                order = np.argsort(-best, kind="stable")[:k]
-                best_rows, best = best_rows[order], best[order]
-        return best_rows, best
+        terms = np.fromiter(sorted(counts), np.int64, len(counts))
+        query = (1 + np.log([counts[t] for t in terms.tolist()])) * self.idf[terms]
+        query /= math.sqrt(query @ query)
+        lo, hi = self.begins[terms], self.begins[terms + 1]
+        spans = [slice(a, b) for a, b in zip(lo.tolist(), hi.tolist(), strict=True)]
+        parts = np.concatenate([self.weights[s] for s in spans])
+        parts *= np.repeat(query, hi - lo)
+        scores = np.bincount(np.concatenate([self.rows[s] for s in spans]), parts, minlength=len(self.ids))
+        if without is not None:
+            scores[self.ids == without] = 0
+        least = np.partition(scores, -k)[-k] if len(scores) > k else 0
+        hit = np.flatnonzero((scores >= least) & (scores > 0))
+        hit = hit[np.argsort(-scores[hit], kind="stable")[:k]]
+        return hit, scores[hit]
 
     def vote(self, rows: np.ndarray, cosines: np.ndarray) -> tuple[float, float]:
         """The distance-weighted share of label 1 among the neighbours, and the nearest one's cosine."""
@@ -120,6 +109,13 @@ class Index:
         return float((weights * self.labels[rows]).sum() / weights.sum()), float(cosines[0])
 
 
+def _read(names: bytes, *packed: bytes) -> Index:
+    kinds = (np.float64, np.int64, np.int64, np.int64, np.int32, np.int32, np.float64)
+    idf, ids, labels, begins, steps, counts, norms = (unpack(b, k) for b, k in zip(packed, kinds, strict=True))
+    found = unpack(names, np.uint8).tobytes().decode().split("\n") if names else []
+    return Index({n: i for i, n in enumerate(found)}, idf, ids, labels, begins, np.cumsum(steps, dtype=np.int32), counts, norms)
+
+
 @dataclass
 class Model:
     index: Index
@@ -135,44 +131,37 @@ class Model:
 
 
 def fit(docs: DataFrame, labels: DataFrame, column: str = "toxic", sample: int = SAMPLE) -> Model:
-    """The model of a bounded sample: the driver gets its terms' counts and the term counts of its texts."""
+    """The model of a bounded sample: the driver gets all its terms and the term counts of its texts."""
     chosen = learnt(labels, column, sample)
     texts = documents(docs, "doc_id", "text").join(F.broadcast(chosen), "doc_id")  # at most about `sample` rows of two numbers
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: dict[int, Counter[str]] = {0: Counter(), 1: Counter()}
-        for batch, raw in text_slices(batches):
-            for y, text in zip(batch.column("y").to_pylist(), raw, strict=True):
+        seen: Counter[str] = Counter()
+        for _, raw in text_slices(batches):
+            for text in raw:
                 words = set(text.decode("utf-8", "replace").split())
-                seen[min(1, y)].update({t for w in words for t in terms_of(w)})
-        names = list(seen[0] | seen[1])
-        yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array([seen[0][t] for t in names], pa.int64()), pa.array([seen[1][t] for t in names], pa.int64())], names=["term", "n0", "n1"])
-
-    parts = texts.select("y", "text")
-    totals = dict(chosen.groupBy(F.least("y", F.lit(1))).count().collect())
-    n0, n1 = float(totals.get(0, 0)), float(totals.get(1, 0))
-    n = n0 + n1
-    counts = parts.mapInArrow(counted, "term string, n0 long, n1 long").groupBy("term").agg(F.sum("n0").alias("a"), F.sum("n1").alias("b"))
-    a, b = F.col("a").cast("double"), F.col("b").cast("double")
-    chi = F.pow(b * F.lit(n0) - a * F.lit(n1), 2) * F.lit(n) / (F.greatest((a + b) * (F.lit(n) - a - b), F.lit(1.0)) * F.lit(max(n0 * n1, 1.0)))
-    often = (b / F.lit(max(n1, 1.0))) >= LEAST_RATIO * (a / F.lit(max(n0, 1.0)))
-    good = counts.where(a + b >= max(LEAST_TEXTS, n / SAMPLE_PER_TEXT)).withColumn("chi", chi).where((F.col("chi") >= LEAST_CHI) & often)
-    picked = good.orderBy(F.desc("chi"), "term").limit(TERMS).select("term", (F.col("a") + F.col("b")).alias("df")).collect() if n1 and n0 else []
-    names = [r["term"] for r in picked]
-    idf = np.log((1 + n) / (1 + np.asarray([r["df"] for r in picked], float))) + 1
-    known = {t: i for i, t in enumerate(names)}
+                seen.update({t for w in words for t in terms_of(w)})
+        yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())], names=["term", "n"])
+
+    n = texts.count()
+    counts = texts.select("text").mapInArrow(counted, "term string, n long").groupBy("term").agg(F.sum("n").alias("df")).orderBy("term").toArrow()
+    names = counts.column("term").to_pylist()
+    idf = np.log((1 + n) / (1 + counts.column("df").to_numpy().astype(float))) + 1
+    known = docs.sparkSession.sparkContext.broadcast(pack(np.frombuffer("\n".join(names).encode(), np.uint8)))
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at = {t: i for i, t in enumerate(unpack(known.value, np.uint8).tobytes().decode().split("\n"))}
         for batch, raw in text_slices(batches):
-            found = [Counter(known[t] for w in text.decode("utf-8", "replace").split() for t in terms_of(w) if t in known) for text in raw]
+            found = [Counter(at[t] for w in text.decode("utf-8", "replace").split() for t in terms_of(w)) for text in raw]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("y"), pa.array([list(c) for c in found], pa.list_(pa.int32())), pa.array([list(c.values()) for c in found], pa.list_(pa.int32()))], names=["doc_id", "y", "terms", "counts"])
 
     found = texts.select("doc_id", "y", "text").mapInArrow(vectors, "doc_id long, y int, terms array<int>, counts array<int>")
     found = stored(found, "examples")
     bare = dict(found.where(F.size("terms") == 0).groupBy(F.least("y", F.lit(1))).count().collect())
     found = found.where(F.size("terms") > 0)
-    examples = [(r["doc_id"], min(1, r["y"]), dict(zip(r["terms"], r["counts"], strict=True))) for r in found.orderBy("doc_id", "terms", "counts").collect()]
-    index = Index.build(names, idf, examples)
+    got = found.orderBy("doc_id", "terms", "counts").toArrow().combine_chunks()
+    flat = lambda c: pc.list_flatten(got.column(c)).to_numpy()
+    index = Index.of(names, idf, got.column("doc_id").to_numpy(), np.minimum(1, got.column("y").to_numpy()).astype(np.int64), pc.list_value_length(got.column("terms")).to_numpy(), flat("terms"), flat("counts"))
     shared = docs.sparkSession.sparkContext.broadcast(index)
 
     def left_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -202,7 +191,7 @@ def score_documents(docs: DataFrame, model: Model, evidence: int = 3) -> DataFra
     is read. Rows with the same or no doc_id are scored each; an id of null is not held out.
     evidence lists doc_id, cosine and label of up to that many neighbours; an example that is the
     document itself stands among them if it was learnt from. An empty table gives no rows; without
-    labels all scores are equal. The model is broadcast: at most SAMPLE examples and TERMS terms.
+    labels all scores are equal. The model is broadcast: all terms of about SAMPLE examples at most.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
     rows = documents(docs, "doc_id", "text").withColumn("held_out", F.coalesce(held_out(F.col("doc_id")), F.lit(False)))
@@ -212,7 +201,7 @@ def score_documents(docs: DataFrame, model: Model, evidence: int = 3) -> DataFra
         model = shared.value
         names, index = model.index.names, model.index
         words: dict[str, tuple[int, ...]] = {}
-        known: dict[tuple, tuple] = {}
+        known: dict[bytes, tuple] = {}
 
         def terms(word: str) -> tuple[int, ...]:
             out = tuple(names[t] for t in terms_of(word) if t in names)
@@ -223,12 +212,11 @@ def score_documents(docs: DataFrame, model: Model, evidence: int = 3) -> DataFra
         for batch, raw in text_slices(batches):
             scores, seen = [], []
             for text in raw:
-                all_words = text.decode("utf-8", "replace").split()
-                found = [terms(w) if t is None else t for w, t in zip(all_words, map(words.get, all_words), strict=True)]
-                counts = Counter(t for x in found if x for t in x)
-                key = tuple(sorted(counts.items()))
+                key = hashlib.blake2b(text, digest_size=16).digest()
                 if (out := known.get(key)) is None:
-                    s, rows, cosines = model.score(dict(key))
+                    all_words = text.decode("utf-8", "replace").split()
+                    found = [terms(w) if t is None else t for w, t in zip(all_words, map(words.get, all_words), strict=True)]
+                    s, rows, cosines = model.score(Counter(t for x in found if x for t in x))
                     out = s, [{"doc_id": int(index.ids[r]), "cosine": float(c), "label": int(index.labels[r])} for r, c in zip(rows[:evidence], cosines, strict=False)]
                     if len(known) < MEMORY // 10:
                         known[key] = out
