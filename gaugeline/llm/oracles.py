@@ -134,6 +134,98 @@ SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(len(ws) - len(left_over)
 FROM kept
 """
 
+_PHRASES = rf"""
+WITH d AS (SELECT row_number() OVER () AS id, coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}') AS t FROM documents),
+piece AS (SELECT lang, unnest(string_split_regex(t, '[.,;:!?\x0A-\x0D]')) AS p FROM d),
+w AS (SELECT lang, regexp_extract_all(p, '[^\x20\x09]+') AS ws FROM piece),
+total AS (SELECT lang, CAST(sum(len(ws)) AS BIGINT) AS n FROM w GROUP BY lang),
+g AS (SELECT lang, k, unnest(list_transform(range(1, len(ws) - k + 2), lambda i: array_to_string(ws[i:i + k - 1], ' '))) AS phrase FROM w, range(1, 5) r(k)),
+f AS (SELECT lang, k, phrase, count(*) AS a FROM g GROUP BY ALL HAVING count(*) >= 30),
+c AS (SELECT lang, k, phrase, a, string_split(phrase, ' ') AS ws FROM f WHERE k >= 2),
+cut AS (
+  SELECT c.lang, c.phrase, c.a, j, l.a AS l, r.a AS r, CAST(2000000 AS HUGEINT) * c.a // (CAST(l.a AS HUGEINT) + r.a) AS score
+  FROM c, range(1, 4) x(j), f l, f r
+  WHERE j < c.k AND l.lang = c.lang AND l.phrase = array_to_string(ws[1:j], ' ') AND r.lang = c.lang AND r.phrase = array_to_string(ws[j + 1:], ' ')
+), least AS (SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1),
+inside AS (
+  SELECT c.lang, c.a, array_to_string(ws[i:i + m - 1], ' ') AS phrase FROM c, range(1, 4) s(i), range(2, 4) t(m) WHERE m < k AND i + m - 1 <= k
+), covered AS (SELECT lang, phrase, max(a) AS longer FROM inside GROUP BY ALL),
+kept AS (SELECT least.* FROM least LEFT JOIN covered USING (lang, phrase) WHERE longer IS NULL OR 100 * CAST(longer AS HUGEINT) < 80 * CAST(a AS HUGEINT)),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept QUALIFY rank <= 2000)
+SELECT lang, rank, phrase, a, l, r, n, CAST(score AS BIGINT) AS score FROM ranked JOIN total USING (lang)
+"""
+
+
+def _moves() -> str:
+    """(symbol, from, to, cost, edits) for every message: insertions, then its own edit, by the contract's costs."""
+    step = {0: (2,), 1: (2,), 2: (3,), 3: (2,)}
+    inserted, todo = set(), [(i, i, 0) for i in range(4)]
+    while todo:
+        i, k, n = todo.pop()
+        if n <= 3 and (i, k, n) not in inserted:
+            inserted.add((i, k, n))
+            todo += [(i, j, n + 1) for j in step[k]]
+    lines = []
+    for i, k, n in sorted(inserted):
+        for kind in "suaxg":
+            for truncated in (0, 1):
+                ways = [(k, 4, "D")]
+                if kind != "g":
+                    ways.append((3 if k == 2 else 2, 3 + 3 * truncated, "R"))
+                    keep = {("s", 0): 1, ("u", 0): 2, ("u", 1): 2, ("u", 3): 2, ("a", 2): 3}.get((kind, k))
+                    ways += [(keep, 3 * truncated, "K")] if keep is not None else []
+                lines += [f"('{kind}', {truncated}, {i}, {j}, {3 * n + cost}, '{'I' * n}{edit}')" for j, cost, edit in ways]
+    return ", ".join(lines)
+
+
+_REPAIR = rf"""
+WITH RECURSIVE bytes AS (
+  SELECT list(list_reduce(range(8), lambda c, b: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i) ORDER BY i) AS t FROM range(256) r(i)
+), keyed AS (
+  SELECT *, list_transform(string_split(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '), ''), lambda x: CAST(ascii(x) AS BIGINT)) AS key FROM conversations
+), said AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    xor(list_reduce(key, lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]), 4294967295), 4294967295) % 20 AS harm FROM keyed, bytes
+), harmed AS (
+  SELECT conv_id, turn, CASE WHEN harm = 4 THEN 'user' ELSE role END AS role,
+    CASE harm WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text FROM said, range(2) c(k) WHERE harm <> 0 AND (k = 0 OR harm = 3)
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS pos FROM harmed
+), faults AS (
+  SELECT *, regexp_extract(text, '([^\x20\x09-\x0D])[\x20\x09-\x0D]*$', 1) AS last,
+    row_number() OVER (PARTITION BY conv_id, role, text ORDER BY pos) AS k, lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY pos) AS before FROM placed
+), judged AS (
+  SELECT *, CASE WHEN last = '' THEN 'b' WHEN k > 1 THEN 'd' WHEN last NOT IN ('.', '!', '?') THEN 't' ELSE '' END AS fault FROM faults
+), marked AS (
+  SELECT *, CASE WHEN fault IN ('b', 'd') THEN 'g' WHEN left(role, 1) IN ('s', 'u', 'a') THEN left(role, 1) ELSE 'x' END AS kind, CASE WHEN fault = 't' THEN 1 ELSE 0 END AS cut FROM judged
+), moves(kind, cut, f, t, cost, edits) AS (VALUES {_moves()}),
+dp AS (
+  SELECT conv_id, 0 AS pos, 0 AS st, '000000000' AS best FROM marked GROUP BY conv_id
+  UNION ALL
+  SELECT dp.conv_id, dp.pos + 1, m.t, min(lpad(CAST(CAST(left(best, 9) AS INTEGER) + m.cost AS VARCHAR), 9, '0') || substr(best, 10) || m.edits)
+  FROM dp JOIN marked r ON r.conv_id IS NOT DISTINCT FROM dp.conv_id AND r.pos = dp.pos + 1 JOIN moves m ON m.kind = r.kind AND m.cut = r.cut AND m.f = dp.st
+  GROUP BY dp.conv_id, dp.pos + 1, m.t
+), sums AS (
+  SELECT conv_id, count(*) AS many, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (WHERE fault = 'b') AS blank, count(*) FILTER (WHERE fault = 'd') AS duplicate,
+    count(*) FILTER (WHERE fault = 't') AS truncated, count(*) FILTER (WHERE before || left(role, 1) NOT IN ('su', 'ua', 'au')) AS illegal FROM judged GROUP BY conv_id
+), done AS (
+  SELECT s.conv_id, min(lpad(CAST(CAST(left(best, 9) AS INTEGER) + CASE st WHEN 1 THEN 6 WHEN 2 THEN 3 ELSE 0 END AS VARCHAR), 9, '0') || substr(best, 10) || CASE st WHEN 1 THEN 'II' WHEN 2 THEN 'I' ELSE '' END) AS best
+  FROM sums s JOIN dp ON dp.conv_id IS NOT DISTINCT FROM s.conv_id AND dp.pos = s.many GROUP BY s.conv_id
+), edit AS (
+  SELECT conv_id, i, substr(best, 9 + i, 1) AS e, length(replace(substr(best, 10, i), 'I', '')) AS row_at, length(replace(substr(best, 10, i), 'D', '')) AS out_at
+  FROM done, range(1, length(best) - 8) x(i)
+), kept AS (
+  SELECT e.*, r.role, r.text, max(CASE WHEN e.e = 'K' AND out_at = 1 AND left(r.role, 1) = 's' THEN 1 ELSE 0 END) OVER (PARTITION BY e.conv_id) AS led
+  FROM edit e LEFT JOIN marked r ON e.e <> 'I' AND r.conv_id IS NOT DISTINCT FROM e.conv_id AND r.pos = e.row_at WHERE e.e <> 'D'
+), left_over AS (
+  SELECT conv_id, string_agg(CASE WHEN e = 'K' THEN role WHEN (out_at - led) % 2 = 1 THEN 'user' ELSE 'assistant' END || ':' || CASE WHEN e = 'I' THEN '' ELSE text END, chr(10) ORDER BY i) AS lines FROM kept GROUP BY conv_id
+)
+SELECT c.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal,
+  CAST(coalesce(CAST(left(best, 9) AS INTEGER), 0) AS BIGINT) AS cost, coalesce(substr(best, 10), '') AS audit, sha256(coalesce(lines, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN sums s ON s.conv_id IS NOT DISTINCT FROM c.conv_id
+LEFT JOIN done d ON d.conv_id IS NOT DISTINCT FROM c.conv_id LEFT JOIN left_over l ON l.conv_id IS NOT DISTINCT FROM c.conv_id
+"""
+
 ORACLES = {
     "op3_chat_formatting": _CHAT,
     "op4_jaccard_join": _JACCARD,
@@ -141,4 +233,6 @@ ORACLES = {
     "op6_fingerprints": _PRINTS,
     "op7_url_filters": _URLS,
     "op9_substring_dedup": _REPEATS,
+    "op11_phrase_mining": _PHRASES,
+    "op12_structure_repair": _REPAIR,
 }

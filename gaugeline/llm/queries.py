@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gaugeline.llm.oracles import ORACLES  # noqa: F401
-from gaugeline.llm import chat, embedding_dedup, fingerprints, jaccard_join, mixing, packing, quality, substring_dedup, toxicity, url_filters
+from gaugeline.llm import chat, collocations, embedding_dedup, fingerprints, jaccard_join, mixing, packing, quality, substring_dedup, toxicity, turns, url_filters
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -85,6 +85,20 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 
+def op11_phrase_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mined(table(spark, sf_dir, "documents"))
+
+
+def op12_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = table(spark, sf_dir, "conversations")
+    found, left = turns.repaired(turns.segments(turns.damaged(said)))
+    ids = said.select(F.col("conv_id").cast("long").alias("conv_id")).distinct().alias("c")
+    same = lambda a: F.col("c.conv_id").eqNullSafe(F.col(f"{a}.conv_id"))
+    out = ids.join(found.alias("f"), same("f"), "left").join(turns.digests(left).alias("d"), same("d"), "left")
+    counts = [F.coalesce(f"f.{c}", F.lit(0)).cast("long").alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    return out.select("c.conv_id", *counts, F.coalesce("f.audit", F.lit("")).alias("audit"), F.coalesce("d.repaired_sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_quality_classifier": op2_quality_classifier,
@@ -96,4 +110,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_mixing": op10_mixing,
+    "op11_phrase_mining": op11_phrase_mining,
+    "op12_structure_repair": op12_structure_repair,
 }
