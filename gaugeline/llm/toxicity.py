@@ -1,18 +1,19 @@
-"""Toxicity: votes of the nearest labelled examples by exact TF-IDF cosine, over an inverted index.
-
-The examples are a bounded sample of labelled texts. The vector space has all their words and word
-beginnings, whatever their labels. A query adds up the postings of all its terms, so the k nearest
-examples are exact. Their votes, weighted by distance, are calibrated with each example's own
-left-out vote.
+"""Toxicity: votes of the nearest labelled examples by exact TF-IDF cosine, over a block-max inverted index.
+
+The examples are a bounded sample of labelled texts; their terms, whatever the labels, span the
+space, and weights count over all documents. Rows of the index are arranged so that examples that
+are alike share a block, and a block knows, for each of its terms only, the largest weight. Terms
+that a quarter of the examples hold would bound nothing; their weights are a dense table. A query
+adds both up to bounds; blocks are scored from their postings, the most promising first, until no
+other block's bound reaches the k-th cosine, so the k nearest examples are exact. Their votes, weighted
+by distance, are calibrated with each example's own left-out vote.
 """
 
 from __future__ import annotations
 
 import hashlib
-import math
 import re
-from collections import Counter
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -21,86 +22,182 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gaugeline.llm.common import documents, pack, stored, text_slices, unpack
+from gaugeline.llm.common import documents, pack, stored, text_slices, unpack, word_hashes
 from gaugeline.llm.labelled import Logistic, held_out, learnt
+from gaugeline.llm.tokens import words_of
 
 #: Labelled rows that are learnt from, at most.
-SAMPLE = 20_000
+SAMPLE = 4_000
 BEGINNINGS = (4, 5)
 NEIGHBOURS = 15
-#: Words that a task remembers; of texts a tenth as many.
-MEMORY = 200_000
+#: Rows of a block, and the share of rows from which on a term's weights are dense.
+BLOCK, DENSE = 32, 0.25
+#: Texts whose result a task remembers.
+MEMORY = 20_000
 
-_LETTERS = re.compile(r"[^\W\d_]+")
+_LETTERS = re.compile(r"(?:[A-Za-z]|[^\x00-\x7F])+")
+_INSIDE = np.zeros(256, bool)
+_INSIDE[list(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz")] = True
+_INSIDE[0x80:] = True
 
 
-def terms_of(word: str) -> list[str]:
-    """The terms of one white-space word: its runs of letters, and their beginnings (with a star)."""
+def terms_of(text: str) -> list[str]:
+    """The terms of a text: its runs of letters (beyond ASCII, of anything), in lower case, and their beginnings (with a star)."""
     out = []
-    for run in _LETTERS.findall(word.lower()):
+    for run in _LETTERS.findall(text):
+        run = run.lower()
         out.append(run)
         out += [run[:n] + "*" for n in BEGINNINGS if len(run) > n]
     return out
 
 
+def term_counts(texts: list[bytes], known: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text, term, count) of all texts' terms, by text and term: hashed, or their places in the sorted hashes known, without others."""
+    words = words_of(texts, b"\n".join(texts), _INSIDE)
+    named = [terms_of(n.decode("utf-8", "replace")) for n in words.names]
+    flat = sorted({t for ts in named for t in ts})
+    hashes = dict(zip(flat, word_hashes([t.encode() for t in flat]).tolist(), strict=True))
+    table = np.zeros((len(named), 1 + len(BEGINNINGS)), np.uint64)
+    there = np.zeros(table.shape, bool)
+    for k, ts in enumerate(named):
+        row = [hashes[t] for t in ts[: table.shape[1]]]
+        table[k, : len(row)] = row
+        there[k, : len(row)] = True
+    unique, codes = np.unique(table, return_inverse=True)
+    codes = codes.reshape(table.shape)
+    if known is not None:
+        place = np.searchsorted(known, unique)
+        ok = known[np.minimum(place, len(known) - 1)] == unique if len(known) else np.zeros(len(unique), bool)
+        there &= ok[codes]
+    picked = there[words.ids]
+    text = np.broadcast_to(words.text[:, None], picked.shape)[picked]
+    pairs, n = np.unique(text * np.int64(len(unique) + 1) + codes[words.ids][picked], return_counts=True)
+    code = pairs % (len(unique) + 1)
+    return pairs // (len(unique) + 1), (unique if known is None else place)[code], n
+
+
+def _flat(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The indices of several runs, one after the other."""
+    ends = np.cumsum(lengths)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - ends + lengths, lengths)
+
+
+def arranged(rows: np.ndarray, terms: np.ndarray, weights: np.ndarray, n: int, size: int = BLOCK) -> np.ndarray:
+    """An order of n rows in which those alike stand together: halved along their main direction again and again."""
+    order = np.argsort(rows, kind="stable")
+    rows, terms, weights = rows[order], terms[order], weights[order]
+    begins = np.searchsorted(rows, np.arange(n + 1))
+    width = int(terms.max()) + 1 if len(terms) else 1
+    done, todo = [], [np.arange(n)]
+    while todo:
+        group = todo.pop()
+        if len(group) <= size:
+            done.append(group)
+            continue
+        at = _flat(begins[group], begins[group + 1] - begins[group])
+        local = np.repeat(np.arange(len(group)), begins[group + 1] - begins[group])
+        t, w = terms[at], weights[at]
+        side = np.linspace(-1, 1, len(group))
+        for _ in range(5):
+            side = side - side.mean()
+            direction = np.bincount(t, w * side[local], minlength=width)
+            side = np.bincount(local, w * direction[t], minlength=len(group))
+            side /= np.abs(side).max() or 1
+        split = np.argsort(side, kind="stable")
+        half = max(size, (len(group) // 2 + size - 1) // size * size)
+        todo += [group[split[half:]], group[split[:half]]]
+    return np.concatenate(done) if done else np.zeros(0, np.int64)
+
+
 @dataclass
 class Index:
-    """Examples by term: rows and weights of unit vectors, those of term t from begins[t] to begins[t + 1]."""
+    """Postings of unit vectors by term and row. terms: their sorted hashes; those of term t lie from begins[t] to begins[t + 1]."""
 
-    names: dict[str, int]
+    terms: np.ndarray
     idf: np.ndarray
     ids: np.ndarray
     labels: np.ndarray
     begins: np.ndarray
     rows: np.ndarray
-    counts: np.ndarray
-    norms: np.ndarray
+    weights: np.ndarray
 
     def __post_init__(self) -> None:
-        self.weights = (1 + np.log(self.counts)) * np.repeat(self.idf, np.diff(self.begins)) / self.norms[self.rows]
+        lengths = np.diff(self.begins)
+        term = np.repeat(np.arange(len(self.terms)), lengths)
+        many = np.flatnonzero(lengths > DENSE * len(self.ids))
+        self.place = np.full(len(self.terms), -1)
+        self.place[many] = np.arange(len(many))
+        # At most 1 / DENSE tables of the postings' own size.
+        self.dense = np.zeros((len(many), len(self.ids)))
+        here = self.place[term] >= 0
+        self.dense[self.place[term[here]], self.rows[here]] = self.weights[here]
+        # Block maxima, only of blocks that hold the term: entry e is of block blocks[e], its postings begin at cuts[e].
+        block = self.rows // BLOCK
+        fresh = np.flatnonzero(np.r_[True, (np.diff(term) != 0) | (np.diff(block) != 0)]) if len(term) else np.zeros(0, np.int64)
+        self.cuts = np.r_[fresh, len(term)]
+        self.blocks = block[fresh]
+        self.maxima = np.maximum.reduceat(self.weights, fresh) if len(fresh) else np.zeros(0)
+        self.firsts = np.searchsorted(term[fresh], np.arange(len(self.terms) + 1))
 
     def __reduce__(self) -> tuple:
-        """Travels compressed, rows as steps and without the weights."""
-        return _read, (pack(np.frombuffer("\n".join(self.names).encode(), np.uint8)), *map(pack, (self.idf, self.ids, self.labels, self.begins, np.diff(self.rows, prepend=np.int32(0)), self.counts, self.norms)))
+        """Travels compressed, rows as steps and without the block maxima."""
+        return _read, tuple(map(pack, (self.terms, self.idf, self.ids, self.labels, self.begins, np.diff(self.rows, prepend=np.int32(0)), self.weights)))
 
     @classmethod
-    def build(cls, names: Sequence[str], idf: np.ndarray, examples: Sequence[tuple[int, int, dict[int, int]]]) -> Index:
-        """examples: doc_id, label, term counts."""
-        sizes = np.asarray([len(c) for _, _, c in examples], np.int64)
-        terms, counts = (np.fromiter((x for _, _, c in examples for x in part(c)), np.int32, sizes.sum()) for part in (dict.keys, dict.values))
-        return cls.of(names, idf, np.asarray([i for i, _, _ in examples], np.int64), np.asarray([y for _, y, _ in examples], np.int64), sizes, terms, counts)
-
-    @classmethod
-    def of(cls, names: Sequence[str], idf: np.ndarray, ids: np.ndarray, labels: np.ndarray, sizes: np.ndarray, terms: np.ndarray, counts: np.ndarray) -> Index:
-        """The same from flat arrays: example i has the next sizes[i] of terms and counts."""
-        rows = np.repeat(np.arange(len(ids), dtype=np.int32), sizes)
-        norms = np.sqrt(np.bincount(rows, ((1 + np.log(counts)) * idf[terms]) ** 2, minlength=len(ids)))
-        order = np.argsort(terms, kind="stable")
-        begins = np.r_[0, np.cumsum(np.bincount(terms, minlength=len(names)))]
-        return cls({n: i for i, n in enumerate(names)}, idf, ids, labels, begins, rows[order], counts[order], norms)
-
-    def unit(self, counts: dict[int, int]) -> dict[int, float]:
-        w = {t: (1 + math.log(n)) * float(self.idf[t]) for t, n in counts.items()}
-        norm = math.sqrt(sum(x * x for x in w.values()))
-        return {t: x / norm for t, x in sorted(w.items())}
-
-    def nearest(self, counts: dict[int, int], k: int = NEIGHBOURS, without: int | None = None) -> tuple[np.ndarray, np.ndarray]:
-        """Rows and cosines of the k nearest examples, none at cosine 0; of examples as far away, earlier rows."""
-        if not counts or not len(self.ids):
+    def of(cls, terms: np.ndarray, idf: np.ndarray, ids: np.ndarray, labels: np.ndarray, rows: np.ndarray, places: np.ndarray, counts: np.ndarray) -> Index:
+        """From flat arrays: row, place of the term and count of every term of every example."""
+        values = (1 + np.log(counts)) * idf[places]
+        norms = np.sqrt(np.bincount(rows, values**2, minlength=len(ids)))
+        values = values / np.where(norms > 0, norms, 1)[rows]
+        order = arranged(rows, places, values, len(ids))
+        now = np.empty(len(ids), np.int64)
+        now[order] = np.arange(len(ids))
+        rows = now[rows]
+        held = values > 0
+        rows, places, values = rows[held], places[held], values[held]
+        sort = np.lexsort((rows, places))
+        begins = np.r_[0, np.cumsum(np.bincount(places, minlength=len(terms)))]
+        return cls(terms, idf, ids[order], labels[order], begins, rows[sort].astype(np.int32), values[sort])
+
+    def nearest(self, places: np.ndarray, counts: np.ndarray, k: int = NEIGHBOURS, without: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Rows and cosines of the k nearest examples, none at cosine 0; of examples as far away, those of smaller ids."""
+        query = (1 + np.log(counts)) * self.idf[places]
+        norm = np.sqrt(query @ query)
+        if not norm or not len(self.ids):
             return np.zeros(0, np.int64), np.zeros(0)
-        terms = np.fromiter(sorted(counts), np.int64, len(counts))
-        query = (1 + np.log([counts[t] for t in terms.tolist()])) * self.idf[terms]
-        query /= math.sqrt(query @ query)
-        lo, hi = self.begins[terms], self.begins[terms + 1]
-        spans = [slice(a, b) for a, b in zip(lo.tolist(), hi.tolist(), strict=True)]
-        parts = np.concatenate([self.weights[s] for s in spans])
-        parts *= np.repeat(query, hi - lo)
-        scores = np.bincount(np.concatenate([self.rows[s] for s in spans]), parts, minlength=len(self.ids))
-        if without is not None:
-            scores[self.ids == without] = 0
-        least = np.partition(scores, -k)[-k] if len(scores) > k else 0
-        hit = np.flatnonzero((scores >= least) & (scores > 0))
-        hit = hit[np.argsort(-scores[hit], kind="stable")[:k]]
+        query = query / norm
+        dense = self.place[places] >= 0
+        scores = query[dense] @ self.dense[self.place[places[dense]]]
+        places, query = places[~dense], query[~dense]
+        lengths = self.firsts[places + 1] - self.firsts[places]
+        entries = _flat(self.firsts[places], lengths)
+        factor = np.repeat(query, lengths)
+        block = self.blocks[entries]
+        many = (len(self.ids) + BLOCK - 1) // BLOCK
+        # A cosine is at most the sum of the maxima; rounding may add a little.
+        bound = np.maximum.reduceat(scores, np.arange(0, len(scores), BLOCK)) + np.bincount(block, factor * self.maxima[entries], minlength=many) + 1e-9
+        order = np.argsort(-bound, kind="stable")
+        seen = np.zeros(many, bool)
+        at, step, least = 0, 2 + 2 * k // BLOCK, 0.0
+        while at < many and bound[order[at]] > least:
+            chosen = order[at : at + step]
+            chosen = chosen[bound[chosen] > least]
+            mask = np.zeros(many, bool)
+            seen[chosen] = mask[chosen] = True
+            here = np.flatnonzero(mask[block])
+            e = entries[here]
+            n = self.cuts[e + 1] - self.cuts[e]
+            postings = _flat(self.cuts[e], n)
+            scores += np.bincount(self.rows[postings], np.repeat(factor[here], n) * self.weights[postings], minlength=len(scores))
+            # Rows of other blocks have only a part of their cosine yet.
+            done = np.where(np.repeat(seen, BLOCK)[: len(scores)], scores, 0.0)
+            if without is not None:
+                done[self.ids == without] = 0
+            least = float(np.partition(done, -k)[-k]) - 1e-9 if len(done) > k else 0.0
+            at, step = at + step, step * 3
+        hit = np.flatnonzero((done >= least) & (done > 0))
+        scores = done
+        hit = hit[np.lexsort((self.ids[hit], -scores[hit]))][:k]
         return hit, scores[hit]
 
     def vote(self, rows: np.ndarray, cosines: np.ndarray) -> tuple[float, float]:
@@ -109,11 +206,10 @@ class Index:
         return float((weights * self.labels[rows]).sum() / weights.sum()), float(cosines[0])
 
 
-def _read(names: bytes, *packed: bytes) -> Index:
-    kinds = (np.float64, np.int64, np.int64, np.int64, np.int32, np.int32, np.float64)
-    idf, ids, labels, begins, steps, counts, norms = (unpack(b, k) for b, k in zip(packed, kinds, strict=True))
-    found = unpack(names, np.uint8).tobytes().decode().split("\n") if names else []
-    return Index({n: i for i, n in enumerate(found)}, idf, ids, labels, begins, np.cumsum(steps, dtype=np.int32), counts, norms)
+def _read(*packed: bytes) -> Index:
+    kinds = (np.uint64, np.float64, np.int64, np.int64, np.int64, np.int32, np.float64)
+    terms, idf, ids, labels, begins, steps, weights = (unpack(b, k) for b, k in zip(packed, kinds, strict=True))
+    return Index(terms, idf, ids, labels, begins, np.cumsum(steps, dtype=np.int32), weights)
 
 
 @dataclass
@@ -123,64 +219,72 @@ class Model:
     #: The score of a text without any term or neighbour.
     rest: float
 
-    def score(self, counts: dict[int, int]) -> tuple[float, np.ndarray, np.ndarray]:
-        rows, cosines = self.index.nearest(counts)
+    def score(self, places: np.ndarray, counts: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
+        rows, cosines = self.index.nearest(places, counts)
         if not len(rows):
             return self.rest, rows, cosines
         return float(self.calibration.predict(np.asarray([self.index.vote(rows, cosines)]))[0]), rows, cosines
 
 
 def fit(docs: DataFrame, labels: DataFrame, column: str = "toxic", sample: int = SAMPLE) -> Model:
-    """The model of a bounded sample: the driver gets all its terms and the term counts of its texts."""
-    chosen = learnt(labels, column, sample)
-    texts = documents(docs, "doc_id", "text").join(F.broadcast(chosen), "doc_id")  # at most about `sample` rows of two numbers
-
-    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: Counter[str] = Counter()
-        for _, raw in text_slices(batches):
-            for text in raw:
-                words = set(text.decode("utf-8", "replace").split())
-                seen.update({t for w in words for t in terms_of(w)})
-        yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())], names=["term", "n"])
-
-    n = texts.count()
-    counts = texts.select("text").mapInArrow(counted, "term string, n long").groupBy("term").agg(F.sum("n").alias("df")).orderBy("term").toArrow()
-    names = counts.column("term").to_pylist()
-    idf = np.log((1 + n) / (1 + counts.column("df").to_numpy().astype(float))) + 1
-    known = docs.sparkSession.sparkContext.broadcast(pack(np.frombuffer("\n".join(names).encode(), np.uint8)))
+    """The model of a bounded sample: the driver gets the hashed terms and their counts of about sample texts, once, and how many documents hold each."""
+    spark = docs.sparkSession
+    texts = documents(docs, "doc_id", "text")
+    chosen = texts.join(F.broadcast(learnt(labels, column, sample)), "doc_id")  # at most about `sample` rows of two numbers
+    listed = "doc_id long, y int, terms array<long>, counts array<int>"
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at = {t: i for i, t in enumerate(unpack(known.value, np.uint8).tobytes().decode().split("\n"))}
         for batch, raw in text_slices(batches):
-            found = [Counter(at[t] for w in text.decode("utf-8", "replace").split() for t in terms_of(w)) for text in raw]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("y"), pa.array([list(c) for c in found], pa.list_(pa.int32())), pa.array([list(c.values()) for c in found], pa.list_(pa.int32()))], names=["doc_id", "y", "terms", "counts"])
+            text, terms, n = term_counts(raw)
+            offsets = pa.array(np.searchsorted(text, np.arange(len(raw) + 1)).astype(np.int32))
+            lists = [pa.ListArray.from_arrays(offsets, pa.array(x)) for x in (terms.view(np.int64), n.astype(np.int32))]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("y"), *lists], names=["doc_id", "y", "terms", "counts"])
 
-    found = texts.select("doc_id", "y", "text").mapInArrow(vectors, "doc_id long, y int, terms array<int>, counts array<int>")
-    found = stored(found, "examples")
-    bare = dict(found.where(F.size("terms") == 0).groupBy(F.least("y", F.lit(1))).count().collect())
-    found = found.where(F.size("terms") > 0)
+    found = stored(chosen.select("doc_id", "y", "text").mapInArrow(vectors, listed), "examples")
     got = found.orderBy("doc_id", "terms", "counts").toArrow().combine_chunks()
+    sizes = pc.list_value_length(got.column("terms")).to_numpy()
     flat = lambda c: pc.list_flatten(got.column(c)).to_numpy()
-    index = Index.of(names, idf, got.column("doc_id").to_numpy(), np.minimum(1, got.column("y").to_numpy()).astype(np.int64), pc.list_value_length(got.column("terms")).to_numpy(), flat("terms"), flat("counts"))
-    shared = docs.sparkSession.sparkContext.broadcast(index)
+    terms, places = np.unique(flat("terms").view(np.uint64), return_inverse=True)
+    known = spark.sparkContext.broadcast(pack(terms))
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        there = unpack(known.value, np.uint64)
+        n = np.zeros(len(there), np.int64)
+        for _, raw in text_slices(batches):
+            n += np.bincount(term_counts(raw, there)[1], minlength=len(there))
+        held = np.flatnonzero(n)
+        yield pa.RecordBatch.from_arrays([pa.array(held), pa.array(n[held])], names=["place", "n"])
+
+    counts = texts.select("text").mapInArrow(spread, "place long, n long").groupBy("place").agg(F.sum("n").alias("n")).toArrow()
+    df = np.ones(len(terms))
+    df[counts.column("place").to_numpy()] = counts.column("n").to_numpy()
+    idf = np.log((1 + docs.count()) / (1 + df)) + 1
+    ys = np.minimum(1, got.column("y").to_numpy()).astype(np.int64)
+    some = np.flatnonzero(sizes > 0)
+    now = np.full(len(sizes), -1)
+    now[some] = np.arange(len(some))
+    index = Index.of(terms, idf, got.column("doc_id").to_numpy()[some], ys[some], now[np.repeat(np.arange(len(sizes)), sizes)], places, flat("counts"))
+    bare = ys[sizes == 0]
+    shared = spark.sparkContext.broadcast(index)
 
     def left_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        index = shared.value
         for batch in batches:
             votes, ys = [], []
-            for doc, y, terms, counts in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "y", "terms", "counts")), strict=True):
-                near, cosines = shared.value.nearest(dict(zip(terms, counts, strict=True)), without=doc)
+            for doc, y, hashes, n in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "y", "terms", "counts")), strict=True):
+                near, cosines = index.nearest(np.searchsorted(index.terms, np.asarray(hashes, np.int64).view(np.uint64)), np.asarray(n, np.int64), without=doc)
                 if len(near):
-                    votes.append(shared.value.vote(near, cosines))
+                    votes.append(index.vote(near, cosines))
                     ys.append(min(1, y))
             yield pa.RecordBatch.from_arrays([pa.array([v for v, _ in votes], pa.float64()), pa.array([c for _, c in votes], pa.float64()), pa.array(ys, pa.float64())], names=["vote", "cosine", "y"])
 
-    votes = found.mapInArrow(left_out, "vote double, cosine double, y double").orderBy("vote", "cosine", "y").toPandas()
+    votes = found.where(F.size("terms") > 0).mapInArrow(left_out, "vote double, cosine double, y double").orderBy("vote", "cosine", "y").toPandas()
     y = votes["y"].to_numpy()
     # Platt's targets keep the scores of a clean split off 0 and 1.
     target = np.where(y > 0, (y.sum() + 1) / (y.sum() + 2), 1 / ((1 - y).sum() + 2))
     calibration = Logistic.fit(votes[["vote", "cosine"]].to_numpy(), target)
     # Twenty texts without terms are assumed, one of them labelled.
-    return Model(index, calibration, (1 + bare.get(1, 0)) / (20 + sum(bare.values())))
+    return Model(index, calibration, float((1 + bare.sum()) / (20 + len(bare))))
 
 
 def score_documents(docs: DataFrame, model: Model, evidence: int = 3) -> DataFrame:
@@ -199,30 +303,22 @@ def score_documents(docs: DataFrame, model: Model, evidence: int = 3) -> DataFra
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
-        names, index = model.index.names, model.index
-        words: dict[str, tuple[int, ...]] = {}
+        index = model.index
         known: dict[bytes, tuple] = {}
-
-        def terms(word: str) -> tuple[int, ...]:
-            out = tuple(names[t] for t in terms_of(word) if t in names)
-            if len(words) < MEMORY and len(word) < 40:
-                words[word] = out
-            return out
-
         for batch, raw in text_slices(batches):
-            scores, seen = [], []
-            for text in raw:
-                key = hashlib.blake2b(text, digest_size=16).digest()
-                if (out := known.get(key)) is None:
-                    all_words = text.decode("utf-8", "replace").split()
-                    found = [terms(w) if t is None else t for w, t in zip(all_words, map(words.get, all_words), strict=True)]
-                    s, rows, cosines = model.score(Counter(t for x in found if x for t in x))
-                    out = s, [{"doc_id": int(index.ids[r]), "cosine": float(c), "label": int(index.labels[r])} for r, c in zip(rows[:evidence], cosines, strict=False)]
-                    if len(known) < MEMORY // 10:
-                        known[key] = out
-                scores.append(out[0])
-                seen.append(out[1])
-            array = np.asarray(scores)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("held_out"), pa.array(array), pa.array((array >= 0.5).astype(np.int32)), pa.array(seen, near)], names=["doc_id", "held_out", "score", "predicted", "evidence"])
+            keys = [hashlib.blake2b(text, digest_size=16).digest() for text in raw]
+            new = {k: t for k, t in zip(keys, raw, strict=True) if k not in known}
+            text, places, counts = term_counts(list(new.values()), index.terms)
+            edges = np.searchsorted(text, np.arange(len(new) + 1))
+            fresh = {}
+            for k, key in enumerate(new):
+                s, rows, cosines = model.score(places[edges[k] : edges[k + 1]], counts[edges[k] : edges[k + 1]])
+                fresh[key] = s, [{"doc_id": int(index.ids[r]), "cosine": float(c), "label": int(index.labels[r])} for r, c in zip(rows[:evidence], cosines, strict=False)]
+            out = [fresh[k] if k in fresh else known[k] for k in keys]
+            for key, value in fresh.items():
+                if len(known) < MEMORY:
+                    known[key] = value
+            array = np.asarray([s for s, _ in out])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("held_out"), pa.array(array), pa.array((array >= 0.5).astype(np.int32)), pa.array([e for _, e in out], near)], names=["doc_id", "held_out", "score", "predicted", "evidence"])
 
     return rows.mapInArrow(score, "doc_id long, held_out boolean, score double, predicted int, evidence array<struct<doc_id:long,cosine:double,label:int>>")

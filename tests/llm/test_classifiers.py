@@ -12,26 +12,62 @@ from test_first import WEIRD
 
 
 def test_block_max_search_is_exact():
+    """Blocks that differ, so that bounds leave some of them out; ties go to smaller ids."""
     rng = random.Random(1)
-    idf = np.asarray([1 + rng.random() * 3 for _ in range(40)])
-    made = lambda: {t: rng.choice([1, 1, 2, 5]) for t in rng.sample(range(40), rng.randrange(1, 6))}
-    examples = [(i, rng.randrange(2), made()) for i in range(700)]
-    index = toxicity.Index.build([f"t{i}" for i in range(40)], idf, examples)
-    data = {i: index.unit(c) for i, _, c in examples}
+    n_terms = 100
+    idf = np.asarray([1 + rng.random() + 2 * (t >= 40) for t in range(n_terms)])
+    # Twenty kinds of examples with three terms of their own each, and terms that all may have.
+    made = lambda kind: {t: rng.choice([1, 1, 2, 5]) for t in {0, 1, *(rng.randrange(2, 40) for _ in range(rng.randrange(1, 6))), *rng.sample(range(40 + 3 * kind, 43 + 3 * kind), 2)}}
+    examples = [(5 * i + 3, rng.randrange(2), made(i % 20)) for i in range(700)]
+    rows = np.repeat(np.arange(700), [len(c) for *_, c in examples])
+    index = toxicity.Index.of(np.arange(n_terms, dtype=np.uint64), idf, np.asarray([i for i, *_ in examples]), np.asarray([y for _, y, _ in examples]), rows, np.asarray([t for *_, c in examples for t in c]), np.asarray([x for *_, c in examples for x in c.values()]))
+
+    def unit(c):
+        w = {t: (1 + np.log(x)) * idf[t] for t, x in c.items()}
+        norm = np.sqrt(sum(x * x for x in w.values()))
+        return {t: x / norm for t, x in w.items()}
+
+    data = {i: unit(c) for i, _, c in examples}
+    scored, whole = [], 0
+    lengths = np.diff(index.begins)
+    real = np.bincount
+
+    def counting(x, *a, **kw):
+        if kw.get("minlength") == 700:
+            scored.append(len(x))
+        return real(x, *a, **kw)
+
     for k in range(80):
-        query, without = (examples[k][2], k) if k % 2 else (made(), None)
-        q = index.unit(query)
-        want = sorted((round(sum(w * d.get(t, 0) for t, w in q.items()), 9) for i, d in data.items() if i != without), reverse=True)[: toxicity.NEIGHBOURS]
-        rows, cosines = index.nearest(query, without=without)
-        assert np.round(cosines, 9).tolist() == pytest.approx([w for w in want if w > 0], abs=2e-9)
-        assert without not in index.ids[rows].tolist()
-        assert all(sum(w * data[int(index.ids[r])].get(t, 0) for t, w in q.items()) == pytest.approx(c) for r, c in zip(rows, cosines, strict=True))
-    assert index.nearest({}) [0].size == 0
+        query, without = (examples[k][2], examples[k][0]) if k % 2 else (made(k % 20), None)
+        q = unit(query)
+        want = sorted((-round(sum(w * d.get(t, 0) for t, w in q.items()), 9), i) for i, d in data.items() if i != without)[: toxicity.NEIGHBOURS]
+        places = np.asarray(sorted(query))
+        whole += sum(lengths[t] for t in query if t > 1)
+        toxicity.np.bincount = counting
+        try:
+            rows_, cosines = index.nearest(places, np.asarray([query[t] for t in places]), without=without)
+        finally:
+            toxicity.np.bincount = real
+        assert np.round(cosines, 9).tolist() == pytest.approx([-s for s, _ in want if s < 0], abs=2e-9)
+        assert without not in index.ids[rows_].tolist()
+        assert all(sum(w * data[int(index.ids[r])].get(t, 0) for t, w in q.items()) == pytest.approx(c) for r, c in zip(rows_, cosines, strict=True))
+    assert sorted(index.ids.tolist()) == sorted(i for i, *_ in examples) and len(index.dense) == 2
+    # Fewer postings are touched than the queries' terms have.
+    assert sum(scored) < 0.7 * whole
+    assert index.nearest(np.zeros(0, np.int64), np.zeros(0, np.int64))[0].size == 0
 
 
 def test_terms_of_words():
     assert toxicity.terms_of("Loweien,") == ["loweien", "lowe*", "lowei*"]
     assert toxicity.terms_of("a-42b") == ["a", "b"] and toxicity.terms_of("!") == []
+    texts = ["Loweien, a-42b a", "", "über LOWEien über"]
+    text, terms, n = toxicity.term_counts([t.encode() for t in texts])
+    got = {(t, h): c for t, h, c in zip(text.tolist(), terms.tolist(), n.tolist(), strict=True)}
+    from collections import Counter
+
+    from gaugeline.llm.common import word_hashes
+    assert got == {(k, int(word_hashes([w.encode()])[0])): c for k, t in enumerate(texts) for w, c in Counter(toxicity.terms_of(t)).items()}
+    assert toxicity.term_counts([])[0].size == 0
 
 
 def auc(score, y):
@@ -76,7 +112,7 @@ def test_views_teach_each_other():
     rng = np.random.default_rng(3)
     y = (rng.random(3000) < 0.5).astype(float)
     a = (y * 4 - 2)[:, None] + rng.standard_normal((3000, 3))
-    b = np.column_stack([(y * 2 - 1) + rng.standard_normal(3000) for _ in range(6)] + [rng.standard_normal(3000) for _ in range(40)])
+    b = np.column_stack([(y * 2 - 1) * 0.6 + rng.standard_normal(3000) for _ in range(3)] + [rng.standard_normal(3000) for _ in range(40)])
     known = np.arange(3000) < 24
     aside = np.arange(24) % 4 == 0
     alone = Logistic.fit(b[:24][~aside], y[:24][~aside])
