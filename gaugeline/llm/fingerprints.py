@@ -83,7 +83,8 @@ def fingerprinted(texts: DataFrame, names: tuple[str, ...], lexicon_: DataFrame,
     keys = [F.max(F.when(F.col("v") == v, F.col("hash"))).alias(f"_h{v}") for v in range(len(names))]
     grouped = rows.groupBy("doc_id", "key").agg(*[F.max(c).alias(c) for c in keep], *lists, *keys)
     sorted_ = {f"_{v}": F.array_sort(F.array_distinct(f"_{v}")) for v in range(len(names))}
-    grouped = grouped.withColumns(sorted_)
+    # Sorted once: written, as the optimizer would otherwise move the sort into the lambda over all subsets.
+    grouped = stored(grouped.withColumns(sorted_), "terms")
     prints = [_fingerprint(F.col(f"_{v}"), F.col(f"_h{v}")).alias(n) for v, n in enumerate(names)]
     return grouped.select("doc_id", "key", *keep, *prints)
 
