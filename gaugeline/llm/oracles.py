@@ -5,7 +5,7 @@ Not expressible: trained classifiers (op1, op2), tokenized packing (op8), flow a
 
 from __future__ import annotations
 
-from gaugeline.llm import fingerprints
+from gaugeline.llm import disclosure, fingerprints
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _WORD = r"[^\x20\x09-\x0D]+"
@@ -226,6 +226,59 @@ FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN sums s ON s.conv_i
 LEFT JOIN done d ON d.conv_id IS NOT DISTINCT FROM c.conv_id LEFT JOIN left_over l ON l.conv_id IS NOT DISTINCT FROM c.conv_id
 """
 
+def _matches(table: str, column: str, pattern: str, kind: str) -> str:
+    """(id, kind, m, s, e) of a pattern's matches: their lengths and those of what lies between them add up to offsets."""
+    return rf"""SELECT id, {kind} AS kind, i, m, CAST(sum(length(p)) OVER upto + coalesce(sum(length(m)) OVER before, 0) AS BIGINT) AS s, CAST(sum(length(p)) OVER upto + sum(length(m)) OVER upto AS BIGINT) AS e
+  FROM (SELECT id, unnest(ms) AS m, unnest(ps[:len(ms)]) AS p, unnest(range(len(ms))) AS i
+    FROM (SELECT id, regexp_extract_all({column}, '{pattern}') AS ms, string_split_regex({column}, '{pattern}') AS ps FROM {table}))
+  WINDOW upto AS (PARTITION BY id ORDER BY i ROWS UNBOUNDED PRECEDING), before AS (PARTITION BY id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"""
+
+
+# The contract's patterns.
+_EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"
+_IP = r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"
+_CARD = r"[0-9]([\x20-]?[0-9])+"
+_PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
+_DIGITS = "regexp_replace(m, '[ ().+-]', '', 'g')"
+
+_PRIVATE = rf"""
+WITH d AS (SELECT row_number() OVER () AS id, doc_id, coalesce(text, '') AS t FROM documents),
+raw AS ({" UNION ALL ".join(f"({_matches('d', 't', p, str(k))})" for k, p in enumerate((_EMAIL, _IP, _CARD, _PHONE)))}),
+spans AS (
+  SELECT id, kind, s, e, kind || ':' || CASE WHEN kind < 2 THEN translate(m, '{_UPPER}', '{_LOWER}') ELSE {_DIGITS} END AS entity FROM raw
+  WHERE CASE kind WHEN 0 THEN true
+    WHEN 1 THEN len(list_filter(string_split(m, '.'), lambda x: CASE WHEN length(ltrim(x, '0')) > 3 THEN true ELSE CAST('0' || ltrim(x, '0') AS INTEGER) > 255 END)) = 0
+    WHEN 2 THEN length({_DIGITS}) BETWEEN 16 AND 19 AND list_sum(list_transform(range(1, length({_DIGITS}) + 1), lambda i:
+      CASE WHEN i % 2 = 1 THEN CAST(substr(reverse({_DIGITS}), i, 1) AS INTEGER)
+        ELSE 2 * CAST(substr(reverse({_DIGITS}), i, 1) AS INTEGER) - CASE WHEN CAST(substr(reverse({_DIGITS}), i, 1) AS INTEGER) > 4 THEN 9 ELSE 0 END END)) % 10 = 0
+    ELSE length({_DIGITS}) BETWEEN 8 AND 15 END
+), low AS (SELECT id, translate(t, '{_UPPER}', '{_LOWER}') AS t FROM d),
+w AS (SELECT id, i, m, s, e, CASE WHEN length(m) > {disclosure.BEGINNING} THEN left(m, {disclosure.BEGINNING}) || '*' END AS b FROM ({_matches("low", "t", r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+", "9")})),
+free AS (SELECT * FROM w WHERE NOT EXISTS (FROM spans x WHERE x.id = w.id AND x.s < w.e AND x.e > w.s)),
+beside AS (
+  SELECT id, entity, i FROM (SELECT x.id, x.entity, w.i, row_number() OVER (PARTITION BY x.id, x.kind, x.s ORDER BY w.i DESC) AS k FROM spans x JOIN w ON w.id = x.id AND w.e <= x.s) WHERE k <= {disclosure.WINDOW}
+  UNION SELECT id, entity, i FROM (SELECT x.id, x.entity, w.i, row_number() OVER (PARTITION BY x.id, x.kind, x.s ORDER BY w.i) AS k FROM spans x JOIN w ON w.id = x.id AND w.s >= x.e) WHERE k <= {disclosure.WINDOW}
+), near AS (
+  SELECT DISTINCT id, entity, m AS term FROM beside JOIN free USING (id, i) UNION SELECT DISTINCT id, entity, b FROM beside JOIN free USING (id, i) WHERE b IS NOT NULL
+), entities AS (
+  SELECT entity, count(DISTINCT id) AS n FROM spans JOIN d USING (id) GROUP BY entity
+  HAVING count(DISTINCT t) >= {disclosure.SUPPORT} AND count(DISTINCT id) <= CAST({disclosure.PUBLIC} AS DOUBLE) * (SELECT count(*) FROM d)
+), pairs AS (
+  SELECT entity, n, term, CAST(count(*) AS DOUBLE) AS met FROM near JOIN entities USING (entity) JOIN d USING (id) GROUP BY ALL HAVING count(DISTINCT t) >= {disclosure.SUPPORT}
+), terms AS (SELECT term, CAST(count(DISTINCT id) AS DOUBLE) AS n FROM (SELECT id, m AS term FROM w UNION SELECT id, b FROM w WHERE b IS NOT NULL) GROUP BY term),
+strong AS (
+  SELECT DISTINCT term FROM pairs p JOIN terms t USING (term)
+  WHERE CAST((SELECT count(*) FROM d) AS DOUBLE) * met * met * met * met >= CAST(p.n AS DOUBLE) * t.n * t.n * t.n * t.n
+), hits AS (
+  SELECT id, 9 AS kind, s, e, b IS NULL OR b IN (SELECT term FROM strong) AS removed FROM free WHERE m IN (SELECT term FROM strong)
+), every AS (SELECT id, kind, s, e, false AS removed FROM spans UNION ALL SELECT * FROM hits),
+named AS (SELECT *, CASE kind WHEN 0 THEN 'email' WHEN 1 THEN 'ip' WHEN 2 THEN 'card' WHEN 3 THEN 'phone' ELSE 'term' END || ':' || s || ':' || e AS line FROM every)
+SELECT doc_id, count(*) FILTER (WHERE kind = 0) AS n_email, count(*) FILTER (WHERE kind = 1) AS n_ip, count(*) FILTER (WHERE kind = 2) AS n_card, count(*) FILTER (WHERE kind = 3) AS n_phone,
+  sha256(coalesce(string_agg(line, ',' ORDER BY kind, s) FILTER (WHERE kind < 9), '')) AS base_sha256, coalesce(string_agg(line, ',' ORDER BY kind, s), '') AS spans,
+  count(*) FILTER (WHERE kind = 9) AS n_term, count(*) FILTER (WHERE removed) AS n_removed
+FROM d LEFT JOIN named USING (id) GROUP BY id, doc_id
+"""
+
 ORACLES = {
     "op3_chat_formatting": _CHAT,
     "op4_jaccard_join": _JACCARD,
@@ -235,4 +288,5 @@ ORACLES = {
     "op9_substring_dedup": _REPEATS,
     "op11_phrase_mining": _PHRASES,
     "op12_structure_repair": _REPAIR,
+    "op13_pii": _PRIVATE,
 }

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gaugeline.llm.oracles import ORACLES  # noqa: F401
-from gaugeline.llm import chat, collocations, embedding_dedup, fingerprints, jaccard_join, mixing, packing, quality, substring_dedup, toxicity, turns, url_filters
+from gaugeline.llm import chat, collocations, disclosure, embedding_dedup, fingerprints, jaccard_join, mixing, packing, quality, substring_dedup, toxicity, turns, url_filters
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -99,6 +99,18 @@ def op12_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("c.conv_id", *counts, F.coalesce("f.audit", F.lit("")).alias("audit"), F.coalesce("d.repaired_sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"))
 
 
+def op13_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = disclosure.find(table(spark, sf_dir, "documents"))
+    many = lambda k: F.size(F.filter("base", lambda s: s["kind"] == k)).cast("long")
+    return found.select(
+        "doc_id", *[many(k).alias(f"n_{name}") for k, name in enumerate(disclosure.KINDS)],
+        F.sha2(disclosure.listed(F.col("base")).cast("binary"), 256).alias("base_sha256"),
+        disclosure.listed(F.col("base"), F.col("terms")).alias("spans"),
+        F.size("terms").cast("long").alias("n_term"),
+        F.size(F.filter("terms", lambda t: t["removed"])).cast("long").alias("n_removed"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_quality_classifier": op2_quality_classifier,
@@ -112,4 +124,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_mixing": op10_mixing,
     "op11_phrase_mining": op11_phrase_mining,
     "op12_structure_repair": op12_structure_repair,
+    "op13_pii": op13_pii,
 }
