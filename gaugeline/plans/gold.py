@@ -11,7 +11,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gaugeline.functions.rounding import hundredths, two_digits
-from gaugeline.operators.ordered import running_totals
+from gaugeline.operators.ordered import (
+    ROWS_PER_CHUNK,
+    running_totals,
+    sort_key,
+    split_by_key,
+)
+from gaugeline.sinks.scratch import kept
 
 # SLA limits on the daily certified rate, in percent.
 SLA_MET = 70
@@ -37,14 +43,13 @@ def mean_score(total: str, n: str) -> Column:
     return F.round(F.col(total) / F.nullif(F.col(n) * 100.0, F.lit(0.0)), 2)
 
 
-def score_stats(silver: DataFrame, keys: list[Column], names: list[str]) -> DataFrame:
-    """Counts, score spread and interpolated percentiles per group.
+def score_counts(silver: DataFrame, keys: list[Column], names: list[str]) -> DataFrame:
+    """(names, score, n, c, b, r): episodes and decisions per score. Rows of several batches merge by sums.
 
-    The first aggregate groups by (keys, score): map-side combining shrinks a
-    hot group to its distinct scores, and those are hashed to many tasks. The
-    exact percentiles then walk the score counts, never the rows.
+    Map-side combining shrinks a hot group to its distinct scores, and those are
+    hashed to many tasks.
     """
-    by_score = (
+    return (
         silver.select(
             *keys, "routing_decision", two_digits(F.col("composite_score")).alias("score")
         )
@@ -55,7 +60,18 @@ def score_stats(silver: DataFrame, keys: list[Column], names: list[str]) -> Data
             F.count_if(decision("BORDERLINE")).alias("b"),
             F.count_if(decision("REJECTED")).alias("r"),
         )
-        .withColumn("scored", F.when(F.col("score").isNotNull(), F.col("n")).otherwise(0))
+    )
+
+
+def score_stats(silver: DataFrame, keys: list[Column], names: list[str]) -> DataFrame:
+    """Counts, score spread and interpolated percentiles per group."""
+    return stats_of_counts(score_counts(silver, keys, names), names)
+
+
+def stats_of_counts(counts: DataFrame, names: list[str]) -> DataFrame:
+    """The same from score counts, one row per (names, score); exact percentiles walk the counts, never the rows."""
+    by_score = counts.withColumn(
+        "scored", F.when(F.col("score").isNotNull(), F.col("n")).otherwise(0)
     )
     group = Window.partitionBy(*names)
     upto = group.orderBy("score").rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -126,12 +142,11 @@ def task_type_summary(silver: DataFrame) -> DataFrame:
     return score_stats(silver, [F.col("task_type")], ["task_type"]).orderBy("task_type")
 
 
-def failure_counts(silver: DataFrame, flag: Column | None = None) -> DataFrame:
-    """Episodes and scores per (day, task, routing, flag), not ranked yet.
+FLAG_KEYS = ["report_date", "task_type", "routing_decision", "failure_flag"]
 
-    The distinct count is split by episode first, so one hot flag is spread
-    over many tasks.
-    """
+
+def flagged_episodes(silver: DataFrame, flag: Column | None = None) -> DataFrame:
+    """(day, task, routing, flag, episode, cents, scored, min_score): rows of several batches merge by sums and minima."""
     flag = F.trim("failure_flag") if flag is None else flag
     exploded = silver.where(F.size("failure_flags") > 0).select(
         report_date(),
@@ -141,18 +156,29 @@ def failure_counts(silver: DataFrame, flag: Column | None = None) -> DataFrame:
         two_digits(F.col("composite_score")).alias("score"),
         F.explode("failure_flags").alias("failure_flag"),
     )
-    keys = ["report_date", "task_type", "routing_decision", "failure_flag"]
     return (
         exploded.withColumn("failure_flag", flag)
-        .groupBy(*keys)
+        .groupBy(*FLAG_KEYS, "episode_id")
         .agg(
-            F.count_distinct("episode_id").alias("affected_episodes"),
             F.sum(hundredths(F.col("score"))).alias("cents"),
             F.count("score").alias("scored"),
-            F.min("score").alias("min_score_when_flagged"),
+            F.min("score").alias("min_score"),
+        )
+    )
+
+
+def failures_of_episodes(flagged: DataFrame) -> DataFrame:
+    """Episodes and scores per (day, task, routing, flag), from one row per flagged episode."""
+    return (
+        flagged.groupBy(*FLAG_KEYS)
+        .agg(
+            F.count("episode_id").alias("affected_episodes"),
+            F.sum("cents").alias("cents"),
+            F.sum("scored").alias("scored"),
+            F.min("min_score").alias("min_score_when_flagged"),
         )
         .select(
-            *keys,
+            *FLAG_KEYS,
             "affected_episodes",
             mean_score("cents", "scored").alias("avg_score_when_flagged"),
             "min_score_when_flagged",
@@ -160,6 +186,14 @@ def failure_counts(silver: DataFrame, flag: Column | None = None) -> DataFrame:
     )
 
 
+def failure_counts(silver: DataFrame, flag: Column | None = None) -> DataFrame:
+    """Episodes and scores per (day, task, routing, flag), not ranked yet.
+
+    Split by episode first, so one hot flag is spread over many tasks.
+    """
+    return failures_of_episodes(flagged_episodes(silver, flag))
+
+
 def routing_counts(scored: DataFrame) -> DataFrame:
     """Episodes per day and decision."""
     return scored.groupBy(report_date().cast("string").alias("report_date")).agg(
@@ -179,46 +213,41 @@ def distinct_affected(scored: DataFrame) -> DataFrame:
     )
 
 
-def rank_failures(failures: DataFrame) -> DataFrame:
+def rank_failures(failures: DataFrame, most: int = ROWS_PER_CHUNK) -> DataFrame:
     """Rank flags inside (report_date, task_type), most affected first.
 
     Flag texts carry measured numbers, so one date and task can have a great
-    many of them. Counting per (affected, routing, head of the flag) first lets
-    the rank be computed in many tasks. The sort direction is expressed by the
-    negated count so that every chunk column sorts ascending.
+    many of them. Its flags are split by a histogram of their sort key into chunks
+    that many tasks rank. The sort direction is expressed by the negated count so
+    that the key sorts ascending.
 
-    ``failures`` is read twice; on large data store it first, as the gold
-    refresh does.
+    ``failures`` is read once per round of the histogram and twice for the ranks; on
+    large data store it first, as the gold refresh does.
     """
+    order = failures.withColumn("more_affected", -F.col("affected_episodes"))
+    key = sort_key(order, ["more_affected", "routing_decision", "failure_flag"])
     # Structs compare field by field and are never NULL themselves, so a missing
-    # task or flag still finds its group.
-    packed = failures.withColumns(
-        {
-            "task_day": F.struct("report_date", "task_type"),
-            "chunk": F.struct(
-                (-F.col("affected_episodes")).alias("more_affected"),
-                F.col("routing_decision"),
-                # Up to the first digit: a prefix that keeps the order, with few values.
-                F.regexp_extract("failure_flag", "^[^0-9]*[0-9]?", 0).alias("flag_head"),
-            ),
-        }
+    # task still finds its group.
+    packed = order.withColumn("task_day", F.struct("report_date", "task_type")).withColumn(
+        "rank_key", key
     )
+    split = split_by_key(packed, "rank_key", ["task_day"], most)
     return (
         running_totals(
-            packed,
+            split,
             {"failure_rank": F.lit(1).cast("long")},
-            order_by=["chunk", "failure_flag"],
+            order_by=["rank_key"],
             partition_by=["task_day"],
         )
         .withColumn("failure_rank", F.col("failure_rank").cast("int"))
-        .drop("task_day", "chunk")
+        .drop("task_day", "chunk", "rank_key", "more_affected")
         .orderBy("report_date", "task_type", "failure_rank")
     )
 
 
 def gold_failure_summary(silver: DataFrame) -> DataFrame:
     """Flag frequency with the raw flag text, as stored."""
-    return rank_failures(failure_counts(silver))
+    return rank_failures(kept(failure_counts(silver)))
 
 
 def failure_kind_summary(silver: DataFrame) -> DataFrame:
@@ -267,10 +296,35 @@ def daily_totals(silver: DataFrame) -> DataFrame:
     )
 
 
-def _sla(silver: DataFrame, week) -> DataFrame:
+def totals_of_counts(counts: DataFrame) -> DataFrame:
+    """The same daily totals from score counts that have a report_date."""
+    scored = F.when(F.col("score").isNotNull(), F.col("n"))
+    return (
+        counts.groupBy("report_date")
+        .agg(
+            F.sum("n").alias("total_episodes"),
+            F.sum("c").alias("certified"),
+            F.sum("b").alias("borderline"),
+            F.sum("r").alias("rejected"),
+            F.sum(hundredths(F.col("score")) * scored).alias("cents"),
+            F.coalesce(F.sum(scored), F.lit(0)).alias("scored"),
+        )
+        .select(
+            "report_date",
+            "total_episodes",
+            "certified",
+            "borderline",
+            "rejected",
+            mean_score("cents", "scored").alias("avg_composite_score"),
+            rate_pct(F.col("certified"), F.col("total_episodes")).alias("certified_rate_pct"),
+        )
+    )
+
+
+def _sla(totals: DataFrame, week) -> DataFrame:
     # Unpartitioned window on purpose: the input has one row per calendar day.
     return (
-        daily_totals(silver)
+        totals
         .withColumn(
             "rolling_7d_certified_rate_pct",
             F.round(
@@ -290,9 +344,13 @@ def _sla(silver: DataFrame, week) -> DataFrame:
 
 def gold_sla_compliance(silver: DataFrame) -> DataFrame:
     """Daily certified rate with means over the last seven reported days."""
-    return _sla(silver, Window.orderBy("report_date").rowsBetween(-6, 0))
+    return sla_of_totals(daily_totals(silver))
+
+
+def sla_of_totals(totals: DataFrame) -> DataFrame:
+    return _sla(totals, Window.orderBy("report_date").rowsBetween(-6, 0))
 
 
 def sla_calendar_7d(silver: DataFrame) -> DataFrame:
     """The same table with means over the last seven calendar days."""
-    return _sla(silver, Window.orderBy(F.unix_date("report_date")).rangeBetween(-6, 0))
+    return _sla(daily_totals(silver), Window.orderBy(F.unix_date("report_date")).rangeBetween(-6, 0))

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gaugeline.operators.decode import payload_text_or_plain, presence
-from gaugeline.operators.ordered import minute_of, running_totals
+from gaugeline.operators.ordered import first_rows, minute_of, running_totals
 from gaugeline.schemas import FAILURE_MODES, TASK_TYPES
 
 
@@ -217,5 +217,5 @@ def running_tally(scored: DataFrame, every: int = 100, at: str = "ingested_at")
 
 
 def read_at_most(records: DataFrame, n: int, order_by: Sequence[str]) -> DataFrame:
-    """The first ``n`` records in order (the validation reader's bound)."""
-    return records.orderBy(*order_by).limit(n)
+    """The first ``n`` records in order (the validation reader's bound); payloads stay where they are."""
+    return first_rows(records, n, order_by)

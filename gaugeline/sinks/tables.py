@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
 
 
@@ -27,6 +28,25 @@ def describe_table(
         spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ({pairs})")
 
 
+def create_table(
+    spark: SparkSession,
+    name: str,
+    schema: T.StructType,
+    comment: str = "",
+    properties: Mapping[str, str] | None = None,
+    partition_by: Sequence[str] = (),
+) -> None:
+    """An empty table for a stream to append to, if it is missing.
+
+    Its columns are nullable, as a file table's are; partition columns come last.
+    """
+    fields = sorted(schema.fields, key=lambda f: f.name in partition_by)
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
+    parts = f" PARTITIONED BY ({', '.join(f'`{c}`' for c in partition_by)})" if partition_by else ""
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet{parts}")
+    describe_table(spark, name, comment, properties)
+
+
 def replace_table(
     df: DataFrame,
     name: str,

@@ -19,9 +19,19 @@ from pyspark.sql.streaming import StreamingQuery
 from gaugeline.operators import decode, quality
 from gaugeline.operators.nested import score_nested
 from gaugeline.plans import gold
-from gaugeline.schemas import BRONZE
-from gaugeline.sinks.tables import append_stream, create_schema, replace_path, replace_table
-from gaugeline.sources.tables import read_path, stream_path
+from gaugeline.schemas import BRONZE, SILVER
+from gaugeline.sinks.publish import completed_text
+from gaugeline.sinks.tables import (
+    append_stream,
+    create_schema,
+    create_table,
+    replace_path,
+    replace_table,
+)
+from gaugeline.sinks.snapshots import expire, publish, read_snapshot
+from gaugeline.sources.tables import read_path, stream_path, stream_table
+from gaugeline.streaming import live_gold
+from gaugeline.streaming.progress import ProgressLog, batch_metrics, violations
 
 GOLD_TABLES: Mapping[str, Callable[[DataFrame], DataFrame]] = {
     "gold_daily_robot_stats": gold.gold_daily_robot_stats,
@@ -63,18 +73,25 @@ def bronze(records: DataFrame) -> DataFrame:
     )
 
 
-def decoded(bronze_rows: DataFrame) -> DataFrame:
-    """Silver columns of every parsable payload, before expectations."""
+def decoded(bronze_rows: DataFrame, score: bool = False) -> DataFrame:
+    """Silver columns of every parsable payload, before expectations.
+
+    score: documents that come without a score get theirs on the way; otherwise they are dropped.
+    """
     texts = bronze_rows.select(
         decode.payload_text(F.col("payload")).alias("text"), "ingested_at"
     )
+    if score:
+        texts = completed_text(texts, keep=("ingested_at",))
     return decode.silver_fields(texts, keep=("ingested_at",)).withColumn(
         "scored_at", F.current_timestamp().cast("string")
     )
 
 
-def silver(bronze_rows: DataFrame, observe_as: str | None = None) -> DataFrame:
-    rows = decoded(bronze_rows)
+def silver(
+    bronze_rows: DataFrame, observe_as: str | None = None, score: bool = False
+) -> DataFrame:
+    rows = decoded(bronze_rows, score)
     if observe_as:
         rows = quality.observed(rows, observe_as)
     return quality.apply(rows)
@@ -102,11 +119,16 @@ def start_bronze(
 
 
 def start_silver(
-    spark: SparkSession, root: str, trigger: Mapping[str, object], max_files: int | None = None
+    spark: SparkSession,
+    root: str,
+    trigger: Mapping[str, object],
+    max_files: int | None = None,
+    score: bool = False,
 ) -> StreamingQuery:
+    """score: one stream decodes, scores what comes without a score, and passes scored documents on."""
     rows = stream_path(spark, f"{root}/bronze_episodes", BRONZE, max_files)
     writer = append_stream(
-        silver(rows, observe_as="silver_expectations"),
+        silver(rows, observe_as="silver_expectations", score=score),
         checkpoint_dir(spark, root, "silver"),
         partition_by=["routing_decision"],
     )
@@ -129,6 +151,14 @@ def start_quarantine(
     return writer.trigger(**trigger).start(f"{root}/quarantined_episodes")
 
 
+def start_gold(
+    spark: SparkSession, root: str, trigger: Mapping[str, object], max_files: int | None = None
+) -> StreamingQuery:
+    """Keep gold current from silver as it grows; see ``live_gold``."""
+    at = checkpoint_dir(spark, root, "live_gold")
+    return live_gold.start_gold(spark, root, at, trigger, max_files)
+
+
 def batch_times(query: StreamingQuery) -> list[dict[str, int]]:
     """Milliseconds per step of each recent micro-batch; the columnar form of a
     scoring latency, which has no meaning for a single row. The session keeps
@@ -142,15 +172,26 @@ def batch_times(query: StreamingQuery) -> list[dict[str, int]]:
 def refresh_gold(spark: SparkSession, root: str) -> None:
     """Recompute every gold table from the current silver snapshot.
 
-    The ranking of failures reads its counts twice, so they are stored once.
+    Each is published at once: a refresh that fails leaves its old version readable. The ranking of failures reads its counts twice, so they are stored once.
     """
     silver_rows = read_path(spark, f"{root}/silver_episodes")
     for name, build in GOLD_TABLES.items():
-        replace_path(build(silver_rows), f"{root}/{name}")
+        publish(build(silver_rows), f"{root}/{name}")
     staged = checkpoint_dir(spark, root, f"failure_counts-{uuid.uuid4().hex}")
     replace_path(gold.failure_counts(silver_rows), staged)
     ranked = gold.rank_failures(read_path(spark, staged))
-    replace_path(ranked, f"{root}/gold_failure_summary")
+    publish(ranked, f"{root}/gold_failure_summary")
+
+
+def read_gold(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """A gold table as the last finished refresh left it."""
+    return read_snapshot(spark, f"{root}/{name}")
+
+
+def expire_gold(spark: SparkSession, root: str, older_than: float = 86400.0) -> None:
+    """Remove what refreshes replaced more than older_than seconds ago."""
+    for name in GOLD_COMMENTS:
+        expire(spark, f"{root}/{name}", older_than)
 
 
 def refresh_gold_tables(silver_rows: DataFrame, schema: str, scratch: str) -> None:
@@ -165,15 +206,63 @@ def refresh_gold_tables(silver_rows: DataFrame, schema: str, scratch: str) -> No
         replace_table(df, f"{schema}.{name}", GOLD_COMMENTS[name], {"quality": "gold"})
 
 
+# Catalog tables: comment and properties of the streamed layers, and silver's partitioning.
+STREAMED = {
+    "bronze_episodes": ("Topic records as they came, with their lineage", {"quality": "bronze"}, ()),
+    "silver_episodes": (
+        "Decoded episodes that meet the dropping expectations",
+        {"quality": "silver"},
+        ("routing_decision",),
+    ),
+}
+
+
+def create_streamed_tables(spark: SparkSession, schema: str) -> None:
+    """Bronze and silver as named tables, if they are missing."""
+    create_schema(spark, schema)
+    for name, columns in (("bronze_episodes", BRONZE), ("silver_episodes", SILVER)):
+        comment, properties, partition_by = STREAMED[name]
+        create_table(spark, f"{schema}.{name}", columns, comment, properties, partition_by)
+
+
+def start_bronze_table(
+    records: DataFrame, schema: str, scratch: str, trigger: Mapping[str, object]
+) -> StreamingQuery:
+    """The topic into the table ``<schema>.bronze_episodes``."""
+    spark = records.sparkSession
+    create_streamed_tables(spark, schema)
+    writer = append_stream(bronze(records), checkpoint_dir(spark, scratch, f"{schema}.bronze"))
+    return writer.trigger(**trigger).toTable(f"{schema}.bronze_episodes")
+
+
+def start_silver_table(
+    spark: SparkSession,
+    schema: str,
+    scratch: str,
+    trigger: Mapping[str, object],
+    score: bool = False,
+) -> StreamingQuery:
+    """One table streams from the other by name."""
+    create_streamed_tables(spark, schema)
+    rows = silver(stream_table(spark, f"{schema}.bronze_episodes"), "silver_expectations", score)
+    _, _, partition_by = STREAMED["silver_episodes"]
+    writer = append_stream(rows, checkpoint_dir(spark, scratch, f"{schema}.silver"), partition_by)
+    return writer.trigger(**trigger).toTable(f"{schema}.silver_episodes")
+
+
 def run_once(
-    records: DataFrame, root: str, max_files: int | None = None, seconds: float | None = None
+    records: DataFrame,
+    root: str,
+    max_files: int | None = None,
+    seconds: float | None = None,
+    score: bool = False,
 ) -> dict[str, int]:
     """Process all waiting records through the three layers, then stop.
 
     ``max_files`` bounds a micro-batch of the later layers; ``seconds`` is how
     long each stream may take before it is stopped (the next run goes on there).
-    Returns the violation counts the silver step observed over all its batches,
-    and ``quarantined``: the payloads that this run set aside.
+    Returns the violation counts the silver step observed over all its batches
+    (they stay in ``batch_metrics``, with the durations), and ``quarantined``: the payloads that this run set aside.
     """
     spark = records.sparkSession
     now = {"availableNow": True}
@@ -186,20 +275,17 @@ def run_once(
         return query
 
     finish(start_bronze(records, root, now))
-    # A query lists its latest batches only; while this one runs it keeps them all.
-    kept = "spark.sql.streaming.numRecentProgressUpdates"
-    before = spark.conf.get(kept)
-    spark.conf.set(kept, str(2**31 - 1))
+    log = ProgressLog(spark, f"{root}/batch_metrics")
+    spark.streams.addListener(log)
     try:
-        query = finish(start_silver(spark, root, now, max_files))
-        progress = query.recentProgress
+        query = finish(start_silver(spark, root, now, max_files, score))
+        log.wait(query)
     finally:
-        spark.conf.set(kept, before)
-    counts: dict[str, int] = {}
-    for p in progress:
-        observed = p["observedMetrics"].get("silver_expectations")
-        for name, value in (observed.asDict() if observed else {}).items():
-            counts[name] = counts.get(name, 0) + value
+        spark.streams.removeListener(log)
+    done = batch_metrics(spark, log.folder).where(F.col("run_id") == str(query.runId))
+    counts: dict[str, int] = {
+        r["metric"]: r["n"] for r in violations(done, "silver_expectations").collect()
+    }
     aside = f"{root}/quarantined_episodes"
     had = _rows(spark, aside)
     finish(start_quarantine(spark, root, now, max_files))

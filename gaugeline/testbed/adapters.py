@@ -132,6 +132,19 @@ def frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def nested_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same episodes as documents: their frames in one array, in order."""
+    frame = F.struct(
+        "frame_index",
+        "timestamp_ns",
+        F.col("positions").alias("joint_positions"),
+        F.col("velocities").alias("joint_velocities"),
+    )
+    return frames(spark, sf_dir).groupBy("episode_id", "task_type").agg(
+        F.array_sort(F.collect_list(frame)).alias("sensor_frames")
+    )
+
+
 def phases(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every event as a phase event of its user, by time and then event."""
     return (
@@ -234,8 +247,8 @@ def wire_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def nested_episodes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One five-frame episode per embedding: 12 joints from 12 components each."""
-    frames = """transform(sequence(0, 4), i -> named_struct(
+    """One episode per embedding: a frame of 12 joints from each 12 components, the last one as short as what is left."""
+    frames = """transform(sequence(0, cast((size(embedding) - 1) DIV 12 AS int)), i -> named_struct(
         'timestamp_ns', CASE WHEN (vec_id + i) % 9 <> 0 THEN i * 5000000L
            + CASE WHEN vec_id % 5 = 0 AND i >= 3 THEN 60000000L ELSE 0L END END,
         'joint_positions', CASE WHEN vec_id % 7 = 0 AND i BETWEEN 1 AND 1 + vec_id % 4
@@ -262,7 +275,7 @@ def nested_episodes(spark: SparkSession, sf_dir: str) -> DataFrame:
             "25D AS duration_ms",
             "vec_id % 8 <> 0 AS task_completed",
             "'none' AS injected_failure",
-            "5 AS frame_count",
+            "cast((size(embedding) - 1) DIV 12 + 1 AS int) AS frame_count",
             f"CASE WHEN vec_id % 50 = 7 THEN slice({frames}, 1, 0) ELSE {frames} END"
             " AS sensor_frames",
             """cast(array() AS array<struct<timestamp_ns: bigint, frame_id: int,

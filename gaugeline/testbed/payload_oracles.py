@@ -58,7 +58,7 @@ fr AS (
   SELECT vec_id AS episode_id, i AS frame_index, embedding, scale,
          CASE WHEN (vec_id + i) % 9 <> 0 THEN i * 5000000
            + CASE WHEN vec_id % 5 = 0 AND i >= 3 THEN 60000000 ELSE 0 END END AS timestamp_ns
-  FROM vectors, (SELECT unnest(range(5)) AS i)
+  FROM vectors, (SELECT unnest(range(6)) AS i)
   WHERE vec_id % 50 <> 7
 ),
 jt AS (
@@ -69,6 +69,7 @@ jt AS (
          round(cast(cast(cast(embedding[12 * frame_index + j + 1] AS double)
                 * (1 + episode_id % 6) AS varchar) AS decimal(30,15)), {digits})::double AS velocity
   FROM fr, (SELECT unnest(range(12)) AS j)
+  WHERE 12 * frame_index + j < 64
 ),
 moved AS (
   SELECT *, lag(position) OVER w AS position_before, lag(velocity) OVER w AS velocity_before
@@ -129,7 +130,7 @@ def nested_scores(digits: int, extra: str, select: str) -> str:
     )
     return f"""WITH {nested}, {RUNS},
 dims AS (
-  SELECT headers.*, 5 AS frame_count, n_checked, n_hard, n_jumps, max_null_run, n_bad_gaps,
+  SELECT headers.*, 6 AS frame_count, n_checked, n_hard, n_jumps, max_null_run, n_bad_gaps,
          {SCORE_SELECT}
   FROM headers JOIN joint_stats USING (episode_id) JOIN runs USING (episode_id)
        JOIN gap_stats USING (episode_id)

@@ -10,7 +10,8 @@ from gaugeline.functions.payload import gunzip, gzip_text
 from gaugeline.operators import decode, quality
 from gaugeline.operators.nested import score_nested
 from gaugeline.plans import reports
-from gaugeline.sinks.publish import publish_frame
+from gaugeline.sinks.publish import publish_frame, size_kb
+from gaugeline.sinks.scratch import kept
 from gaugeline.streaming import medallion
 from gaugeline.testbed import adapters
 from gaugeline.testbed.report_queries import Query
@@ -48,9 +49,9 @@ def extracted(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def payload_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Text to gzip and back, then the silver rows that pass the expectations."""
+    """Text to gzip records, written and read back, then the silver rows that pass the expectations."""
     zipped = adapters.wire_texts(spark, sf_dir).select(gzip_text(F.col("text")).alias("payload"))
-    texts = zipped.select(gunzip(F.col("payload")).alias("text"))
+    texts = kept(zipped).select(gunzip(F.col("payload")).alias("text"))
     return comparable(quality.apply(decode.silver_fields(texts)))
 
 
@@ -107,9 +108,8 @@ def ee_pose(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def payload_size(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return adapters.table(spark, sf_dir, "documents").selectExpr(
-        "doc_id", "round(length(text) / 1024D, 6) AS size_kb"
-    )
+    sized = size_kb(adapters.table(spark, sf_dir, "documents"), "doc_id", F.col("text"))
+    return sized.withColumn("size_kb", F.round("size_kb", 6))
 
 
 PAYLOADS: dict[str, Query] = {

@@ -72,7 +72,9 @@ def derived_velocity(frames: DataFrame) -> DataFrame:
 
 
 SCORING: dict[str, Query] = {
-    "explode_frames": over_frames(lambda f: joints(f, 6)),
+    "explode_frames": lambda spark, sf_dir: joints(
+        rows.explode_frames(adapters.nested_frames(spark, sf_dir)), 6
+    ).withColumn("frame_index", F.col("frame_index").cast("long")),
     "null_stats": stats("n_values", "n_null"),
     "longest_null_run": stats("max_null_run"),
     "gap_stats": stats(

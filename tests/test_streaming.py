@@ -61,13 +61,13 @@ def test_bronze_to_gold_with_restart(spark, episodes, tmp_path):
         assert row["scored_at"] and row["ingested_at"]
 
     certified = sum(c[3] == "CERTIFIED" for c in CASES.values())
-    sla = spark.read.parquet(f"{root}/gold_sla_compliance").agg(
+    sla = medallion.read_gold(spark, root, "gold_sla_compliance").agg(
         F.sum("total_episodes"), F.sum("certified")
     )
     assert tuple(sla.first()) == (len(CASES), certified)
-    stats = spark.read.parquet(f"{root}/gold_daily_robot_stats")
+    stats = medallion.read_gold(spark, root, "gold_daily_robot_stats")
     assert stats.agg(F.min("min_score")).first()[0] == 0.0
-    failures = spark.read.parquet(f"{root}/gold_failure_summary").collect()
+    failures = medallion.read_gold(spark, root, "gold_failure_summary").collect()
     assert "NO_FRAMES" in {r["failure_flag"] for r in failures}
     pruned = silver.where("routing_decision = 'CERTIFIED'")
     text = pruned._jdf.queryExecution().toString()
@@ -159,3 +159,81 @@ def test_document_size(spark, episodes):
 def test_checkpoints_follow_the_session(spark, tmp_path):
     shared = spark.conf.get("spark.checkpoint.dir")
     assert medallion.checkpoint_dir(spark, str(tmp_path), "bronze").startswith(shared)
+
+
+def test_a_mixed_topic_is_scored_on_the_way(spark, episodes, tmp_path):
+    """Episodes with and without a score give the silver and gold of a topic where all were scored before."""
+    columns = ["episode_id", "frame_count", "composite_score", "routing_decision", "failure_flags", "sensor_completeness", "injected_failure", "status", "duration_ms"]
+    scored = [bytes(r["value"]) for r in publish_frame(episodes, "episodes").collect()]
+    bare = [
+        gzip.compress(json.dumps({k: v for k, v in json.loads(gzip.decompress(v)).items() if k != "_score"}).encode())
+        for v in scored
+    ]
+    mixed = [b if k % 2 else s for k, (s, b) in enumerate(zip(scored, bare, strict=True))]
+    found = {}
+    for name, values in (("scored", scored), ("mixed", mixed), ("bare", bare)):
+        topic, root = str(tmp_path / name / "topic"), str(tmp_path / name / "tables")
+        as_records(spark, [*values, b"junk", gzip.compress(b"[1]"), None]).write.parquet(topic)
+        counts = medallion.run_once(file_topic(spark, topic), root, score=True)
+        silver = spark.read.parquet(f"{root}/silver_episodes").select(columns).collect()
+        gold = medallion.read_gold(spark, root, "gold_failure_summary").drop("report_date").collect()
+        found[name] = (counts, sorted(map(str, silver)), sorted(map(str, gold)))
+    assert found["scored"] == found["mixed"] == found["bare"] and len(found["bare"][1]) == len(CASES)
+    # Without scoring they are dropped, as before.
+    root = str(tmp_path / "dropped")
+    assert medallion.run_once(file_topic(spark, str(tmp_path / "bare" / "topic")), root)["rows"] == 0
+
+
+def test_offsets_grow_without_gaps(spark, episodes, tmp_path):
+    """Three appends, with and without keys: (partition, offset) is unique and dense, and earlier offsets stay."""
+    topic = str(tmp_path / "topic")
+    payloads = spark.range(1000).repartition(7).selectExpr("CASE WHEN id % 3 = 0 THEN cast(id % 20 AS binary) END AS key", "cast(cast(id AS string) AS binary) AS value", "'t' AS topic")
+    seen = {}
+    for k in range(3):
+        to_files(payloads.selectExpr("key", f"concat(value, cast('-{k}' AS binary)) AS value", "topic"), topic)
+        rows = spark.read.schema(RECORD).parquet(topic).collect()
+        assert len(rows) == 1000 * (k + 1)
+        at = {(r["partition"], r["offset"]): bytes(r["value"]) for r in rows}
+        assert len(at) == len(rows) and seen.items() <= at.items()
+        for p in {p for p, _ in at}:
+            assert sorted(o for q, o in at if q == p) == list(range(sum(q == p for q, _ in at)))
+        seen = at
+    assert {p for p, _ in seen} == set(range(32))
+    keyed = spark.read.schema(RECORD).parquet(topic).where("key IS NOT NULL").groupBy("key").agg(F.count_distinct("partition").alias("n"))
+    assert keyed.where("n > 1").count() == 0
+    plain = str(tmp_path / "one")
+    to_files(publish_frame(episodes, "episodes"), plain, partitions=1)
+    rows = spark.read.schema(RECORD).parquet(plain).collect()
+    assert sorted(r["offset"] for r in rows) == list(range(len(CASES)))
+    assert not (tmp_path / "one__publishing").exists() or not list((tmp_path / "one__publishing").iterdir())
+
+
+def test_named_tables_stream_from_each_other(spark, episodes, tmp_path):
+    topic, scratch = str(tmp_path / "topic"), str(tmp_path / "scratch")
+    values = [bytes(r["value"]) for r in publish_frame(episodes, "episodes").collect()]
+    half = len(values) // 2
+    now = {"availableNow": True}
+
+    def run():
+        medallion.start_bronze_table(file_topic(spark, topic), "line", scratch, now).awaitTermination()
+        medallion.start_silver_table(spark, "line", scratch, now).awaitTermination()
+
+    as_records(spark, values[:half] + [b"junk"]).write.mode("append").parquet(topic)
+    run()
+    assert spark.read.table("line.silver_episodes").count() == half
+    as_records(spark, values[half:], first_offset=1000).write.mode("append").parquet(topic)
+    run()
+    run()
+    silver = spark.read.table("line.silver_episodes")
+    assert spark.read.table("line.bronze_episodes").count() == len(values) + 1
+    found = {r["episode_id"]: r["routing_decision"] for r in silver.collect()}
+    assert found == {name: case[3] for name, case in CASES.items()}
+    for name, (comment, properties, parts) in medallion.STREAMED.items():
+        rows = spark.sql(f"DESCRIBE TABLE EXTENDED line.{name}").collect()
+        described = {r["col_name"]: r["data_type"] for r in rows}
+        assert described["Comment"] == comment
+        assert all(f"{k}={v}" in described["Table Properties"] for k, v in properties.items())
+        listed = [r["col_name"] for r in rows]
+        assert all(c in listed[listed.index("# Partition Information") :] for c in parts)
+    text = silver.where("routing_decision = 'CERTIFIED'")._jdf.queryExecution().toString()
+    assert "PartitionFilters: [isnotnull(routing_decision" in text
