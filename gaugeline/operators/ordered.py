@@ -56,27 +56,28 @@ def running_totals(
     chunks = [chunk] if isinstance(chunk, str) else list(chunk)
     for name, measure in measures.items():
         df = df.withColumn(name, measure)
+    kept = [c for c in df.columns if c not in measures]
+    # A struct compares field by field and is never NULL itself, so the window and the
+    # join ask for the same partitioning: rows are shuffled once.
+    df = df.withColumn("__at", F.struct(*parts, *chunks))
+    of = lambda name: F.col("__at").getField(name)
 
-    per_chunk = df.groupBy(*parts, *chunks).agg(
-        *[F.sum(name).alias(f"__sum_{name}") for name in measures]
-    )
-    before = Window.partitionBy(*parts).orderBy(*chunks).rowsBetween(
+    per_chunk = df.groupBy("__at").agg(*[F.sum(name).alias(f"__sum_{name}") for name in measures])
+    before = Window.partitionBy(*map(of, parts)).orderBy(*map(of, chunks)).rowsBetween(
         Window.unboundedPreceding, -1
     )
     offsets = per_chunk.select(
-        *[F.col(p).alias(f"__key_{p}") for p in parts + chunks],
+        "__at",
         *[F.sum(f"__sum_{name}").over(before).alias(f"__before_{name}") for name in measures],
     )
 
     inside = (
-        Window.partitionBy(*parts, *chunks)
+        Window.partitionBy("__at")
         .orderBy(*order_by)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    kept = [c for c in df.columns if c not in measures]
-    summed = df.select(*kept, *[F.sum(name).over(inside).alias(name) for name in measures])
-    on = [F.col(p).eqNullSafe(F.col(f"__key_{p}")) for p in parts + chunks]
-    return summed.join(offsets, on, "left").select(
+    summed = df.select("__at", *kept, *[F.sum(name).over(inside).alias(name) for name in measures])
+    return summed.join(offsets, "__at", "left").select(
         *kept,
         *[
             (F.col(name) + F.coalesce(F.col(f"__before_{name}"), F.lit(0))).alias(name)
