@@ -1,31 +1,34 @@
 """Quality classifier by co-training: one model of a text's content, one of its page's metadata.
 
-Both start from the labelled sample. In each round either model labels the unlabelled pool rows it
-is surest of for the other one to learn from. At the end each view is calibrated on labelled rows
-that it didn't learn from, and the combined views score every document.
+Both start from the labelled sample. In each round both models score all unlabelled documents, and
+either model labels those it is surest of for the other one to learn from. At the end each view is
+calibrated on labelled rows that it didn't learn from, and the combined views score every document.
+
+The layout's lines count as metadata: beside lang, source and n_chars they tell how a page was
+made, not what its text says, and the tables carry no other page metadata.
 """
 
 from __future__ import annotations
 
 import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gaugeline.llm.common import documents, text_slices
-from gaugeline.llm.labelled import Logistic, bounded, held_out, learnt, logit
+from gaugeline.llm.common import documents, stored, text_slices
+from gaugeline.llm.labelled import Logistic, held_out, learnt, logit
 
-#: Labelled rows that are learnt from, and unlabelled rows that take pseudo-labels, at most.
-SAMPLE, POOL = 16_000, 16_000
+#: Labelled rows that are learnt from, at most.
+SAMPLE = 16_000
 ROUNDS = 4
-#: Pseudo-labels that a view gives in a round, as a share of the pool, and how sure it must be.
-GIVEN, SURE = 0.05, 0.9
+#: Pseudo-labels that a view gives in a round: a share of the unlabelled documents, but at most so many; and how sure it must be.
+GIVEN, MOST_GIVEN, SURE = 0.05, 800, 0.9
 #: Cells that hold the names of languages and sources.
 CELLS = 32
 #: Documents with a lower score are rejected.
@@ -88,56 +91,114 @@ class CoTrained:
         return self.combined.predict(logit(self.each(a, b)))
 
 
-def co_train(a: np.ndarray, b: np.ndarray, y: np.ndarray, pool_a: np.ndarray, pool_b: np.ndarray, aside: np.ndarray, rounds: int = ROUNDS) -> CoTrained:
+#: A pseudo-label: document, label, and the features of both views.
+Given = tuple[int, float, np.ndarray, np.ndarray]
+#: For both models and the documents that each has labelled, what each labels next.
+Surest = Callable[[tuple[Logistic, Logistic], tuple[set[int], set[int]]], tuple[list[Given], list[Given]]]
+
+
+def quotas(n: int, rate: float) -> dict[float, int]:
+    """Pseudo-labels of each class that a view gives in a round: as many of each as there are of it among the labels."""
+    quota = min(MOST_GIVEN, max(1, int(GIVEN * n)))
+    return {1.0: round(quota * rate), 0.0: round(quota * (1 - rate))}
+
+
+def co_train(a: np.ndarray, b: np.ndarray, y: np.ndarray, surest: Surest, aside: np.ndarray, rounds: int = ROUNDS) -> CoTrained:
     """a, b, y: both views and labels; aside: rows kept for calibration. y is 1 for good documents."""
     learn = ~aside if (~aside).any() else np.ones(len(y), bool)
-    views, pools = (a, b), (pool_a, pool_b)
-    rate = y[learn].mean() if learn.any() else 0.5
-    given: list[dict[int, float]] = [{}, {}]  # pseudo-labels that each view has been taught
+    views = (a, b)
+    taught: list[list[Given]] = [[], []]  # what each view has learnt from the other one
 
     def train(k: int) -> Logistic:
-        rows = np.asarray(list(given[k]), np.int64)
-        x = np.concatenate([views[k][learn], pools[k][rows]])
-        return Logistic.fit(x, np.r_[y[learn], np.asarray(list(given[k].values()), float)])
+        x = np.concatenate([views[k][learn], *[g[2 + k][None] for g in taught[k]]])
+        return Logistic.fit(x, np.r_[y[learn], np.asarray([g[1] for g in taught[k]], float)])
 
-    models = [train(0), train(1)]
+    models = (train(0), train(1))
     for _ in range(rounds):
+        new = surest(models, ({g[0] for g in taught[1]}, {g[0] for g in taught[0]}))
         for k in (0, 1):
-            p = models[k].predict(pools[k]) if len(pools[k]) else np.zeros(0)
-            quota = max(1, int(GIVEN * len(p)))
-            # As many of each class as there are of it among the labels.
-            for label, sure, many in ((1.0, p, round(quota * rate)), (0.0, 1 - p, round(quota * (1 - rate)))):
-                free = [i for i in np.argsort(-sure, kind="stable").tolist() if sure[i] >= SURE and i not in given[1 - k]]
-                given[1 - k].update(dict.fromkeys(free[:many], label))
-        models = [train(0), train(1)]
+            taught[1 - k] += new[k]
+        models = (train(0), train(1))
     check = aside if aside.any() else learn
     calibrated = tuple(Logistic.fit(logit(m.predict(x[check]))[:, None], y[check]) for m, x in zip(models, views, strict=True))
     both = np.column_stack([c.predict(logit(m.predict(x[check]))[:, None]) for m, c, x in zip(models, calibrated, views, strict=True)])
-    return CoTrained((models[0], models[1]), calibrated, Logistic.fit(logit(both), y[check]))
+    return CoTrained(models, calibrated, Logistic.fit(logit(both), y[check]))
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, pool: int = POOL) -> CoTrained:
-    """Trained on about sample labelled and pool unlabelled documents; only their features reach the driver."""
-    rows = documents(docs, "doc_id", "text", "lang", "source", "n_chars")
-    chosen = learnt(labels, "quality", sample)
-    free = bounded(docs.select(F.col("doc_id").cast("long").alias("doc_id")).where("doc_id IS NOT NULL").join(labels.select(F.col("doc_id").cast("long").alias("doc_id")), "doc_id", "left_anti"), pool, 6)
-    both = chosen.unionByName(free.distinct().withColumn("y", F.lit(-1)))
+_FEATURES = "doc_id long, y int, a array<float>, b array<float>"
 
+
+def _featured(rows: DataFrame) -> DataFrame:
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in text_slices(batches):
             a, b = _views(batch, texts)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("y"), pa.array(a.astype(np.float32).tolist(), pa.list_(pa.float32())), pa.array(b.astype(np.float32).tolist(), pa.list_(pa.float32()))], names=["doc_id", "y", "a", "b"])
-
-    # Both samples are bounded, so the ids are broadcast.
-    got = rows.join(F.broadcast(both), "doc_id").mapInArrow(features, "doc_id long, y int, a array<float>, b array<float>").toArrow()
-    got = got.take(pc.sort_indices(got, [("doc_id", "ascending")]))
-    y = got["y"].to_numpy()
-    a, b = (np.asarray(got[c].to_pylist(), float).reshape(len(y), -1) for c in ("a", "b"))
-    if not len(y):
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("y"), *(_lists(x) for x in (a, b))], names=["doc_id", "y", "a", "b"])
+
+    return rows.mapInArrow(features, _FEATURES)
+
+
+def _lists(x: np.ndarray) -> pa.Array:
+    flat = pa.array(np.ascontiguousarray(x, np.float32).ravel())
+    return pa.FixedSizeListArray.from_arrays(flat, x.shape[1]).cast(pa.list_(pa.float32()))
+
+
+def _matrix(column: pa.Array) -> np.ndarray:
+    return np.asarray(pc.list_flatten(column), float).reshape(len(column), -1)
+
+
+def _from_all(free: DataFrame, rate: float) -> Surest:
+    """Both models score all rows of free (doc_id, a, b); of each view and class the surest come to the driver, at most MOST_GIVEN a view."""
+    wanted = quotas(free.count(), rate)
+
+    def surest(models: tuple[Logistic, Logistic], gave: tuple[set[int], set[int]]) -> tuple[list[Given], list[Given]]:
+        given = [np.asarray(sorted(g), np.int64) for g in gave]
+
+        def confident(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                ids = batch.column("doc_id").to_numpy()
+                if not len(ids):
+                    continue
+                for k, name in enumerate(("a", "b")):
+                    p = models[k].predict(_matrix(batch.column(name)))
+                    fresh = ~np.isin(ids, given[k])
+                    for label, many in wanted.items():
+                        sure = p if label else 1 - p
+                        hit = np.flatnonzero(fresh & (sure >= SURE))
+                        hit = hit[np.lexsort((ids[hit], -sure[hit]))][:many]
+                        part = batch.take(pa.array(hit))
+                        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(hit), k, np.int32)), pa.array(np.full(len(hit), label)), pa.array(sure[hit]), *(part.column(c) for c in ("doc_id", "a", "b"))], names=["view", "label", "sure", "doc_id", "a", "b"])
+
+        found = free.mapInArrow(confident, "view int, label double, sure double, doc_id long, a array<float>, b array<float>")
+        by = Window.partitionBy("view", "label").orderBy(F.col("sure").desc(), "doc_id")
+        some = F.when(F.col("label") == 1, wanted[1.0]).otherwise(wanted[0.0])
+        best = found.withColumn("place", F.row_number().over(by)).where((F.col("place") <= max(wanted.values())) & (F.col("place") <= some))
+        rows = best.orderBy("view", F.col("label").desc(), "place").collect()
+        pick = lambda k: [(r["doc_id"], r["label"], np.asarray(r["a"], float), np.asarray(r["b"], float)) for r in rows if r["view"] == k]
+        return pick(0), pick(1)
+
+    return surest
+
+
+def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> CoTrained:
+    """Trained on about sample labelled documents, and on all others as they are labelled on the way.
+
+    Only features of the sample and of the pseudo-labels reach the driver. An unlabelled doc_id counts once, whatever its rows.
+    """
+    rows = documents(docs, "doc_id", "text", "lang", "source", "n_chars").where("doc_id IS NOT NULL")
+    chosen = learnt(labels, "quality", sample)
+    known = _featured(rows.join(F.broadcast(chosen), "doc_id")).toArrow()  # the sample is bounded, so its ids are broadcast
+    known = known.take(pc.sort_indices(known, [("doc_id", "ascending")])).combine_chunks()
+    labelled = labels.select(F.col("doc_id").cast("long").alias("doc_id")).where("doc_id IS NOT NULL").distinct()
+    unlabelled = rows.join(labelled, "doc_id", "left_anti").withColumn("y", F.lit(-1))
+    once = _featured(unlabelled).groupBy("doc_id").agg(F.min(F.struct("a", "b")).alias("x"))
+    free = stored(once.select("doc_id", "x.a", "x.b"), "features")
+    y = (known["y"].to_numpy() > 0).astype(float)
+    if len(y):
+        a, b = (_matrix(known[c].combine_chunks()) for c in ("a", "b"))
+    else:
         a, b = np.zeros((0, len(content(b"")))), np.zeros((0, len(metadata(None, None, 0, 1, 0))))
-    known = y >= 0
-    aside = np.asarray([zlib.crc32(str(i).encode()) % 5 == 1 for i in got["doc_id"].to_pylist()], bool)
-    return co_train(a[known], b[known], (y[known] > 0).astype(float), a[~known], b[~known], aside[known])
+    aside = np.asarray([zlib.crc32(str(i).encode()) % 5 == 1 for i in known["doc_id"].to_pylist()], bool)
+    return co_train(a, b, y, _from_all(free, float(y[~aside].mean()) if (~aside).any() else 0.5), aside)
 
 
 def scored(docs: DataFrame, model: CoTrained, keep: float = KEEP, whole: bool = False) -> DataFrame:

@@ -107,15 +107,54 @@ def test_odd_rows_are_scored(spark):
     assert toxicity.score_documents(df.where("false"), toxicity.fit(df, labels)).count() == 0
 
 
-def test_views_teach_each_other():
-    """Few labels: the view that knows lifts the one that doesn't, over the pool."""
+def pooled(a, b, rate):
+    """What _from_all() does, over arrays."""
+    wanted = quality.quotas(len(a), rate)
+
+    def surest(models, gave):
+        out = []
+        for k, x in enumerate((a, b)):
+            p = models[k].predict(x)
+            mine = []
+            for label, many in wanted.items():
+                sure = p if label else 1 - p
+                free = [i for i in np.argsort(-sure, kind="stable").tolist() if sure[i] >= quality.SURE and i not in gave[k]]
+                mine += [(i, label, a[i], b[i]) for i in free[:many]]
+            out.append(mine)
+        return out
+
+    return surest
+
+
+def made_views(n):
     rng = np.random.default_rng(3)
-    y = (rng.random(3000) < 0.5).astype(float)
-    a = (y * 4 - 2)[:, None] + rng.standard_normal((3000, 3))
-    b = np.column_stack([(y * 2 - 1) * 0.6 + rng.standard_normal(3000) for _ in range(3)] + [rng.standard_normal(3000) for _ in range(40)])
-    known = np.arange(3000) < 24
+    y = (rng.random(n) < 0.5).astype(float)
+    a = (y * 4 - 2)[:, None] + rng.standard_normal((n, 3))
+    b = np.column_stack([(y * 2 - 1) * 0.6 + rng.standard_normal(n) for _ in range(3)] + [rng.standard_normal(n) for _ in range(40)])
+    return y, a, b
+
+
+def test_views_teach_each_other():
+    """Few labels: the view that knows lifts the one that doesn't, and more over a larger pool."""
+    y, a, b = made_views(3000)
     aside = np.arange(24) % 4 == 0
     alone = Logistic.fit(b[:24][~aside], y[:24][~aside])
-    model = quality.co_train(a[known], b[known], y[known], a[~known], b[~known], aside)
-    assert auc(model.views[1].predict(b[~known]), y[~known]) > auc(alone.predict(b[~known]), y[~known]) + 0.02
-    assert auc(model.predict(a[~known], b[~known]), y[~known]) > 0.95
+    lifted = [auc(alone.predict(b[24:]), y[24:])]
+    for pool in (100, 2976):
+        model = quality.co_train(a[:24], b[:24], y[:24], pooled(a[24 : 24 + pool], b[24 : 24 + pool], y[:24].mean()), aside)
+        lifted.append(auc(model.views[1].predict(b[24:]), y[24:]))
+    assert lifted[2] > max(lifted[:2]) + 0.02
+    assert auc(model.predict(a[24:], b[24:]), y[24:]) > 0.95
+
+
+def test_all_unlabelled_documents_take_part(spark):
+    """The pseudo-labels are the surest of the whole table, wherever they lie, and none is given twice."""
+    y, a, b = made_views(900)
+    df = spark.createDataFrame([(i, a[i].tolist(), b[i].tolist()) for i in range(900)], "doc_id long, a array<float>, b array<float>").repartition(5)
+    a, b = a.astype(np.float32).astype(float), b.astype(np.float32).astype(float)
+    models = Logistic.fit(a[:60], y[:60]), Logistic.fit(b[:60], y[:60])
+    gave = ({5, 17, 800}, {3})
+    got, want = quality._from_all(df, 0.4)(models, gave), pooled(a, b, 0.4)(models, gave)
+    for mine, plain in zip(got, want, strict=True):
+        assert [(g[0], g[1]) for g in mine] == [(g[0], g[1]) for g in plain] and len(mine) > 20
+        assert all(np.array_equal(g[2], a[g[0]]) and np.array_equal(g[3], b[g[0]]) for g in mine)
