@@ -27,10 +27,13 @@ _FALLBACK: list[str] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named in spark.checkpoint.dir; a fresh local one where it is unset, as in tests."""
+    """The folder named in spark.checkpoint.dir. Where it is unset, a local session gets a folder of its
+    own; on a cluster that would be one for each machine, so it is an error."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     if not _FALLBACK:
         _FALLBACK.append(tempfile.mkdtemp(prefix="gaugeline-"))
     return _FALLBACK[0]

@@ -266,7 +266,7 @@ def _blocks(ids: np.ndarray, blocks: int) -> np.ndarray:
     return (mix(ids.view(np.uint64)) % np.uint64(blocks)).astype(np.int64)
 
 
-_CELL = "cell int, pairs binary, counts binary"
+_CELL = "cell long, pairs binary, counts binary"
 
 
 def _cells(a: np.ndarray, b: np.ndarray, counts: np.ndarray, blocks: int) -> Iterator[pa.RecordBatch]:
@@ -283,7 +283,7 @@ def _cells(a: np.ndarray, b: np.ndarray, counts: np.ndarray, blocks: int) -> Ite
     rows = [(int(cell[s]), pack(np.stack([np.diff(a[s:e], prepend=0), np.diff(b[s:e], prepend=0)])), pack(counts[s:e].astype(np.uint16))) for s, e in zip(edge, np.r_[edge[1:], len(a)], strict=True)]
     if rows:
         c, p, k = zip(*rows, strict=True)
-        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int32()), pa.array(p, pa.binary()), pa.array(k, pa.binary())], names=["cell", "pairs", "counts"])
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()), pa.array(p, pa.binary()), pa.array(k, pa.binary())], names=["cell", "pairs", "counts"])
 
 
 def _pairs(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
@@ -371,7 +371,7 @@ def _candidates(crossing: DataFrame) -> DataFrame:
             need = np.unique(np.concatenate([a, b]))
             packed = [pack(np.stack([np.diff(a, prepend=0), np.diff(b, prepend=0)]))] if len(a) else []
             k = len(need) + len(packed)
-            return pa.RecordBatch.from_arrays([pa.array(np.full(k, now, np.int32)), pa.array([*need.tolist(), *[None] * len(packed)], pa.int64()), pa.array([None] * len(need) + packed, pa.binary())], names=["cell", "id", "pairs"])
+            return pa.RecordBatch.from_arrays([pa.array(np.full(k, now, np.int64)), pa.array([*need.tolist(), *[None] * len(packed)], pa.int64()), pa.array([None] * len(need) + packed, pa.binary())], names=["cell", "id", "pairs"])
 
         for batch in batches:
             for cell, blob, counts in zip(*(batch.column(c).to_pylist() for c in ("cell", "pairs", "counts")), strict=True):
@@ -387,7 +387,7 @@ def _candidates(crossing: DataFrame) -> DataFrame:
         if held:
             yield out()
 
-    return rows.mapInArrow(merge, "cell int, id long, pairs binary")
+    return rows.mapInArrow(merge, "cell long, id long, pairs binary")
 
 
 def _verified(candidates: DataFrame, sets: DataFrame, similar: tuple[int, int]) -> DataFrame:
@@ -475,6 +475,11 @@ def join_near(docs: DataFrame, similar: tuple[int, int] = SIMILAR) -> DataFrame:
     those are similar. A null doc_id counts as larger than any: its component_id is null unless it
     reaches a document that has one. Other columns are left out; an empty table gives no rows.
     """
+    return _near(docs, similar).select("doc_id", "n_shingles", "component_id")
+
+
+def _near(docs: DataFrame, similar: tuple[int, int]) -> DataFrame:
+    """join_near(), with node, the digest of a document's set."""
     docs = documents(docs, "doc_id", "text").withColumn("doc_id", F.coalesce("doc_id", F.lit(int(_NO_ID))))
     scanned = stored(_scan(docs), "sets")
     heads = scanned.where("block IS NULL").select("doc_id", "n", "node")
@@ -489,9 +494,9 @@ def join_near(docs: DataFrame, similar: tuple[int, int] = SIMILAR) -> DataFrame:
     found = nodes.join(components(links).withColumnRenamed("node", "id"), "id", "left").select("node", "doc_id", F.coalesce("component", "id").alias("component"))
     best = found.groupBy("component").agg(F.min("doc_id").alias("component_id"))
     best = found.join(best, "component").select("node", "component_id")
-    out = heads.join(best, "node", "left").select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+    out = heads.join(best, "node", "left").select("doc_id", "node", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
     real = lambda c: F.when(F.col(c) != int(_NO_ID), F.col(c)).alias(c)
-    return out.select(real("doc_id"), "n_shingles", real("component_id"))
+    return out.select(real("doc_id"), "node", "n_shingles", real("component_id"))
 
 
 def _nodes(heads: DataFrame) -> DataFrame:
@@ -534,11 +539,29 @@ def one_of_each(docs: DataFrame, similar: tuple[int, int] = SIMILAR) -> DataFram
     """The rows of docs of which one stays of each component: that of its smallest doc_id.
 
     Of rows equal in doc_id and text one stays. A row without doc_id stays, since nothing tells
-    which it is. Rows are found again by doc_id.
+    which it is. Rows are found again by doc_id, those of a doc_id with several sets by their set
+    too; other columns don't matter, whatever their names.
     """
-    found = join_near(docs, similar)
-    gone = stored(found.where("doc_id <> component_id").select("doc_id").distinct(), "copies")
-    once = Window.partitionBy("doc_id", "_text").orderBy(F.lit(0))
-    rows = docs.join(gone, "doc_id", "left_anti").withColumn("_text", F.xxhash64("text"))
-    rows = rows.withColumn("_n", F.when(F.col("doc_id").isNull(), 1).otherwise(F.row_number().over(once)))
-    return rows.where("_n = 1").select(*docs.columns)
+    found = stored(_near(docs, similar).where("doc_id IS NOT NULL").select("doc_id", "node", (F.col("doc_id") != F.col("component_id")).alias("gone")).distinct(), "copies")
+    several = found.groupBy("doc_id").agg(F.min("node").alias("low"), F.max("node").alias("high"), F.bool_or("gone").alias("gone")).where("gone")
+    several = stored(several.select("doc_id", (F.col("low") < F.col("high")).alias("several")), "several")
+    rows = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    marked = rows.join(several, "doc_id", "left")
+    unlike = _unlike(marked.where("several"), found.where("gone").select("doc_id", "node"))
+    kept = marked.where("several IS NULL").select("row", "doc_id", "text").unionByName(unlike)
+    once = Window.partitionBy("doc_id", F.xxhash64("text")).orderBy(F.lit(0))
+    kept = kept.withColumn("place", F.when(F.col("doc_id").isNull(), 1).otherwise(F.row_number().over(once)))
+    return kept.where("place = 1").select("row.*")
+
+
+def _unlike(rows: DataFrame, gone: DataFrame) -> DataFrame:
+    """Rows (row, doc_id, text) whose own set isn't among those that go."""
+    kind = rows.schema["row"].dataType.simpleString()
+
+    def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, texts in text_slices(batches):
+            nodes = pa.array([node_of(s) for s in shingle_sets(texts)], pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("doc_id"), batch.column("text"), nodes], names=["row", "doc_id", "text", "node"])
+
+    found = rows.select("row", "doc_id", "text").mapInArrow(digests, f"row {kind}, doc_id long, text string, node long")
+    return found.join(gone, ["doc_id", "node"], "left_anti").select("row", "doc_id", "text")

@@ -173,5 +173,7 @@ def mixed(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), most: int = 3,
     Texts are not shuffled: each row finds its own decision in the broadcast plan.
     """
     _, plan = plan_mix(docs, F.array("source"), weights, most, seed)
-    rows = _keyed(docs, F.array("source"), seed).join(plan, "_p").withColumn("_copies", _copies()).where("_copies > 0")
-    return rows.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*docs.columns)
+    # The caller's columns travel as one, whatever their names.
+    rows = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("_row"), "doc_id", F.array("source").alias("_s"))
+    rows = _keyed(rows, F.col("_s"), seed).join(plan, "_p").withColumn("_copies", _copies()).where("_copies > 0")
+    return rows.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select("_row.*")

@@ -14,10 +14,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gaugeline.llm.common import text_slices
+from gaugeline.llm.common import stored, text_slices
 
 LENGTH = 2048
 OPEN_BINS = 1024
@@ -93,7 +93,7 @@ def tokenized(docs: DataFrame, path: str, length: int = LENGTH, end: int = 0, wi
     or no doc_id are documents of their own. A text is held whole, with its ids. An added token of
     the vocabulary that stands in a text is one id, as the tokenizer itself reads it.
     """
-    ids_field = [("ids", pa.list_(pa.int64()))] if with_ids else []
+    ids_field = [("ids", pa.list_(pa.int32()))] if with_ids else []
     tail = np.asarray([end], "<u4").tobytes()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -108,16 +108,19 @@ def tokenized(docs: DataFrame, path: str, length: int = LENGTH, end: int = 0, wi
                 while at < n:
                     to = at + ((n - at) % length or length) if not at else at + length
                     part = ids[4 * at : 4 * to]
-                    out.append((doc, piece, at, to - at, zlib.crc32(part), *([np.frombuffer(part, "<u4").astype(np.int64)] if with_ids else [])))
+                    out.append((doc, piece, at, to - at, zlib.crc32(part), *([np.frombuffer(part, "<i4")] if with_ids else [])))
                     at, piece = to, piece + 1
             columns = list(zip(*out, strict=True))
             kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), *(k for _, k in ids_field)]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["doc_id", "piece", "start", "length", "ids_crc32", *(n for n, _ in ids_field)])
 
-    schema = "doc_id long, piece int, start long, length long, ids_crc32 long" + (", ids array<long>" if with_ids else "")
+    schema = "doc_id long, piece int, start long, length long, ids_crc32 long" + (", ids array<int>" if with_ids else "")
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(cut, schema)
 
 
+_KEYS = ["doc_id", "piece", "start", "length", "ids_crc32"]
+
+
 class Bins:
     """Open bins by free space. place() gives a piece's bin and offset."""
 
@@ -157,9 +160,8 @@ def packed(pieces: DataFrame, tasks: int, length: int = LENGTH, open_bins: int =
     Each task packs its share online, in an order fixed by doc_id, piece and content, so that a
     repeated task packs the same. Equal pieces are interchangeable. A sequence belongs to one task.
     """
-    keys = ["doc_id", "piece", "start", "length", "ids_crc32"]
-    share = pieces.withColumn("_share", F.pmod(F.xxhash64(*keys), F.lit(tasks)))
-    spread = share.repartition(tasks, "_share").sortWithinPartitions("_share", F.xxhash64(F.lit(1), *keys), *keys)
+    share = pieces.withColumn("_share", F.pmod(F.xxhash64(*_KEYS), F.lit(tasks)))
+    spread = share.repartition(tasks, "_share").sortWithinPartitions("_share", F.xxhash64(F.lit(1), *_KEYS), *_KEYS)
     names = pieces.columns
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -182,9 +184,21 @@ def packed(pieces: DataFrame, tasks: int, length: int = LENGTH, open_bins: int =
 def pack_documents(docs: DataFrame, path: str, length: int = LENGTH, open_bins: int = OPEN_BINS, with_ids: bool = False) -> DataFrame:
     """All documents tokenized and packed; see tokenized() and packed().
 
-    The number of tasks follows the number of documents, so that sequences left half empty at the
-    end of a task stay a fixed small share. An empty table gives no rows.
+    The number of tasks follows the number of pieces, so that sequences left half empty at the end
+    of a task stay a fixed small share: a table of fewer than PIECES_PER_TASK is packed in one task,
+    as more of them would need more sequences. Only the pieces' names and lengths go there; with_ids
+    joins their ids to their places afterwards. An empty table gives no rows.
     """
-    tasks = max(1, round(docs.count() / PIECES_PER_TASK))
-    return packed(tokenized(docs, path, length, with_ids=with_ids), tasks, length, open_bins)
-
+    pieces = stored(tokenized(docs, path, length, with_ids=with_ids), "pieces")
+    tasks = max(1, round(pieces.count() / PIECES_PER_TASK))
+    places = packed(pieces.drop("ids"), tasks, length, open_bins)
+    if not with_ids:
+        return places
+    # Equal pieces are told apart by their number; which one gets which place doesn't matter. One shuffle serves both steps.
+    key = F.xxhash64(*_KEYS).alias("key")
+    placed = places.select(key, *_KEYS, "sequence_id", "offset", F.lit(None).cast("array<int>").alias("ids"))
+    held = pieces.select(key, *_KEYS, F.lit(None).cast("long").alias("sequence_id"), F.lit(None).cast("long").alias("offset"), "ids")
+    both = placed.unionByName(held).repartition("key").withColumn("side", F.col("ids").isNull())
+    both = both.withColumn("nth", F.row_number().over(Window.partitionBy("key", "side").orderBy(*_KEYS)))
+    met = both.groupBy("key", "nth").agg(F.max(F.struct(*_KEYS)).alias("piece"), *[F.max(c).alias(c) for c in ("sequence_id", "offset", "ids")])
+    return met.select("piece.*", "sequence_id", "offset", "ids")

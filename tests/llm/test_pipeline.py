@@ -4,10 +4,12 @@ import zlib
 from collections import Counter
 
 import brute
+import pytest
 import corpus_pipeline
 from gaugeline.llm import jaccard_join, mixing
 from gaugeline.llm.common import stored
 from gaugeline.llm.queries import tokenizer_path
+from pyspark.sql import functions as F
 from test_first import docs, reference_ids
 
 
@@ -60,16 +62,50 @@ def test_stages_follow_each_other(spark, sf):
 
     for r in got:
         ids = np.asarray([*first[r["doc_id"]], 0], "<u4")[r["start"] : r["start"] + r["length"]]
-        assert zlib.crc32(ids.tobytes()) == r["ids_crc32"]
+        assert zlib.crc32(ids.tobytes()) == r["ids_crc32"] and ids.tolist() == r["ids"]
     assert tokenizer_path().endswith(".json")
 
 
 def test_run_writes_every_stage(spark, sf):
     got = corpus_pipeline.run(spark, sf)
-    assert got.columns == ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"] and got.count() > 100
+    assert got.columns == ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset", "ids"] and got.count() > 100
 
 
 def test_one_of_equal_rows_stays(spark):
     df = docs(spark, ["a b c d e f", "A b c d e f", "a b c d e f", "z", None, None, ""], [4, 2, 4, 7, 7, None, 9])
     got = sorted((str(r["doc_id"]), r["text"]) for r in jaccard_join.one_of_each(df.unionByName(df)).where("doc_id IS NOT NULL").fillna({"text": "-"}).collect())
     assert got == [("2", "A b c d e f"), ("7", "-"), ("7", "z"), ("9", "")]
+
+
+CLASHING = ("full", "rest", "cut", "target", "source_size", "_p", "_h", "_s", "_sources", "_copies", "_copy", "_row", "_n", "_text", "row", "place", "several", "node", "gone")
+
+
+def test_other_columns_may_have_any_name(spark):
+    texts = ["a b c d e f", "A b c d e f", "z y x", "k l m n o p q", None]
+    df = docs(spark, texts, [4, 2, 4, 7, 9]).withColumns({c: F.concat(F.lit(f"{c}-"), F.col("doc_id").cast("string")) for c in CLASHING})
+    for got in (jaccard_join.one_of_each(df), mixing.mixed(df)):
+        assert got.columns == df.columns
+        rows = got.collect()
+        assert rows and all(r[c] == f"{c}-{r['doc_id']}" for r in rows for c in CLASHING)
+    # Of doc_id 4 only the text goes that is a copy of a smaller document's.
+    kept = {(r["doc_id"], r["text"]) for r in jaccard_join.one_of_each(df).collect()}
+    assert kept == {(2, "A b c d e f"), (4, "z y x"), (7, "k l m n o p q"), (9, None)}
+
+
+def test_a_cluster_needs_a_shared_folder(spark):
+    """Without spark.checkpoint.dir only a local session gets a folder of its own."""
+    from gaugeline.llm import common
+
+    class Session:
+        class sparkContext:
+            master = "spark://host:7077"
+
+        class conf:
+            @staticmethod
+            def get(name, default=None):
+                return default
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        common.shared_dir(Session)
+    Session.sparkContext.master = "local[2]"
+    assert common.shared_dir(Session)
