@@ -32,8 +32,8 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token pieces with their places in sequences of 2048 tokens."""
-    return packing.pack_documents(docs, tokenizer_path())
+    """Token pieces with their ids and their places in sequences of 2048 tokens."""
+    return packing.pack_documents(docs, tokenizer_path(), with_ids=True)
 
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
