@@ -3,9 +3,9 @@
 The examples are a bounded sample of labelled texts; their terms, whatever the labels, span the
 space, and weights count over all documents. Rows of the index are arranged so that examples that
 are alike share a block, and a block knows, for each of its terms only, the largest weight. Terms
-that a quarter of the examples hold would bound nothing; their weights are a dense table. A query
-adds both up to bounds; blocks are scored from their postings, the most promising first, until no
-other block's bound reaches the k-th cosine, so the k nearest examples are exact. Their votes, weighted
+that many of the examples hold would bound nothing; their weights are a dense table. A query
+adds both up to bounds; the most promising blocks are scored from their postings, then those whose
+bound reaches the k-th cosine found, so the k nearest examples are exact. Their votes, weighted
 by distance, are calibrated with each example's own left-out vote.
 """
 
@@ -13,7 +13,7 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -27,13 +27,13 @@ from gaugeline.llm.labelled import Logistic, held_out, learnt
 from gaugeline.llm.tokens import words_of
 
 #: Labelled rows that are learnt from, at most.
-SAMPLE = 4_000
+SAMPLE = 3_000
 BEGINNINGS = (4, 5)
 NEIGHBOURS = 15
 #: Rows of a block, and the share of rows from which on a term's weights are dense.
-BLOCK, DENSE = 32, 0.25
-#: Texts whose result a task remembers.
-MEMORY = 20_000
+BLOCK, DENSE = 32, 1 / 16
+#: Queries whose dense part is taken at once; texts whose result a task remembers.
+TOGETHER, MEMORY = 256, 20_000
 
 _LETTERS = re.compile(r"(?:[A-Za-z]|[^\x00-\x7F])+")
 _INSIDE = np.zeros(256, bool)
@@ -53,16 +53,16 @@ def terms_of(text: str) -> list[str]:
 
 def term_counts(texts: list[bytes], known: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(text, term, count) of all texts' terms, by text and term: hashed, or their places in the sorted hashes known, without others."""
-    words = words_of(texts, b"\n".join(texts), _INSIDE)
-    named = [terms_of(n.decode("utf-8", "replace")) for n in words.names]
-    flat = sorted({t for ts in named for t in ts})
-    hashes = dict(zip(flat, word_hashes([t.encode() for t in flat]).tolist(), strict=True))
-    table = np.zeros((len(named), 1 + len(BEGINNINGS)), np.uint64)
+    low = [t.lower() if t.isascii() else t.decode("utf-8", "replace").lower().encode() for t in texts]
+    words = words_of(low, b"\n".join(low), _INSIDE)
+    table = np.zeros((len(words.names), 1 + len(BEGINNINGS)), np.uint64)
     there = np.zeros(table.shape, bool)
-    for k, ts in enumerate(named):
-        row = [hashes[t] for t in ts[: table.shape[1]]]
-        table[k, : len(row)] = row
-        there[k, : len(row)] = True
+    table[:, 0], there[:, 0] = words.hashes, True
+    plain = [n if n.isascii() else n.decode("utf-8", "replace") for n in words.names]
+    for k, size in enumerate(BEGINNINGS, 1):
+        long = [j for j, n in enumerate(plain) if len(n) > size]
+        there[long, k] = True
+        table[long, k] = word_hashes([n[:size] + b"*" if isinstance(n, bytes) else n[:size].encode() + b"*" for n in map(plain.__getitem__, long)])
     unique, codes = np.unique(table, return_inverse=True)
     codes = codes.reshape(table.shape)
     if known is not None:
@@ -159,16 +159,32 @@ class Index:
         begins = np.r_[0, np.cumsum(np.bincount(places, minlength=len(terms)))]
         return cls(terms, idf, ids[order], labels[order], begins, rows[sort].astype(np.int32), values[sort])
 
-    def nearest(self, places: np.ndarray, counts: np.ndarray, k: int = NEIGHBOURS, without: int | None = None) -> tuple[np.ndarray, np.ndarray]:
-        """Rows and cosines of the k nearest examples, none at cosine 0; of examples as far away, those of smaller ids."""
-        query = (1 + np.log(counts)) * self.idf[places]
-        norm = np.sqrt(query @ query)
-        if not norm or not len(self.ids):
+    def nearest(self, text: np.ndarray, places: np.ndarray, counts: np.ndarray, many: int, k: int = NEIGHBOURS, without: Sequence[int] | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Of each of many texts (terms and counts in their order) rows and cosines of the k nearest examples, none at cosine 0; of examples as far away, those of smaller ids.
+
+        without: for each text an id that is left out.
+        """
+        values = (1 + np.log(counts)) * self.idf[places]
+        norms = np.sqrt(np.bincount(text, values**2, minlength=many))
+        values = values / np.where(norms > 0, norms, 1)[text]
+        edges = np.searchsorted(text, np.arange(many + 1))
+        dense = self.place[places]
+        for low in range(0, many, TOGETHER):
+            high = min(many, low + TOGETHER)
+            part = np.arange(edges[low], edges[high])
+            part = part[dense[part] >= 0]
+            queries = np.zeros((high - low, len(self.dense)))
+            queries[text[part] - low, dense[part]] = values[part]
+            base = queries @ self.dense
+            for j in range(low, high):
+                own = np.arange(edges[j], edges[j + 1])
+                own = own[dense[own] < 0]
+                yield self._nearest(base[j - low], places[own], values[own], k, None if without is None else without[j])
+
+    def _nearest(self, scores: np.ndarray, places: np.ndarray, query: np.ndarray, k: int, without: int | None) -> tuple[np.ndarray, np.ndarray]:
+        """From the dense terms' part of every cosine, and the other terms."""
+        if not len(scores):
             return np.zeros(0, np.int64), np.zeros(0)
-        query = query / norm
-        dense = self.place[places] >= 0
-        scores = query[dense] @ self.dense[self.place[places[dense]]]
-        places, query = places[~dense], query[~dense]
         lengths = self.firsts[places + 1] - self.firsts[places]
         entries = _flat(self.firsts[places], lengths)
         factor = np.repeat(query, lengths)
@@ -177,7 +193,7 @@ class Index:
         # A cosine is at most the sum of the maxima; rounding may add a little.
         bound = np.maximum.reduceat(scores, np.arange(0, len(scores), BLOCK)) + np.bincount(block, factor * self.maxima[entries], minlength=many) + 1e-9
         order = np.argsort(-bound, kind="stable")
-        seen = np.zeros(many, bool)
+        seen, done = np.zeros(many, bool), np.zeros(len(scores))
         at, step, least = 0, 2 + 2 * k // BLOCK, 0.0
         while at < many and bound[order[at]] > least:
             chosen = order[at : at + step]
@@ -188,17 +204,18 @@ class Index:
             e = entries[here]
             n = self.cuts[e + 1] - self.cuts[e]
             postings = _flat(self.cuts[e], n)
-            scores += np.bincount(self.rows[postings], np.repeat(factor[here], n) * self.weights[postings], minlength=len(scores))
+            scores = scores + np.bincount(self.rows[postings], np.repeat(factor[here], n) * self.weights[postings], minlength=len(scores))
             # Rows of other blocks have only a part of their cosine yet.
             done = np.where(np.repeat(seen, BLOCK)[: len(scores)], scores, 0.0)
             if without is not None:
                 done[self.ids == without] = 0
             least = float(np.partition(done, -k)[-k]) - 1e-9 if len(done) > k else 0.0
-            at, step = at + step, step * 3
+            at, step = at + step, many
+        # Equal examples get equal cosines, whatever the order of the sums.
+        done = np.round(done, 12)
         hit = np.flatnonzero((done >= least) & (done > 0))
-        scores = done
-        hit = hit[np.lexsort((self.ids[hit], -scores[hit]))][:k]
-        return hit, scores[hit]
+        hit = hit[np.lexsort((self.ids[hit], -done[hit]))][:k]
+        return hit, done[hit]
 
     def vote(self, rows: np.ndarray, cosines: np.ndarray) -> tuple[float, float]:
         """The distance-weighted share of label 1 among the neighbours, and the nearest one's cosine."""
@@ -219,11 +236,11 @@ class Model:
     #: The score of a text without any term or neighbour.
     rest: float
 
-    def score(self, places: np.ndarray, counts: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
-        rows, cosines = self.index.nearest(places, counts)
-        if not len(rows):
-            return self.rest, rows, cosines
-        return float(self.calibration.predict(np.asarray([self.index.vote(rows, cosines)]))[0]), rows, cosines
+    def score(self, texts: list[bytes]) -> Iterator[tuple[float, np.ndarray, np.ndarray]]:
+        """Score, neighbours and cosines of each text."""
+        for rows, cosines in self.index.nearest(*term_counts(texts, self.index.terms), len(texts)):
+            votes = np.asarray([self.index.vote(rows, cosines)]) if len(rows) else None
+            yield self.rest if votes is None else float(self.calibration.predict(votes)[0]), rows, cosines
 
 
 def fit(docs: DataFrame, labels: DataFrame, column: str = "toxic", sample: int = SAMPLE) -> Model:
@@ -270,9 +287,11 @@ def fit(docs: DataFrame, labels: DataFrame, column: str = "toxic", sample: int =
     def left_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = shared.value
         for batch in batches:
-            votes, ys = [], []
-            for doc, y, hashes, n in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "y", "terms", "counts")), strict=True):
-                near, cosines = index.nearest(np.searchsorted(index.terms, np.asarray(hashes, np.int64).view(np.uint64)), np.asarray(n, np.int64), without=doc)
+            lists, votes, ys = batch.column("terms"), [], []
+            text = np.repeat(np.arange(len(batch)), pc.list_value_length(lists).to_numpy())
+            at = np.searchsorted(index.terms, pc.list_flatten(lists).to_numpy().view(np.uint64))
+            found = index.nearest(text, at, pc.list_flatten(batch.column("counts")).to_numpy(), len(batch), without=batch.column("doc_id").to_pylist())
+            for (near, cosines), y in zip(found, batch.column("y").to_pylist(), strict=True):
                 if len(near):
                     votes.append(index.vote(near, cosines))
                     ys.append(min(1, y))
@@ -308,11 +327,8 @@ def score_documents(docs: DataFrame, model: Model, evidence: int = 3) -> DataFra
         for batch, raw in text_slices(batches):
             keys = [hashlib.blake2b(text, digest_size=16).digest() for text in raw]
             new = {k: t for k, t in zip(keys, raw, strict=True) if k not in known}
-            text, places, counts = term_counts(list(new.values()), index.terms)
-            edges = np.searchsorted(text, np.arange(len(new) + 1))
             fresh = {}
-            for k, key in enumerate(new):
-                s, rows, cosines = model.score(places[edges[k] : edges[k + 1]], counts[edges[k] : edges[k + 1]])
+            for key, (s, rows, cosines) in zip(new, model.score(list(new.values())), strict=True):
                 fresh[key] = s, [{"doc_id": int(index.ids[r]), "cosine": float(c), "label": int(index.labels[r])} for r, c in zip(rows[:evidence], cosines, strict=False)]
             out = [fresh[k] if k in fresh else known[k] for k in keys]
             for key, value in fresh.items():

@@ -42,19 +42,20 @@ def test_block_max_search_is_exact():
         q = unit(query)
         want = sorted((-round(sum(w * d.get(t, 0) for t, w in q.items()), 9), i) for i, d in data.items() if i != without)[: toxicity.NEIGHBOURS]
         places = np.asarray(sorted(query))
-        whole += sum(lengths[t] for t in query if t > 1)
+        whole += sum(lengths[t] for t in query if index.place[t] < 0)
         toxicity.np.bincount = counting
         try:
-            rows_, cosines = index.nearest(places, np.asarray([query[t] for t in places]), without=without)
+            ((rows_, cosines),) = index.nearest(np.zeros(len(places), np.int64), places, np.asarray([query[t] for t in places]), 1, without=[without])
         finally:
             toxicity.np.bincount = real
         assert np.round(cosines, 9).tolist() == pytest.approx([-s for s, _ in want if s < 0], abs=2e-9)
         assert without not in index.ids[rows_].tolist()
         assert all(sum(w * data[int(index.ids[r])].get(t, 0) for t, w in q.items()) == pytest.approx(c) for r, c in zip(rows_, cosines, strict=True))
-    assert sorted(index.ids.tolist()) == sorted(i for i, *_ in examples) and len(index.dense) == 2
+    assert sorted(index.ids.tolist()) == sorted(i for i, *_ in examples) and len(index.dense) > 2
     # Fewer postings are touched than the queries' terms have.
-    assert sum(scored) < 0.7 * whole
-    assert index.nearest(np.zeros(0, np.int64), np.zeros(0, np.int64))[0].size == 0
+    assert sum(scored) < 0.9 * whole
+    none = np.zeros(0, np.int64)
+    assert [r.size for r, _ in index.nearest(none, none, none, 2)] == [0, 0]
 
 
 def test_terms_of_words():
