@@ -17,8 +17,9 @@ def stream_table(spark: SparkSession, name: str) -> DataFrame:
     return spark.readStream.table(name)
 
 
-def read_path(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+def read_path(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+    """With a schema also a folder that a stream has not written rows to yet."""
+    return (spark.read.schema(schema) if schema else spark.read).parquet(path)
 
 
 def stream_path(

@@ -174,7 +174,7 @@ def refresh_gold(spark: SparkSession, root: str) -> None:
 
     Each is published at once: a refresh that fails leaves its old version readable. The ranking of failures reads its counts twice, so they are stored once.
     """
-    silver_rows = read_path(spark, f"{root}/silver_episodes")
+    silver_rows = read_path(spark, f"{root}/silver_episodes", SILVER)
     for name, build in GOLD_TABLES.items():
         publish(build(silver_rows), f"{root}/{name}")
     staged = checkpoint_dir(spark, root, f"failure_counts-{uuid.uuid4().hex}")

@@ -187,7 +187,7 @@ def test_a_mixed_topic_is_scored_on_the_way(spark, episodes, tmp_path):
 def test_offsets_grow_without_gaps(spark, episodes, tmp_path):
     """Three appends, with and without keys: (partition, offset) is unique and dense, and earlier offsets stay."""
     topic = str(tmp_path / "topic")
-    payloads = spark.range(1000).repartition(7).selectExpr("CASE WHEN id % 3 = 0 THEN cast(id % 20 AS binary) END AS key", "cast(cast(id AS string) AS binary) AS value", "'t' AS topic")
+    payloads = spark.range(1000).repartition(7).selectExpr("CASE WHEN id % 3 = 0 THEN cast(cast(id % 20 AS string) AS binary) END AS key", "cast(cast(id AS string) AS binary) AS value", "'t' AS topic")
     seen = {}
     for k in range(3):
         to_files(payloads.selectExpr("key", f"concat(value, cast('-{k}' AS binary)) AS value", "topic"), topic)
