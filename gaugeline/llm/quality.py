@@ -189,8 +189,9 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> CoTrained:
     known = _featured(rows.join(F.broadcast(chosen), "doc_id")).toArrow()  # the sample is bounded, so its ids are broadcast
     known = known.take(pc.sort_indices(known, [("doc_id", "ascending")])).combine_chunks()
     labelled = labels.select(F.col("doc_id").cast("long").alias("doc_id")).where("doc_id IS NOT NULL").distinct()
-    unlabelled = rows.join(labelled, "doc_id", "left_anti").withColumn("y", F.lit(-1))
-    once = _featured(unlabelled).groupBy("doc_id").agg(F.min(F.struct("a", "b")).alias("x"))
+    # Features of all rows, labelled ones too: they are shuffled, texts never.
+    unlabelled = _featured(rows.withColumn("y", F.lit(-1))).join(labelled, "doc_id", "left_anti")
+    once = unlabelled.groupBy("doc_id").agg(F.min(F.struct("a", "b")).alias("x"))
     free = stored(once.select("doc_id", "x.a", "x.b"), "features")
     y = (known["y"].to_numpy() > 0).astype(float)
     if len(y):
