@@ -23,6 +23,26 @@ def number(value: float) -> str:
     return f"{float(value)!r}D"
 
 
+# Squared changes are added as decimals: the sum is exact, so it does not depend
+# on how Spark splits the rows, and the RMS flag rounds the same way at any size.
+SQUARES = "decimal(32,18)"
+SQUARES_SUM = "decimal(38,18)"
+NO_SQUARES = f"cast(0 AS {SQUARES})"
+
+
+def square(change: str) -> str:
+    """A squared change of two readings, NULL if one is missing."""
+    return f"cast(({change}) * ({change}) AS {SQUARES})"
+
+
+def exact_sum(terms: Sequence[str]) -> str:
+    """Decimal ``terms`` added without losing a digit."""
+    total = terms[0]
+    for term in terms[1:]:
+        total = f"cast({total} + {term} AS {SQUARES})"
+    return total
+
+
 def readings(values: str) -> str:
     """A missing array is empty, a NaN reading is NULL."""
     return (

@@ -63,15 +63,19 @@ def explode_joints(frames: DataFrame) -> DataFrame:
 
 
 def squared_changes(now: str, before: str) -> str:
-    """Sum of squared differences of readings present on both sides."""
+    """Exact sum of squared differences of readings present on both sides."""
     change = f"get({now}, {{j}}) - get({before}, {{j}})"
     more = (
         f"CASE WHEN size({now}) > {JOINTS} THEN aggregate(zip_with("
         f"slice({now}, {JOINTS + 1}, size({now})), slice({before}, {JOINTS + 1}, size({now})),"
-        " (a, b) -> coalesce((a - b) * (a - b), 0D)), 0D, (acc, d) -> acc + d) ELSE 0D END"
+        f" (a, b) -> coalesce({arrays.square('a - b')}, {arrays.NO_SQUARES})),"
+        f" {arrays.NO_SQUARES}, (acc, d) -> {arrays.exact_sum(['acc', 'd'])})"
+        f" ELSE {arrays.NO_SQUARES} END"
     )
-    squares = arrays.per_joint(f"coalesce(({change}) * ({change}), 0D)")
-    return f"coalesce({squares} + {more}, 0D)"
+    squares = [
+        f"coalesce({arrays.square(change.format(j=j))}, {arrays.NO_SQUARES})" for j in range(JOINTS)
+    ]
+    return f"coalesce({arrays.exact_sum([*squares, more])}, {arrays.NO_SQUARES})"
 
 
 def compared(now: str, before: str) -> str:
@@ -166,7 +170,7 @@ def chunk_summaries(measures: DataFrame) -> DataFrame:
         f"max_by(timestamp_ns, {stamped}) AS last_ns",
         "max(gap_ns) AS max_gap_ns",
         f"count_if(gap_ns > {scoring.MAX_GAP_NS}) AS n_bad_gaps",
-        "sum(sum_sq) AS sum_sq",
+        f"cast(sum(sum_sq) AS {arrays.SQUARES}) AS sum_sq",
         "sum(n_pairs) AS n_pairs",
         "sum(n_checked) AS n_checked",
         "sum(n_hard) AS n_hard",
@@ -226,7 +230,7 @@ def merge_chunks(summaries: DataFrame) -> DataFrame:
         "min_by(first_ns, CASE WHEN first_ns IS NOT NULL THEN nth END) AS first_ns",
         "max_by(last_ns, CASE WHEN last_ns IS NOT NULL THEN nth END) AS last_ns",
         "sum(n_pairs + border_pairs) AS n_pairs",
-        "sum(sum_sq + border_sq) AS sum_sq",
+        f"sum({arrays.exact_sum(['sum_sq', 'border_sq'])}) AS sum_sq",
         "sum(n_checked) AS n_checked",
         "sum(n_hard) AS n_hard",
         "sum(n_jumps + border_jumps) AS n_jumps",
@@ -244,7 +248,7 @@ def merge_chunks(summaries: DataFrame) -> DataFrame:
         "n_bad_gaps",
         "(last_ns - first_ns) / nullif(n_stamps - 1, 0) AS mean_gap_ns",
         "n_pairs",
-        "sqrt(sum_sq / nullif(n_pairs, 0)) AS velocity_rms",
+        "sqrt(double(sum_sq) / nullif(n_pairs, 0)) AS velocity_rms",
         "n_checked",
         "n_hard",
         "n_jumps",

@@ -36,8 +36,8 @@ FRAME_MEASURES = f"""transform(frames, (f, i) -> named_struct(
     'n_values', size(f.p) + size(f.v),
     'n_null', {arrays.count_null("f.p")} + {arrays.count_null("f.v")},
     'sum_sq', aggregate(
-        zip_with(f.v, {BEFORE_V}, (x, y) -> (x - y) * (x - y)),
-        0D, (acc, d) -> acc + coalesce(d, 0D)),
+        zip_with(f.v, {BEFORE_V}, (x, y) -> {arrays.square("x - y")}),
+        {arrays.NO_SQUARES}, (acc, d) -> {arrays.exact_sum(["acc", f"coalesce(d, {arrays.NO_SQUARES})"])}),
     'n_pairs', CASE
         WHEN array_contains(f.v, {arrays.NAN}) = false
              AND array_contains({BEFORE_V}, {arrays.NAN}) = false
@@ -93,7 +93,8 @@ def nested_stats(episodes: DataFrame) -> DataFrame:
             """zip_with(slice(stamps, 2, size(stamps)),
                         slice(stamps, 1, greatest(size(stamps) - 1, 0)),
                         (b, a) -> b - a) AS gaps""",
-            "aggregate(measures, 0D, (acc, m) -> acc + m.sum_sq) AS sum_sq",
+            f"""aggregate(measures, cast(0 AS {arrays.SQUARES_SUM}),
+                 (acc, m) -> cast(acc + m.sum_sq AS {arrays.SQUARES_SUM})) AS sum_sq""",
             summed("n_pairs"),
         )
         .selectExpr(
@@ -108,7 +109,7 @@ def nested_stats(episodes: DataFrame) -> DataFrame:
             """(get(stamps, size(stamps) - 1) - get(stamps, 0)) / nullif(size(stamps) - 1, 0)
                AS mean_gap_ns""",
             "n_pairs",
-            "sqrt(sum_sq / nullif(n_pairs, 0)) AS velocity_rms",
+            "sqrt(double(sum_sq) / nullif(n_pairs, 0)) AS velocity_rms",
             summed("n_checked"),
             summed("n_hard"),
             summed("n_jumps"),

@@ -174,3 +174,27 @@ def test_finite_differences_and_gaps_do_not_depend_on_chunks(spark):
 def test_one_frame_has_no_velocity(spark):
     frames = rows.explode_frames(spark.createDataFrame([baseline(1)], EPISODE))
     assert rows.finite_diff_velocity(frames).first()["velocities"] == [None] * 12
+
+
+def test_velocity_rms_does_not_depend_on_how_rows_are_split(spark):
+    import random
+    from decimal import ROUND_HALF_UP, Decimal
+
+    draw = random.Random(7)
+    e = baseline(200)
+    for f in e["sensor_frames"]:
+        f["joint_velocities"] = [draw.randrange(100) / 100 * 3 - 1.5 for _ in range(12)]
+    episodes = spark.createDataFrame([e], EPISODE)
+    frames = rows.explode_frames(episodes)
+    v = [f["joint_velocities"] for f in e["sensor_frames"]]
+    squares = [
+        Decimal((a - b) * (a - b)).quantize(Decimal("1e-18"), ROUND_HALF_UP)
+        for now, before in zip(v[1:], v[:-1])
+        for a, b in zip(now, before)
+    ]
+    expected = (float(sum(squares)) / len(squares)) ** 0.5
+    found = {nested_stats(episodes).first()["velocity_rms"]}
+    for size in (1 << 16, 7, 3, 1):
+        stats = rows.frame_stats(rows.with_chunk(frames, size).repartition(3))
+        found.add(stats.first()["velocity_rms"])
+    assert found == {expected}
