@@ -245,11 +245,10 @@ def _stars(pairs: DataFrame, sets: DataFrame, similar: tuple[int, int]) -> DataF
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         head = np.zeros(0, np.uint64)
-        for batch in batches:
-            a, member, b, elements = (batch.column(c).to_pylist() for c in ("a", "member", "b", "elements"))
+        for batch, texts in text_slices(batches):
+            a, member, b = (batch.column(c).to_pylist() for c in ("a", "member", "b"))
             found = []
-            for i in range(len(a)):
-                one = np.frombuffer(elements[i], np.uint64)
+            for i, one in enumerate(shingle_sets(texts)):
                 if not member[i]:
                     head = one
                     continue
@@ -392,8 +391,8 @@ def _candidates(crossing: DataFrame) -> DataFrame:
 
 def _verified(candidates: DataFrame, sets: DataFrame, similar: tuple[int, int]) -> DataFrame:
     """Links (a, b) that span what the candidates' similar pairs connect, cell by cell."""
-    need = candidates.where("id IS NOT NULL").select("cell", "id").join(sets.hint("merge"), "id").select("cell", "id", "elements", F.lit(None).cast("binary").alias("pairs"))
-    pairs = candidates.where("id IS NULL").select("cell", "id", F.lit(None).cast("binary").alias("elements"), "pairs")
+    need = candidates.where("id IS NOT NULL").select("cell", "id").join(sets.hint("merge"), "id").select("cell", "id", "text", F.lit(None).cast("binary").alias("pairs"))
+    pairs = candidates.where("id IS NULL").select("cell", "id", F.lit(None).cast("string").alias("text"), "pairs")
     rows = need.unionByName(pairs).repartition("cell").sortWithinPartitions("cell", F.col("id").asc_nulls_last())
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -437,12 +436,13 @@ def _verified(candidates: DataFrame, sets: DataFrame, similar: tuple[int, int])
                 mark[own] = False
             return pa.RecordBatch.from_arrays([pa.array([p for p, _ in found], pa.int64()), pa.array([q for _, q in found], pa.int64())], names=["a", "b"])
 
-        for batch in batches:
-            for cell, one, elements, blob in zip(*(batch.column(c).to_pylist() for c in ("cell", "id", "elements", "pairs")), strict=True):
+        for batch, texts in text_slices(batches):
+            # Rows of pairs have no text: their sets are empty and not used.
+            for cell, one, elements, blob in zip(*(batch.column(c).to_pylist() for c in ("cell", "id")), shingle_sets(texts), batch.column("pairs").to_pylist(), strict=True):
                 if cell != now:
                     now, sets = cell, {}
                 if one is not None:
-                    sets[one] = np.frombuffer(elements, np.uint64)
+                    sets[one] = elements
                 else:
                     yield links(blob)
 
@@ -453,16 +453,19 @@ def _verified(candidates: DataFrame, sets: DataFrame, similar: tuple[int, int])
 
 
 def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(id, elements) of the wanted nodes (node, id, doc_id), from one document of each."""
-    found = docs.hint("merge").join(wanted.select(F.col("doc_id").alias("_d"), "node", "id"), F.col("doc_id") == F.col("_d")).select("text", "node", "id")
+    """(id, n, text) of the wanted nodes (node, id, n, doc_id), from one document of each.
+
+    The text is kept, not its set: it is stored and sent in a few bytes a word, where a set's
+    64-bit hashes take 8 bytes a shingle and don't compress. Who compares sets makes them again."""
+    found = docs.hint("merge").join(wanted.select(F.col("doc_id").alias("_d"), "node", "id", "n"), F.col("doc_id") == F.col("_d")).select("text", "node", "id", "n")
 
     def elements(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in text_slices(batches):
             sets = shingle_sets(texts)
             mine = pa.array([node_of(s) == n for s, n in zip(sets, batch.column("node").to_pylist(), strict=True)], pa.bool_())
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array([s.tobytes() for s in sets], pa.binary())], names=["id", "elements"]).filter(mine)
+            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("n"), batch.column("text")], names=["id", "n", "text"]).filter(mine)
 
-    return found.mapInArrow(elements, "id long, elements binary")
+    return found.mapInArrow(elements, "id long, n long, text string")
 
 
 def join_near(docs: DataFrame, similar: tuple[int, int] = SIMILAR) -> DataFrame:
@@ -528,7 +531,7 @@ def _links(docs: DataFrame, heads: DataFrame, levels: np.ndarray, small: int, sh
     links = stored(_stars(stored(stars, "stars"), sets, similar), "links")
     joined = components(links).withColumnRenamed("node", "id")
     parts = lists.join(joined, "id", "left").select("list", "id", "n", F.coalesce("component", "id").alias("component"))
-    whole = sets.agg(F.sum(F.octet_length("elements"))).first()[0] or 0
+    whole = sets.agg(F.sum(F.col("n") * 8)).first()[0] or 0
     blocks = max(LEAST_BLOCKS, math.ceil(whole / BLOCK_BYTES))
     candidates = stored(_candidates(_crossing(parts, blocks, small, similar)), "candidates")
     more = _verified(candidates, sets, similar)

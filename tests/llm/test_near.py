@@ -1,5 +1,6 @@
 """Jaccard join against all pairs."""
 
+import os
 import random
 
 import brute
@@ -86,3 +87,19 @@ def test_components_of_paths(spark):
     links = [(a, b) if rng.random() < 0.5 else (b, a) for a, b in links]
     got = {r["node"]: r["component"] for r in common.components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert got == {**dict.fromkeys(range(61), 0), 100: 100, 200: 100, 150: 100, **dict.fromkeys(range(300, 340), 300)}
+
+
+def test_stored_sets_are_smaller_than_their_texts(spark):
+    """The sets that verification reads are stored as texts: 64-bit hashes of each shingle took more than the texts."""
+    rng = random.Random(7)
+    texts = []
+    for _ in range(20):
+        words = [f"w{rng.randrange(50)}" for _ in range(2000)]
+        texts += [" ".join(words), " ".join(changed(rng, words, 0.002))]
+    folder = f"{common.shared_dir(spark)}/llm"
+    before = set(os.listdir(folder)) if os.path.isdir(folder) else set()
+    got = jaccard_join.join_near(docs(spark, texts))
+    assert rows(got, "doc_id", "n_shingles", "component_id") == want_components(list(enumerate(texts)))
+    stored = [f"{folder}/{d}" for d in set(os.listdir(folder)) - before if d.startswith("sets-")]
+    size = lambda d: sum(os.path.getsize(f"{r}/{f}") for r, _, fs in os.walk(d) for f in fs if f.endswith(".parquet"))
+    assert stored and max(size(d) for d in stored) < sum(len(t) for t in texts)
